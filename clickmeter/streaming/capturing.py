@@ -1,0 +1,107 @@
+"""Streaming capture: click requests to click events, each impression counted once.
+
+The lookup and all rejections come before any state is touched. State and output belong
+to one checkpointed batch: a click is never remembered without being emitted.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from clickmeter.functions.events import event_json
+from clickmeter.plans.capture import as_events, judged_requests
+from clickmeter.settings import CHECKPOINT_INTERVAL, IMPRESSION_TTL_SECONDS
+
+_CLICK = (
+    "impression_id string, request_id string, ad_id string, campaign_id string, "
+    "advertiser_id string, user_agent string, clicked_at timestamp, received_at timestamp"
+)
+_CLICK_COLUMNS = [column.split()[0] for column in _CLICK.split(", ")]
+
+
+def accepted_events(
+    requests: DataFrame, ads: DataFrame, ttl_seconds: int = IMPRESSION_TTL_SECONDS
+) -> DataFrame:
+    """Events of a stream of requests, by the exact lifetime rule.
+
+    Per impression the state is one number, the last accepted arrival, kept until the
+    lifetime has passed. It lives in the state store, so a batch costs what arrives in
+    it and not what is remembered.
+    """
+    valid = judged_requests(requests, ads).where(F.col("reason").isNull())
+
+    def accept(
+        _key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get[0] if state.exists else None
+        for click in _one_per_second(batches).itertuples():
+            if last is None or click.arrival - last >= ttl_seconds:
+                last = click.arrival
+                yield pd.DataFrame([click], columns=["Index", *_CLICK_COLUMNS, "arrival"])[
+                    _CLICK_COLUMNS
+                ]
+        state.update((last,))
+        state.setTimeoutDuration(ttl_seconds * 1000)
+
+    clicks = (
+        valid.select(*_CLICK_COLUMNS)
+        .groupBy("impression_id")
+        .applyInPandasWithState(
+            accept,
+            outputStructType=_CLICK,
+            stateStructType="accepted_at long",
+            outputMode="append",
+            timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
+        )
+    )
+    return as_events(clicks)
+
+
+def _one_per_second(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """The earliest click of each second, in order; holds one row per second at a time."""
+    kept = None
+    for clicks in batches:
+        clicks = clicks.assign(arrival=clicks["received_at"].astype("int64") // 1_000_000_000)
+        both = clicks if kept is None else pd.concat([kept, clicks])
+        kept = both.sort_values(["arrival", "clicked_at", "request_id"]).drop_duplicates("arrival")
+    return kept
+
+
+def quick_accepted_events(
+    requests: DataFrame, ads: DataFrame, lifetime: str = "48 hours"
+) -> DataFrame:
+    """The same without Python, for when late repeats may be refused.
+
+    Never lets an impression count twice within the lifetime, but the watermark forgets
+    it only between one and two lifetimes after its click.
+    """
+    valid = judged_requests(requests, ads).where(F.col("reason").isNull())
+    return as_events(
+        valid.withWatermark("received_at", lifetime).dropDuplicatesWithinWatermark(
+            ["impression_id"]
+        )
+    )
+
+
+def start_capturing(
+    events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write events as JSON lines for the counter and the archiver to follow."""
+    return (
+        events.select(event_json().alias("value"))
+        .writeStream.outputMode("append")
+        .format("text")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL}))
+        .start()
+    )
