@@ -20,6 +20,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickmeter.operators.merging import KEY, swap_period, upsert
 from clickmeter.periods import hour_name, hours_between
@@ -27,7 +28,8 @@ from clickmeter.schemas import CLICK_AGGREGATES
 from clickmeter.settings import SOURCE_STREAM
 from clickmeter.sources.files import create_once, delete, file_system, folder_names, read_text
 
-_COLUMNS = CLICK_AGGREGATES.fieldNames()[:-2]
+_STAGED = StructType(CLICK_AGGREGATES.fields[:-2])
+_COLUMNS = _STAGED.fieldNames()
 
 
 class AggregateTable:
@@ -67,27 +69,25 @@ class AggregateTable:
     def upsert(self, counts: DataFrame, as_of: Column, protect_batch: bool = True) -> int:
         """Set the counts of the given keys as `stream` rows; returns the new version.
 
-        The counts are staged first: that runs their plan once, and the staged folders
-        tell which hours to rewrite.
+        The counts are staged first: that runs their plan once, and the hours to rewrite
+        can be told from the staged rows.
         """
         stage = f"{self.path}/stage/{uuid.uuid4().hex}"
-        self._write(
-            counts.select(
-                *KEY,
-                "click_count",
-                F.lit(SOURCE_STREAM).alias("source"),
-                as_of.alias("updated_at"),
-            ),
-            stage,
-        )
-        touched = self._written_hours(stage)
-        if not touched:
-            return self.version()
-        new = self.spark.read.schema(CLICK_AGGREGATES).parquet(stage).select(*_COLUMNS)
-        version = self._change(
-            touched,
-            lambda stored: upsert(stored.select(*_COLUMNS), new, protect_batch),
-        )
+        counts.select(
+            *KEY,
+            "click_count",
+            F.lit(SOURCE_STREAM).alias("source"),
+            as_of.alias("updated_at"),
+        ).write.parquet(stage)
+        new = self.spark.read.schema(_STAGED).parquet(stage)
+        hour = F.date_format("minute_bucket", "yyyy-MM-dd'T'HH").alias("hour")
+        touched = [row.hour for row in new.select(hour).distinct().toLocalIterator()]
+        version = self.version()
+        if touched:
+            version = self._change(
+                touched,
+                lambda stored: upsert(stored.select(*_COLUMNS), new, protect_batch),
+            )
         delete(self.fs, self.spark, stage)
         return version
 

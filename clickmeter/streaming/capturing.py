@@ -22,7 +22,6 @@ _CLICK = (
     "impression_id string, request_id string, ad_id string, campaign_id string, "
     "advertiser_id string, user_agent string, clicked_at timestamp, received_at timestamp"
 )
-_CLICK_COLUMNS = [column.split()[0] for column in _CLICK.split(", ")]
 
 
 def accepted_events(
@@ -35,6 +34,19 @@ def accepted_events(
     it and not what is remembered.
     """
     valid = judged_requests(requests, ads).where(F.col("reason").isNull())
+    columns = [column.split()[0] for column in _CLICK.split(", ")]
+
+    # Both functions stay inside, so that executors need not have this package.
+    def one_per_second(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        """The earliest click of each second, in order; holds one row per second at a time."""
+        kept = None
+        for clicks in batches:
+            arrival = clicks["received_at"].astype("datetime64[s]").astype("int64")
+            clicks = clicks.assign(arrival=arrival)
+            both = clicks if kept is None else pd.concat([kept, clicks])
+            both = both.sort_values(["arrival", "clicked_at", "request_id"])
+            kept = both.drop_duplicates("arrival")
+        return kept
 
     def accept(
         _key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
@@ -43,17 +55,19 @@ def accepted_events(
             state.remove()
             return
         last = state.get[0] if state.exists else None
-        for click in _one_per_second(batches).itertuples():
-            if last is None or click.arrival - last >= ttl_seconds:
-                last = click.arrival
-                yield pd.DataFrame([click], columns=["Index", *_CLICK_COLUMNS, "arrival"])[
-                    _CLICK_COLUMNS
-                ]
+        clicks = one_per_second(batches)
+        accepted = []
+        for arrival in clicks["arrival"].tolist():
+            if last is None or arrival - last >= ttl_seconds:
+                last = arrival
+                accepted.append(arrival)
+        if accepted:
+            yield clicks.loc[clicks["arrival"].isin(accepted), columns]
         state.update((last,))
         state.setTimeoutDuration(ttl_seconds * 1000)
 
     clicks = (
-        valid.select(*_CLICK_COLUMNS)
+        valid.select(*columns)
         .groupBy("impression_id")
         .applyInPandasWithState(
             accept,
@@ -66,16 +80,6 @@ def accepted_events(
     return as_events(clicks)
 
 
-def _one_per_second(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """The earliest click of each second, in order; holds one row per second at a time."""
-    kept = None
-    for clicks in batches:
-        clicks = clicks.assign(arrival=clicks["received_at"].astype("int64") // 1_000_000_000)
-        both = clicks if kept is None else pd.concat([kept, clicks])
-        kept = both.sort_values(["arrival", "clicked_at", "request_id"]).drop_duplicates("arrival")
-    return kept
-
-
 def quick_accepted_events(
     requests: DataFrame, ads: DataFrame, lifetime: str = "48 hours"
 ) -> DataFrame:

@@ -251,9 +251,9 @@ UNION ALL
 SELECT *, 'batch' FROM ({recomputed(PERIOD_WHERE)})"""
 
 CLOSED = f"""WITH {CLICKS}, {STREAM},
-latest AS (SELECT max(CAST(click_ts[1:19] AS TIMESTAMP)) AS at FROM clicks)
+latest AS (SELECT max(CAST(click_ts[1:19] AS TIMESTAMP)) AS seen FROM clicks)
 SELECT stream.* FROM stream, latest
-WHERE CAST(minute_bucket[1:19] AS TIMESTAMP) + INTERVAL 1 MINUTE <= at - INTERVAL 30 SECOND"""
+WHERE CAST(minute_bucket[1:19] AS TIMESTAMP) + INTERVAL 1 MINUTE <= seen - INTERVAL 30 SECOND"""
 
 DELAYS = f"""WITH {CLICKS},
 delays AS (
