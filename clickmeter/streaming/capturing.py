@@ -99,13 +99,24 @@ def quick_accepted_events(
 def start_capturing(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write events as JSON lines for the counter and the archiver to follow."""
-    return (
-        events.select(event_json().alias("value"))
-        .writeStream.outputMode("append")
-        .format("text")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL}))
-        .start()
-    )
+    """Write events as JSON lines for the counter and the archiver to follow.
+
+    Lifetimes end with the clock, for which Spark would run batches without data for
+    ever; they are switched off for this query, and ended lifetimes are dropped along
+    with the next clicks.
+    """
+    conf, setting = events.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(setting)
+    conf.set(setting, "false")
+    try:
+        return (
+            events.select(event_json().alias("value"))
+            .writeStream.outputMode("append")
+            .format("text")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": CHECKPOINT_INTERVAL}))
+            .start()
+        )
+    finally:
+        conf.set(setting, before)
