@@ -53,31 +53,34 @@ def first_clicks(
     and folded in order. The folded array is thus bounded by the seconds of the period,
     however many clicks an impression has.
     """
-    timed = clicks.select(
+    timed = clicks.where(F.col("impression_id").isNotNull()).select(
         "impression_id",
         F.unix_timestamp("received_at").alias("arrival"),
         "clicked_at",
         *payload,
     )
     pick = ["clicked_at", *payload]
-    opening = (
-        timed.groupBy("impression_id")
-        .agg(F.min(F.struct("arrival", *pick)).alias("click"))
-        .select("impression_id", "click.*")
+    lives = timed.groupBy("impression_id").agg(
+        F.min(F.struct("arrival", *pick)).alias("click"), F.max("arrival").alias("last_seen")
     )
-    long_lived = (
-        timed.groupBy("impression_id")
-        .agg(F.min("arrival").alias("opened"), F.max("arrival").alias("last_seen"))
-        .where(F.col("last_seen") - F.col("opened") >= ttl_seconds)
-        .select("impression_id", "opened")
+    # Both branches use both aggregates, so that one shuffle serves the two.
+    opening = lives.where(F.col("last_seen").isNotNull()).select("impression_id", "click.*")
+    long_lived = lives.where(F.col("last_seen") - F.col("click.arrival") >= ttl_seconds).select(
+        "impression_id", F.col("click.arrival").alias("opened")
     )
+    # Grouping by a struct asks for a shuffle of its own: a hot impression is thinned on the
+    # map side and spread by second, and the join before it may split its clicks (adaptive
+    # skew join), which it may not if its partitions were grouped as they are.
+    second = F.struct("impression_id", "opened", "arrival").alias("second")
     later = (
         timed.join(long_lived, "impression_id")
         .where(F.col("arrival") - F.col("opened") >= ttl_seconds)
-        .groupBy("impression_id", "opened", "arrival")
+        .groupBy(second)
         .agg(F.min(F.struct(*pick)).alias("click"))
-        .groupBy("impression_id", "opened")
-        .agg(F.array_sort(F.collect_list(F.struct("arrival", "click.*"))).alias("clicks"))
+        .groupBy("second.impression_id", "second.opened")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("second.arrival", "click.*"))).alias("clicks")
+        )
     )
     reopening = later.select(
         "impression_id",

@@ -15,6 +15,10 @@ def exact_source(source: Column) -> Column:
 
 SOURCE_RULES = {"exact": exact_source, "min": F.min}
 
+# The same rules on `is it a batch row`: `batch` is the smaller of the two texts.
+# Flags keep the aggregates in hash tables, where text would make Spark sort.
+BATCH_RULES = {"exact": F.bool_and, "min": F.bool_or}
+
 
 def rollup(rows: DataFrame, granularity: str, source_rule: str = "exact") -> DataFrame:
     """Sum `click_count` by campaign and bucket.
@@ -53,6 +57,6 @@ def unit_counts(rows: DataFrame, source_rule: str = "exact") -> DataFrame:
         .groupBy("campaign_id", "unit", "unit_start")
         .agg(
             F.sum("click_count").alias("unit_count"),
-            SOURCE_RULES[source_rule](F.col("source")).alias("unit_source"),
+            BATCH_RULES[source_rule](F.col("source") == SOURCE_BATCH).alias("unit_batch"),
         )
     )

@@ -22,11 +22,12 @@ from clickmeter.functions.timebucket import (
     step_seconds,
 )
 from clickmeter.operators.ownership import owned_pairs
-from clickmeter.operators.rollup import unit_counts
+from clickmeter.operators.rollup import BATCH_RULES, unit_counts
 from clickmeter.settings import (
     DEFAULT_GRANULARITY,
     GRANULARITIES,
     MAX_BUCKETS,
+    SOURCE_BATCH,
     SOURCE_STREAM,
 )
 
@@ -38,6 +39,8 @@ _STATUS = {
     "forbidden": 403,
 }
 _RESULT = ["bucket_start", "click_count", "source"]
+_BUCKET = ["request_id", "campaign_id", "granularity", "bucket_start"]
+_UNIT = ["campaign_id", "unit", "unit_start"]
 
 
 def bucket_count(start: Column, end: Column, granularity: Column) -> Column:
@@ -100,25 +103,33 @@ def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
 
 
 def spine(accepted: DataFrame) -> DataFrame:
-    """One row per bucket of each request, from the floor of `start` up to `end`."""
+    """One row per bucket of each request, from the floor of `start` up to `end`.
+
+    `lo` and `hi` bound the minutes that count in the bucket: a minute row counts when
+    its start is within the request. `whole` tells that no bound cuts the bucket.
+    """
     unit = F.col("granularity")
     starts = F.sequence(
         floor_to(unit, F.col("start")),
         F.col("end") - F.expr("INTERVAL 1 MICROSECOND"),
         step_interval(unit),
     )
-    return accepted.withColumn("bucket_start", F.explode(starts))
+    bucket_end = F.col("bucket_start") + step_interval(unit)
+    lo = F.greatest("bucket_start", ceil_to("minute", F.col("start")))
+    hi = F.least(bucket_end, ceil_to("minute", F.col("end")))
+    return (
+        accepted.withColumn("bucket_start", F.explode(starts))
+        .withColumns({"lo": lo, "hi": hi})
+        .withColumn("whole", (F.col("lo") == F.col("bucket_start")) & (F.col("hi") == bucket_end))
+        .select(*_BUCKET, "lo", "hi", "whole")
+    )
 
 
-def pieces(buckets: DataFrame) -> DataFrame:
-    """Split the buckets of a spine into units whose counts add up to the bucket.
+def pieces(cut: DataFrame) -> DataFrame:
+    """Split cut buckets into the whole hours and the minutes between `lo` and `hi`.
 
-    A bucket wholly inside the bounds is one piece. One that is cut by a bound becomes
-    the whole hours and minutes inside: minute rows count when their start is in bounds.
     A bucket without any stays, with a null piece.
     """
-    lo = F.greatest("bucket_start", ceil_to("minute", F.col("start")))
-    hi = F.least("bucket_end", ceil_to("minute", F.col("end")))
     inner_lo = F.least(ceil_to("hour", F.col("lo")), F.col("hi"))
     inner_hi = F.greatest(F.date_trunc("hour", "hi"), F.col("inner_lo"))
 
@@ -127,28 +138,18 @@ def pieces(buckets: DataFrame) -> DataFrame:
             starts, lambda s: F.struct(F.lit(unit).alias("unit"), s.alias("unit_start"))
         )
 
-    cut = F.concat(
-        units("minute", starts_between("minute", F.col("lo"), F.col("inner_lo"))),
-        units("hour", starts_between("hour", F.col("inner_lo"), F.col("inner_hi"))),
-        units("minute", starts_between("minute", F.col("inner_hi"), F.col("hi"))),
-    )
-    whole = F.array(
-        F.struct(F.col("granularity").alias("unit"), F.col("bucket_start").alias("unit_start"))
-    )
-    is_whole = (F.col("lo") == F.col("bucket_start")) & (F.col("hi") == F.col("bucket_end"))
     return (
-        buckets.withColumn(
-            "bucket_end", F.col("bucket_start") + step_interval(F.col("granularity"))
-        )
-        .withColumns({"lo": lo, "hi": hi})
-        .withColumn("inner_lo", inner_lo)
+        cut.withColumn("inner_lo", inner_lo)
         .withColumn("inner_hi", inner_hi)
         .select(
-            "request_id",
-            "campaign_id",
-            "granularity",
-            "bucket_start",
-            F.inline_outer(F.when(is_whole, whole).otherwise(cut)),
+            *_BUCKET,
+            F.inline_outer(
+                F.concat(
+                    units("minute", starts_between("minute", F.col("lo"), F.col("inner_lo"))),
+                    units("hour", starts_between("hour", F.col("inner_lo"), F.col("inner_hi"))),
+                    units("minute", starts_between("minute", F.col("inner_hi"), F.col("hi"))),
+                )
+            ),
         )
     )
 
@@ -177,24 +178,36 @@ def rows_asked_for(aggregates: DataFrame, accepted: DataFrame) -> DataFrame:
 def series(
     judged: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
-    """The dense series of every accepted request, empty buckets as zero."""
+    """The dense series of every accepted request, empty buckets as zero.
+
+    Whole buckets get their count by the join alone. At most the first and the last of a
+    request are cut; only these are put together from pieces.
+    """
     accepted = judged.where(F.col("status") == 200).select(
         "request_id", "campaign_id", "granularity", "start", "end"
     )
     counts = unit_counts(rows_asked_for(aggregates, accepted), source_rule)
-    found = pieces(spine(accepted)).join(counts, ["campaign_id", "unit", "unit_start"], "left")
-    source = (
-        F.min("unit_source")
-        if source_rule == "min"
-        else F.when(F.max("unit_source") == "batch", F.lit("batch"))
-    )
-    return (
-        found.groupBy("request_id", "campaign_id", "granularity", "bucket_start")
+    buckets = spine(accepted)
+    whole = buckets.where("whole").select(
+        *_BUCKET, F.col("granularity").alias("unit"), F.col("bucket_start").alias("unit_start")
+    )
+    cut = pieces(buckets.where("not whole"))
+    whole_counts = whole.join(counts, _UNIT, "left").select(*_BUCKET, "unit_count", "unit_batch")
+    cut_counts = (
+        cut.join(counts, _UNIT, "left")
+        .groupBy(*_BUCKET)
         .agg(
-            F.coalesce(F.sum("unit_count"), F.lit(0)).alias("click_count"),
-            F.coalesce(source, F.lit(SOURCE_STREAM)).alias("source"),
+            F.sum("unit_count").alias("unit_count"),
+            BATCH_RULES[source_rule]("unit_batch").alias("unit_batch"),
         )
-        .withColumn("bucket_start", iso(F.col("bucket_start")))
+    )
+    return whole_counts.unionByName(cut_counts).select(
+        "request_id",
+        "campaign_id",
+        "granularity",
+        iso(F.col("bucket_start")).alias("bucket_start"),
+        F.coalesce("unit_count", F.lit(0)).alias("click_count"),
+        F.when(F.col("unit_batch"), SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
     )
 
 

@@ -18,6 +18,16 @@ from clickmeter.functions.events import event_json
 from clickmeter.plans.capture import as_events, judged_requests
 from clickmeter.settings import CHECKPOINT_INTERVAL, IMPRESSION_TTL_SECONDS
 
+# A query keeps the settings it was started with. Remembered impressions are too many for
+# memory. Lifetimes end with the clock, for which Spark would run batches without data for
+# ever; instead, ended ones are dropped along with the next clicks.
+_CAPTURE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
 _CLICK = (
     "impression_id string, request_id string, ad_id string, campaign_id string, "
     "advertiser_id string, user_agent string, clicked_at timestamp, received_at timestamp"
@@ -99,15 +109,11 @@ def quick_accepted_events(
 def start_capturing(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write events as JSON lines for the counter and the archiver to follow.
-
-    Lifetimes end with the clock, for which Spark would run batches without data for
-    ever; they are switched off for this query, and ended lifetimes are dropped along
-    with the next clicks.
-    """
-    conf, setting = events.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(setting)
-    conf.set(setting, "false")
+    """Write events as JSON lines for the counter and the archiver to follow."""
+    conf = events.sparkSession.conf
+    before = {name: conf.get(name) for name in _CAPTURE_SETTINGS}
+    for name, value in _CAPTURE_SETTINGS.items():
+        conf.set(name, value)
     try:
         return (
             events.select(event_json().alias("value"))
@@ -119,4 +125,5 @@ def start_capturing(
             .start()
         )
     finally:
-        conf.set(setting, before)
+        for name, value in before.items():
+            conf.set(name, value)
