@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickmeter.functions.timebucket import instant, iso
+
 
 def unmatched_impressions(sent: DataFrame, captured: DataFrame) -> DataFrame:
     """Impressions on one side only: `lost` if sent alone, `unexpected` if captured alone.
@@ -23,7 +25,10 @@ def unmatched_impressions(sent: DataFrame, captured: DataFrame) -> DataFrame:
         sides.groupBy("impression_id")
         .agg(F.bool_or("sent").alias("sent"), F.bool_or("captured").alias("captured"))
         .where(F.col("sent") != F.col("captured"))
-        .select("impression_id", F.when(F.col("sent"), "lost").otherwise("unexpected").alias("finding"))
+        .select(
+            "impression_id",
+            F.when(F.col("sent"), "lost").otherwise("unexpected").alias("finding"),
+        )
     )
 
 
@@ -61,18 +66,23 @@ def hot_ads(clicks: DataFrame, threshold: float) -> DataFrame:
 
 
 def rank_percentile(
-    samples: DataFrame, value: str, fraction: float = 0.95, by: list[str] | None = None
+    samples: DataFrame,
+    value: str,
+    fraction: float = 0.95,
+    by: list[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """The sample of rank `floor(n * fraction)` in ascending order, and the largest one.
 
-    Equal samples are counted first, so what is put in order is one row per value, not
-    per sample. Null where there are too few samples for that rank.
+    Equal samples are counted first (`weight` tells how many a row stands for), so what is
+    put in order is one row per value, not per sample. Null where there are too few
+    samples for that rank.
     """
     by = by or []
     steps = (
         samples.where(F.col(value).isNotNull())
         .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     )
     everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     so_far = everything.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -104,6 +114,25 @@ def delay_seconds(earlier: Column, later: Column) -> Column:
     return F.unix_timestamp(later) - F.unix_timestamp(earlier)
 
 
+def freshness(raw: DataFrame, aggregates: DataFrame) -> DataFrame:
+    """Seconds from the capture of clicks until their row was written, with how many clicks.
+
+    Clicks of one minute captured in the same second are counted first, so a hot minute
+    brings few rows to the join.
+    """
+    captured = raw.groupBy("campaign_id", "minute_bucket", "ingest_ts").agg(
+        F.count(F.lit(1)).alias("clicks")
+    )
+    written = aggregates.select(
+        "campaign_id", iso(F.col("minute_bucket")).alias("minute_bucket"), "updated_at"
+    )
+    return captured.join(written, ["campaign_id", "minute_bucket"]).select(
+        "campaign_id",
+        delay_seconds(instant(F.col("ingest_ts")), F.col("updated_at")).alias("delay"),
+        "clicks",
+    )
+
+
 def source_mix(aggregates: DataFrame) -> DataFrame:
     """Rows and clicks per day and source: how much of a day is still approximate."""
     return aggregates.groupBy(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmeter.functions.events import event_columns, event_id
@@ -51,12 +51,12 @@ def click_events(
     return as_events(opening.withColumn("received_at", F.timestamp_seconds("arrival")))
 
 
-def as_events(clicks: DataFrame) -> DataFrame:
-    """Accepted clicks in the shape of the event schema."""
+def as_events(clicks: DataFrame, *also: Column | str) -> DataFrame:
+    """Accepted clicks in the shape of the event schema, with any columns named besides."""
     return clicks.withColumns(
         event_columns(F.col("clicked_at"), F.col("received_at"))
         | {"event_id": event_id(F.col("request_id"), F.col("impression_id"), F.col("ad_id"))}
-    ).select(*EVENT_FIELDS)
+    ).select(*EVENT_FIELDS, *also)
 
 
 def outcomes(

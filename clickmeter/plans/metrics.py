@@ -8,6 +8,8 @@ and minutes.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,6 +222,51 @@ def metrics(
     )
 
 
+def campaign_series(
+    aggregates: DataFrame,
+    campaign_id: str,
+    start: datetime,
+    end: datetime,
+    granularity: str = DEFAULT_GRANULARITY,
+    source_rule: str = "exact",
+) -> DataFrame:
+    """The ordered series of one campaign, for a single request already let through.
+
+    Its bounds are constants, so the scan is filtered by them and one small aggregate does.
+    """
+    first, last = F.lit(start), F.lit(end)
+    unit = effective_granularity(first, last, F.lit(granularity))
+    counts = (
+        aggregates.where(
+            (F.col("campaign_id") == campaign_id)
+            & (F.col("minute_bucket") >= first)
+            & (F.col("minute_bucket") < last)
+        )
+        .groupBy(floor_to(unit, F.col("minute_bucket")).alias("bucket_start"))
+        .agg(
+            F.sum("click_count").alias("click_count"),
+            BATCH_RULES[source_rule](F.col("source") == SOURCE_BATCH).alias("batch"),
+        )
+    )
+    starts = F.sequence(
+        floor_to(unit, first), last - F.expr("INTERVAL 1 MICROSECOND"), step_interval(unit)
+    )
+    buckets = aggregates.sparkSession.range(1).select(
+        unit.alias("granularity"), F.explode(starts).alias("bucket_start")
+    )
+    return (
+        buckets.join(counts, "bucket_start", "left")
+        .select(
+            F.lit(campaign_id).alias("campaign_id"),
+            "granularity",
+            iso(F.col("bucket_start")).alias("bucket_start"),
+            F.coalesce("click_count", F.lit(0)).alias("click_count"),
+            F.when(F.col("batch"), SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
+        )
+        .orderBy("bucket_start")
+    )
+
+
 def responses(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:

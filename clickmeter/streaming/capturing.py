@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from clickmeter.functions.events import event_json
 from clickmeter.plans.capture import as_events, judged_requests
+from clickmeter.schemas import CLICK_EVENT
 from clickmeter.settings import CHECKPOINT_INTERVAL, IMPRESSION_TTL_SECONDS
 
 # A query keeps the settings it was started with. Remembered impressions are too many for
@@ -28,12 +29,6 @@ _CAPTURE_SETTINGS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
-_CLICK = (
-    "impression_id string, request_id string, ad_id string, campaign_id string, "
-    "advertiser_id string, user_agent string, clicked_at timestamp, received_at timestamp"
-)
-
-
 def accepted_events(
     requests: DataFrame, ads: DataFrame, ttl_seconds: int = IMPRESSION_TTL_SECONDS
 ) -> DataFrame:
@@ -41,22 +36,23 @@ def accepted_events(
 
     Per impression the state is one number, the last accepted arrival, kept until the
     lifetime has passed. It lives in the state store, so a batch costs what arrives in
-    it and not what is remembered.
+    it and not what is remembered. Events are built before and cross to Python as one
+    text; there rows are only let through or not.
     """
     valid = judged_requests(requests, ads).where(F.col("reason").isNull())
-    columns = [column.split()[0] for column in _CLICK.split(", ")]
+    order = F.concat(
+        F.date_format("clicked_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("request_id")
+    )
+    built = as_events(valid, "received_at", order.alias("order")).select(
+        "impression_id",
+        F.unix_timestamp("received_at").alias("arrival"),
+        "order",
+        event_json().alias("event"),
+    )
 
     # Both functions stay inside, so that executors need not have this package.
-    def one_per_second(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-        """The earliest click of each second, in order; holds one row per second at a time."""
-        kept = None
-        for clicks in batches:
-            arrival = clicks["received_at"].astype("datetime64[s]").astype("int64")
-            clicks = clicks.assign(arrival=arrival)
-            both = clicks if kept is None else pd.concat([kept, clicks])
-            both = both.sort_values(["arrival", "clicked_at", "request_id"])
-            kept = both.drop_duplicates("arrival")
-        return kept
+    def earliest(clicks: pd.DataFrame) -> pd.DataFrame:
+        return clicks.sort_values(["arrival", "order"]).drop_duplicates("arrival")
 
     def accept(
         _key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
@@ -64,30 +60,34 @@ def accepted_events(
         if state.hasTimedOut:
             state.remove()
             return
+        clicks = next(batches)
+        if len(clicks) > 1:
+            clicks = earliest(clicks)
+        for more in batches:
+            clicks = earliest(pd.concat([clicks, more]))
         last = state.get[0] if state.exists else None
-        clicks = one_per_second(batches)
-        accepted = []
-        for arrival in clicks["arrival"].tolist():
+        kept = []
+        for arrival, event in zip(clicks["arrival"].tolist(), clicks["event"].tolist()):
             if last is None or arrival - last >= ttl_seconds:
                 last = arrival
-                accepted.append(arrival)
-        if accepted:
-            yield clicks.loc[clicks["arrival"].isin(accepted), columns]
+                kept.append(event)
+        if kept:
+            yield pd.DataFrame({"event": kept})
         state.update((last,))
         state.setTimeoutDuration(ttl_seconds * 1000)
 
-    clicks = (
-        valid.select(*columns)
-        .groupBy("impression_id")
+    return (
+        built.groupBy("impression_id")
         .applyInPandasWithState(
             accept,
-            outputStructType=_CLICK,
+            outputStructType="event string",
             stateStructType="accepted_at long",
             outputMode="append",
             timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
         )
+        .select(F.from_json("event", CLICK_EVENT).alias("event"))
+        .select("event.*")
     )
-    return as_events(clicks)
 
 
 def quick_accepted_events(

@@ -255,18 +255,21 @@ latest AS (SELECT max(CAST(click_ts[1:19] AS TIMESTAMP)) AS seen FROM clicks)
 SELECT stream.* FROM stream, latest
 WHERE CAST(minute_bucket[1:19] AS TIMESTAMP) + INTERVAL 1 MINUTE <= seen - INTERVAL 30 SECOND"""
 
-DELAYS = f"""WITH {CLICKS},
-delays AS (
-  SELECT campaign_id, CAST(epoch(CAST(ingest_ts[1:19] AS TIMESTAMP))
-                           - epoch(CAST(click_ts[1:19] AS TIMESTAMP)) AS BIGINT) AS delay
-  FROM clicks),"""
 
+def seconds(text: str) -> str:
+    return f"epoch(CAST({text}[1:19] AS TIMESTAMP))"
 
-def percentile(by: str) -> str:
+
+CAPTURE_DELAY = f"{seconds('ingest_ts')} - {seconds('click_ts')}"
+VISIBLE_DELAY = f"{seconds('minute_bucket')} + 90 - {seconds('ingest_ts')}"
+
+
+def percentile(by: str, delay: str) -> str:
     partition = f"PARTITION BY {by}" if by else ""
     column = f"{by}," if by else ""
     group = f"GROUP BY {by}" if by else ""
-    return f"""{DELAYS}
+    return f"""WITH {CLICKS},
+delays AS (SELECT campaign_id, CAST({delay} AS BIGINT) AS delay FROM clicks),
 ranked AS (
   SELECT *, row_number() OVER ({partition} ORDER BY delay) AS rn,
          count(*) OVER ({partition}) AS n
@@ -421,6 +424,19 @@ SELECT request_id, status,
               || strftime(stop, {ISO}) || '","buckets":[' || listed || ']}}'
             ELSE '{{"error":"' || reason || '"}}' END AS body
 FROM statuses LEFT JOIN listed USING (request_id)""",
+    "campaign_series": f"""WITH {STORED},
+hours AS (
+  SELECT unnest(range(TIMESTAMP '2024-01-13 05:00:00', TIMESTAMP '2024-01-20 07:45:10',
+                      INTERVAL 1 HOUR)) AS hour),
+sums AS (
+  SELECT date_trunc('hour', CAST(minute_bucket[1:19] AS TIMESTAMP)) AS hour,
+         CAST(sum(click_count) AS BIGINT) AS n, {EXACT_SOURCE} AS source
+  FROM stored
+  WHERE campaign_id = 'camp_3' AND {between("2024-01-13T05:20:30Z", "2024-01-20T07:45:10Z")}
+  GROUP BY 1)
+SELECT 'camp_3' AS campaign_id, 'hour' AS granularity, strftime(hour, {ISO}) AS bucket_start,
+       coalesce(n, 0) AS click_count, coalesce(source, 'stream') AS source
+FROM hours LEFT JOIN sums USING (hour)""",
     "upsert_protected": upsert(True),
     "upsert_literal": upsert(False),
     "period_swap": SWAPPED,
@@ -468,8 +484,9 @@ SELECT ad_id, count(*) AS clicks,
        round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clicks), 9) AS share
 FROM clicks GROUP BY ad_id
 HAVING CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clicks) >= CAST(0.001 AS DOUBLE)""",
-    "freshness_p95": percentile(""),
-    "freshness_p95_by_campaign": percentile("campaign_id"),
+    "freshness_p95": percentile("", CAPTURE_DELAY),
+    "freshness_p95_by_campaign": percentile("campaign_id", CAPTURE_DELAY),
+    "freshness_visible": percentile("", VISIBLE_DELAY),
     "source_mix": f"""WITH {STORED}
 SELECT minute_bucket[1:10] AS day, source, count(*) AS rows,
        CAST(sum(click_count) AS BIGINT) AS clicks

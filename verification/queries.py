@@ -308,6 +308,17 @@ def metrics_responses(spark, folder):
     )
 
 
+def campaign_series(spark, folder):
+    """One campaign's week at hour grain, cut at both ends."""
+    return metrics.campaign_series(
+        stored_rows(spark, folder),
+        "camp_3",
+        periods.parse("2024-01-13T05:20:30Z"),
+        periods.parse("2024-01-20T07:45:10Z"),
+        "hour",
+    )
+
+
 def _upsert(spark, folder, protect_batch):
     stored = stored_rows(spark, folder).where(F.col("minute_bucket") < F.lit(STORED_UNTIL))
     new = (
@@ -423,6 +434,15 @@ def freshness_p95_by_campaign(spark, folder):
     return audits.rank_percentile(delays(spark, folder), "delay", by=["campaign_id"])
 
 
+def freshness_visible(spark, folder):
+    """Capture to written row, with every minute written when the counter closes it."""
+    raw = given.raw_clicks(spark, folder)
+    written = stream_rows(raw).withColumn(
+        "updated_at", F.col("minute_bucket") + F.expr("INTERVAL 90 SECONDS")
+    )
+    return audits.rank_percentile(audits.freshness(raw, written), "delay", weight="clicks")
+
+
 def source_mix(spark, folder):
     return audits.source_mix(stored_rows(spark, folder))
 
@@ -584,6 +604,7 @@ QUERIES: dict[str, Query] = {
         metrics_series,
         metrics_series_min_source,
         metrics_responses,
+        campaign_series,
         upsert_protected,
         upsert_literal,
         period_swap,
@@ -597,6 +618,7 @@ QUERIES: dict[str, Query] = {
         hot_ads,
         freshness_p95,
         freshness_p95_by_campaign,
+        freshness_visible,
         source_mix,
         retained_archive,
         archive_roundtrip,
