@@ -30,6 +30,7 @@ from clickmeter.sources.files import create_once, delete, file_system, folder_na
 
 _STAGED = StructType(CLICK_AGGREGATES.fields[:-2])
 _COLUMNS = _STAGED.fieldNames()
+_HOURS_BY_SIZE = 48
 
 
 class AggregateTable:
@@ -119,7 +120,7 @@ class AggregateTable:
             folder = f"version={base + 1:012d}-{uuid.uuid4().hex}"
             stored = self._read_hours(held, [hour for hour in held if hour in set(touched)])
             target = f"{self.path}/data/{folder}"
-            self._write(build(stored), target)
+            self._write(build(stored), target, len(touched))
             untouched = {hour: where for hour, where in held.items() if hour not in set(touched)}
             written = {hour: folder for hour in self._written_hours(target)}
             if self._claim(base + 1, untouched | written):
@@ -152,16 +153,24 @@ class AggregateTable:
             .select(*CLICK_AGGREGATES.fieldNames())
         )
 
-    def _write(self, rows: DataFrame, target: str) -> None:
-        """Hourly folders, sorted for range scans of a campaign."""
+    def _write(self, rows: DataFrame, target: str, hours: int) -> None:
+        """Hourly folders, sorted for range scans of a campaign.
+
+        A few hours are split by their size. Many give enough tasks by themselves: an hour
+        holds at most sixty rows per campaign, and makes one file.
+        """
+        hourly = rows.select(
+            *_COLUMNS,
+            F.date_format("minute_bucket", "yyyy-MM-dd").alias("dt"),
+            F.date_format("minute_bucket", "HH").alias("hr"),
+        )
+        if hours > _HOURS_BY_SIZE:
+            tasks = min(hours, self.spark.sparkContext.defaultParallelism)
+            spread = hourly.repartition(tasks, "dt", "hr")
+        else:
+            spread = hourly.hint("rebalance", "dt", "hr")
         (
-            rows.select(
-                *_COLUMNS,
-                F.date_format("minute_bucket", "yyyy-MM-dd").alias("dt"),
-                F.date_format("minute_bucket", "HH").alias("hr"),
-            )
-            .hint("rebalance", "dt", "hr")
-            .sortWithinPartitions("dt", "hr", "campaign_id", "minute_bucket")
+            spread.sortWithinPartitions("dt", "hr", "campaign_id", "minute_bucket")
             .write.partitionBy("dt", "hr")
             .parquet(target)
         )

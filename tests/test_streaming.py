@@ -2,12 +2,14 @@
 
 import json
 import os
+from datetime import date
 
 from conftest import rows
 from pyspark.sql import functions as F
 
 from clickmeter import periods
 from clickmeter.functions.timebucket import iso
+from clickmeter.jobs import main
 from clickmeter.plans import metrics, reconcile
 from clickmeter.schemas import AD, CLICK_EVENT, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.sources import archive
@@ -223,3 +225,67 @@ def test_from_requests_to_metrics(spark, tmp_path):
         ("2026-06-13T15:00:00Z", 0, "stream"),
     ]
     assert rows(table.read(end), iso(F.col("minute_bucket"))) == []
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    def run(job, **options):
+        flags = [word for name, value in options.items() for word in (f"--{name}", str(value))]
+        main([job, *flags])
+
+    at = {name: str(tmp_path / name) for name in ("events", "raw", "bad", "t", "ads", "ads2", "out")}
+    (tmp_path / "catalog.json").write_text(
+        json.dumps({"ads": [row.asDict() for row in ads(spark).drop("created_at").collect()]})
+    )
+    run("create-tables", table=at["t"])
+    run("load-catalog", document=tmp_path / "catalog.json", created_at="x", out=at["ads"])
+    run(
+        "load-catalog",
+        document=tmp_path / "catalog.json",
+        created_at="y",
+        catalog=at["ads"],
+        out=at["ads2"],
+    )
+    for number, batch in enumerate(REQUESTS):
+        put(tmp_path / "requests", number, *batch)
+
+    def stream(job, folder, **options):
+        flags = [word for name, value in options.items() for word in (f"--{name}", str(value))]
+        main([job, "--folder", str(folder), "--once", *flags])
+
+    stream(
+        "capture", tmp_path / "requests", catalog=at["ads2"], out=at["events"],
+        checkpoint=tmp_path / "c1",
+    )
+    stream("count", at["events"], table=at["t"], checkpoint=tmp_path / "c2")
+    stream(
+        "archive", at["events"], raw_path=at["raw"], error_path=at["bad"],
+        checkpoint=tmp_path / "c3",
+    )
+    hour = {"period_start": "2026-06-13T14:00:00Z", "period_end": "2026-06-13T15:00:00Z"}
+    run("reconcile", raw_path=at["raw"], table=at["t"], **hour)
+    (tmp_path / "asked.json").write_text(
+        json.dumps(
+            {
+                "request_id": "r",
+                "authorization": "Bearer adv_1",
+                "campaign_id": "camp_1",
+                "from": hour["period_start"],
+                "to": hour["period_end"],
+                "granularity": "hour",
+            }
+        )
+    )
+    run(
+        "metrics", requests=tmp_path / "asked.json", catalog=at["ads2"], table=at["t"],
+        out=at["out"],
+    )
+    answered = spark.read.json(at["out"]).collect()[0]
+    assert answered.status == 200
+    assert json.loads(answered.body)["buckets"] == [
+        {"bucket_start": hour["period_start"], "click_count": 2, "source": "batch"}
+    ]
+    # Days past retention go as folders; what a period needs stays readable.
+    main(["expire", "--raw_path", at["raw"], "--days", "100000"])
+    assert archive.drop_expired(spark, at["raw"], date(2026, 7, 14)) == ["2026-06-13"]
+    kept = archive.read_period(spark, at["raw"], "2026-06-15T00:00:00Z", "2026-06-16T00:00:00Z")
+    assert rows(kept, "impression_id") == [("imp_1",)]
