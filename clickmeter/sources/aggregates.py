@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +29,8 @@ from clickmeter.schemas import CLICK_AGGREGATES
 from clickmeter.settings import SOURCE_STREAM
 from clickmeter.sources.files import create_once, delete, file_system, folder_names, read_text
 
-_STAGED = StructType(CLICK_AGGREGATES.fields[:-2])
-_COLUMNS = _STAGED.fieldNames()
+_STAGED = StructType(CLICK_AGGREGATES.fields[:3])
+_COLUMNS = CLICK_AGGREGATES.fieldNames()[:-2]
 _HOURS_BY_SIZE = 48
 
 
@@ -73,58 +74,77 @@ class AggregateTable:
         The counts are staged first: that runs their plan once, and the hours to rewrite
         can be told from the staged rows.
         """
-        stage = f"{self.path}/stage/{uuid.uuid4().hex}"
-        counts.select(
-            *KEY,
-            "click_count",
-            F.lit(SOURCE_STREAM).alias("source"),
-            as_of.alias("updated_at"),
-        ).write.parquet(stage)
-        new = self.spark.read.schema(_STAGED).parquet(stage)
         hour = F.date_format("minute_bucket", "yyyy-MM-dd'T'HH").alias("hour")
-        touched = [row.hour for row in new.select(hour).distinct().toLocalIterator()]
-        version = self.version()
-        if touched:
-            version = self._change(
-                touched,
-                lambda stored: upsert(stored.select(*_COLUMNS), new, protect_batch),
+        with self._staged(counts) as held:
+            new = held.withColumns({"source": F.lit(SOURCE_STREAM), "updated_at": as_of})
+            touched = [row.hour for row in held.select(hour).distinct().toLocalIterator()]
+            if not touched:
+                return self.version()
+            return self._change(
+                touched, lambda stored: upsert(stored.select(*_COLUMNS), new, protect_batch)
             )
-        delete(self.fs, self.spark, stage)
-        return version
 
     def swap(self, counts: DataFrame, start: datetime, end: datetime, as_of: Column) -> int:
-        """Put the recomputed counts in place of all rows of `[start, end)`."""
-        return self._change(
-            hours_between(start, end),
-            lambda stored: swap_period(stored, counts, start, end, as_of),
-        )
+        """Put the recomputed counts in place of all rows of `[start, end)`.
+
+        They are staged as well, so that starting over does not recompute them.
+        """
+        with self._staged(counts) as held:
+            return self._change(
+                hours_between(start, end),
+                lambda stored: swap_period(stored, held, start, end, as_of),
+            )
+
+    def forget(self, keep: int = 100) -> None:
+        """Remove data and version files older than the last `keep` versions and not in them.
 
-    def forget(self, keep: int = 2) -> None:
-        """Remove data and version files that none of the last `keep` versions needs."""
+        `keep` must cover the versions published while a reader or a writer is at work.
+        """
         newest = self.version()
-        kept = range(max(newest - keep + 1, 1), newest + 1)
-        live = {folder for number in kept for folder in self._hours(number).values()}
+        oldest = max(newest - keep + 1, 1)
+        live = {
+            folder
+            for number in range(oldest, newest + 1)
+            for folder in self._hours(number).values()
+        }
         for name in folder_names(self.fs, self.spark, f"{self.path}/data"):
             number = int(name.removeprefix("version=").split("-")[0])
-            if number <= newest and name not in live:
+            if number < oldest and name not in live:
                 delete(self.fs, self.spark, f"{self.path}/data/{name}")
         for name in folder_names(self.fs, self.spark, f"{self.path}/versions"):
-            if name.endswith(".json") and int(name.removesuffix(".json")) < kept[0]:
+            if name.endswith(".json") and int(name.removesuffix(".json")) < oldest:
                 delete(self.fs, self.spark, f"{self.path}/versions/{name}")
 
+    @contextmanager
+    def _staged(self, counts: DataFrame) -> Iterator[DataFrame]:
+        """The counts as files, for as long as the block lasts."""
+        stage = f"{self.path}/stage/{uuid.uuid4().hex}"
+        counts.select(*_STAGED.fieldNames()).write.parquet(stage)
+        try:
+            yield self.spark.read.schema(_STAGED).parquet(stage)
+        finally:
+            delete(self.fs, self.spark, stage)
+
     def _change(self, touched: list[str], build: Callable[[DataFrame], DataFrame]) -> int:
-        """Rewrite the touched hours. Starts over on top of a version published meanwhile."""
+        """Rewrite the touched hours and publish them.
+
+        Versions published meanwhile are built upon, and only if they changed one of these
+        hours is the rewrite done again.
+        """
         for _ in range(self.attempts):
             base = self.version()
             held = self._hours(base)
             folder = f"version={base + 1:012d}-{uuid.uuid4().hex}"
-            stored = self._read_hours(held, [hour for hour in held if hour in set(touched)])
             target = f"{self.path}/data/{folder}"
-            self._write(build(stored), target, len(touched))
-            untouched = {hour: where for hour, where in held.items() if hour not in set(touched)}
+            self._write(build(self._read_hours(held, touched)), target, len(touched))
             written = {hour: folder for hour in self._written_hours(target)}
-            if self._claim(base + 1, untouched | written):
-                return base + 1
+            before = [held.get(hour) for hour in touched]
+            while [held.get(hour) for hour in touched] == before:
+                others = {hour: held[hour] for hour in held.keys() - set(touched)}
+                if self._claim(base + 1, others | written):
+                    return base + 1
+                base = self.version()
+                held = self._hours(base)
             delete(self.fs, self.spark, target)
         raise RuntimeError(f"{self.path} changed during each of {self.attempts} attempts")
 
@@ -142,6 +162,8 @@ class AggregateTable:
         return create_once(self.fs, self.spark, name, draft, json.dumps(hours))
 
     def _read_hours(self, held: dict[str, str], hours: list[str]) -> DataFrame:
+        """Rows of those of the hours that hold any."""
+        hours = [hour for hour in hours if hour in held]
         if not hours:
             return self.spark.createDataFrame([], CLICK_AGGREGATES)
         data = f"{self.path}/data"

@@ -197,6 +197,27 @@ def test_readers_keep_their_version_and_writers_notice_each_other(spark, tmp_pat
     assert len(list((tmp_path / "t" / "data").iterdir())) == 1
 
 
+def test_writers_of_different_hours_do_not_disturb_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = AggregateTable(spark, path).create()
+    table.upsert(counts(spark, ("c1", "2026-06-13T14:00:00Z", 3)), now())
+    runs = []
+
+    def slow(stored):
+        runs.append(1)
+        other = AggregateTable(spark, path)
+        other.upsert(counts(spark, ("c9", f"2026-06-13T15:0{len(runs)}:00Z", 9)), now())
+        return stored.withColumn("click_count", F.lit(4).cast("long"))
+
+    assert table._change(["2026-06-13T14"], slow) == 4
+    assert runs == [1]
+    assert shown(table.read()) == [
+        ("c1", "2026-06-13T14:00:00Z", 4, "stream"),
+        ("c9", "2026-06-13T15:01:00Z", 9, "stream"),
+    ]
+    assert not list((tmp_path / "t" / "stage").iterdir())
+
+
 @pytest.mark.parametrize(
     ("cadence", "start", "end"),
     [
