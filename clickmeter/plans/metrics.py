@@ -31,6 +31,7 @@ from clickmeter.settings import (
     MAX_BUCKETS,
     SOURCE_BATCH,
     SOURCE_STREAM,
+    STEP_SECONDS,
 )
 
 _STATUS = {
@@ -233,32 +234,32 @@ def campaign_series(
     """The ordered series of one campaign, for a single request already let through.
 
     Its bounds are constants, so the scan is filtered by them and one small aggregate does.
+    The few buckets are put in order in one partition.
     """
     first, last = F.lit(start), F.lit(end)
-    unit = effective_granularity(first, last, F.lit(granularity))
+    unit = fitted(start, end, granularity)
+    step = F.expr(f"INTERVAL {STEP_SECONDS[unit]} SECONDS")
     counts = (
         aggregates.where(
             (F.col("campaign_id") == campaign_id)
             & (F.col("minute_bucket") >= first)
             & (F.col("minute_bucket") < last)
         )
-        .groupBy(floor_to(unit, F.col("minute_bucket")).alias("bucket_start"))
+        .groupBy(F.date_trunc(unit, "minute_bucket").alias("bucket_start"))
         .agg(
             F.sum("click_count").alias("click_count"),
             BATCH_RULES[source_rule](F.col("source") == SOURCE_BATCH).alias("batch"),
         )
     )
-    starts = F.sequence(
-        floor_to(unit, first), last - F.expr("INTERVAL 1 MICROSECOND"), step_interval(unit)
-    )
-    buckets = aggregates.sparkSession.range(1).select(
-        unit.alias("granularity"), F.explode(starts).alias("bucket_start")
+    starts = F.sequence(F.date_trunc(unit, first), last - F.expr("INTERVAL 1 MICROSECOND"), step)
+    buckets = aggregates.sparkSession.range(0, 1, 1, numPartitions=1).select(
+        F.explode(starts).alias("bucket_start")
     )
     return (
         buckets.join(counts, "bucket_start", "left")
         .select(
             F.lit(campaign_id).alias("campaign_id"),
-            "granularity",
+            F.lit(unit).alias("granularity"),
             iso(F.col("bucket_start")).alias("bucket_start"),
             F.coalesce("click_count", F.lit(0)).alias("click_count"),
             F.when(F.col("batch"), SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
@@ -267,6 +268,16 @@ def campaign_series(
     )
 
 
+def fitted(start: datetime, end: datetime, granularity: str) -> str:
+    """The effective granularity of one request."""
+    for unit in GRANULARITIES[GRANULARITIES.index(granularity) : -1]:
+        step = STEP_SECONDS[unit]
+        floor = int(start.timestamp()) // step * step
+        if -((floor - int(end.timestamp())) // step) <= MAX_BUCKETS:
+            return unit
+    return GRANULARITIES[-1]
+
+
 def responses(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:

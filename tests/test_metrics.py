@@ -138,6 +138,7 @@ def test_coarsening(spark, end, asked, effective, buckets):
         fitted.alias("effective"), metrics.bucket_count(start, stop, fitted).alias("buckets")
     )
     assert rows(row) == [(effective, buckets)]
+    assert metrics.fitted(periods.parse("2026-01-01T00:00:00Z"), periods.parse(end), asked) == effective
 
 
 def test_request_guards_in_order(spark):
