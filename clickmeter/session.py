@@ -17,10 +17,13 @@ def utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where none is named (a laptop or a test run) a temporary folder is set.
+    Only a local session, whose executors share the machine, may go without one; it gets
+    a temporary folder. Elsewhere rows written to a machine's own disk would be lost.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="clickmeter-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
