@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmeter.llm import quality
+from clickmeter.llm import quality, sentencepieces
 from clickmeter.llm.common import table
 
 
@@ -12,9 +13,14 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
+        op6_sentencepiece,
     )
 }
