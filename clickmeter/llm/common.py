@@ -6,12 +6,17 @@ as one numpy array, cut into pieces of bounded size.
 
 from __future__ import annotations
 
+import gc
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import clickmeter
 from clickmeter.session import scratch_folder
 
 ROWS_PER_BATCH = 512
@@ -19,8 +24,17 @@ PIECE_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches: a row may be a very long text."""
+    """Small Arrow batches, as a row may be a very long text; and this package for the workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    context = spark.sparkContext
+    if not getattr(context, "_clickmeter_sent", False):
+        root = Path(clickmeter.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="clickmeter-")).resolve() / "clickmeter.zip"
+        with zipfile.ZipFile(archive, "w") as out:  # the driver serves it as long as it runs
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+        context._clickmeter_sent = True
     return spark
 
 
@@ -125,3 +139,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def list_array(flat: pa.Array | np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), flat if isinstance(flat, pa.Array) else pa.array(flat))
+
+
+def released(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of frames that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def first_of_runs(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it."""
+    if len(values) == 0:
+        return np.zeros(0, np.int64)
+    changed = np.empty(len(values), bool)
+    changed[0] = True
+    np.not_equal(values[1:], values[:-1], out=changed[1:])
+    return np.flatnonzero(changed)

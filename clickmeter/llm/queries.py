@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmeter.llm import quality, sentencepieces
+from clickmeter.llm import quality, sentencepieces, suffixdedup
 from clickmeter.llm.common import table
 
 
@@ -17,10 +17,15 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixdedup.removals(table(spark, folder, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
         op6_sentencepiece,
+        op7_suffix_array_dedup,
     )
 }
