@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+SHORT = 40
+NONE = float("inf")
 DIGESTS = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, n_differing long"
 )
@@ -72,7 +74,28 @@ class Pieces:
         return marks - spanned
 
     def merged(self, stretch: str) -> list[str]:
-        """The symbols that are left when the agenda is empty."""
+        """The symbols that are left when the agenda is empty.
+
+        The agenda of a short stretch is a list in order of place, of a longer one a heap.
+        """
+        if len(stretch) > SHORT:
+            return self._merged_long(stretch)
+        symbols, cost = list(stretch), self.cost.get
+        agenda = [cost(a + b, NONE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == NONE:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], NONE)
+            if i < len(agenda):
+                agenda[i] = cost(symbols[i] + symbols[i + 1], NONE)
+        return symbols
+
+    def _merged_long(self, stretch: str) -> list[str]:
         symbols = list(stretch)
         n = len(symbols)
         cost = self.cost
