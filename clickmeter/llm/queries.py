@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmeter.llm import quality, sentencepieces, suffixdedup
+from clickmeter.llm import bagminhash, quality, sentencepieces, suffixdedup
 from clickmeter.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
 
+def op3_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.classes(table(spark, folder, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -25,6 +29,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
+        op3_bagminhash,
         op6_sentencepiece,
         op7_suffix_array_dedup,
     )
