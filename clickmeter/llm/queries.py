@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmeter.llm import bagminhash, quality, sentencepieces, suffixdedup
+from clickmeter.llm import bagminhash, decontaminate, linededup, quality, sentencepieces, suffixdedup
 from clickmeter.llm.common import table
 
 
@@ -13,10 +13,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(table(spark, folder, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return bagminhash.classes(table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.report(table(spark, folder, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -29,7 +37,9 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
+        op2_decontamination,
         op3_bagminhash,
+        op4_line_dedup,
         op6_sentencepiece,
         op7_suffix_array_dedup,
     )
