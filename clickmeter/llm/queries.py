@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmeter.llm import bagminhash, decontaminate, linededup, quality, sentencepieces, suffixdedup
+from clickmeter.llm import bagminhash, decontaminate, linededup, paragraphs, quality, sentencepieces, suffixdedup
 from clickmeter.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixdedup.removals(table(spark, folder, "documents"))
 
 
+def op8_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.removals(table(spark, folder, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -42,5 +46,6 @@ QUERIES = {
         op4_line_dedup,
         op6_sentencepiece,
         op7_suffix_array_dedup,
+        op8_paragraph_dedup,
     )
 }
