@@ -4,8 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from clickmeter.llm import bagminhash, decontaminate, linededup, paragraphs, quality, sentencepieces, suffixdedup
+from pyspark.sql import functions as F
+
+from clickmeter.llm import (
+    bagminhash,
+    decontaminate,
+    licenses,
+    linededup,
+    paragraphs,
+    quality,
+    sentencepieces,
+    suffixdedup,
+    tokencounts,
+    toolcalls,
+)
 from clickmeter.llm.common import table
 
 
@@ -25,6 +37,12 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return linededup.report(table(spark, folder, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.section_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -37,6 +55,17 @@ def op8_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.removals(table(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: a source's languages are directories, with a thousand ids each below."""
+    place = F.concat_ws("/", F.lit(""), "source", "lang", F.expr("cast(doc_id div 1000 as string)"), F.col("doc_id").cast("string"))
+    return licenses.scanned(table(spark, folder, "documents").withColumn("path", place))
+
+
+def op10_chat_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = toolcalls.from_dialogues(table(spark, folder, "conversations"))
+    return toolcalls.linked(calls, results, toolcalls.QUESTION)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -44,8 +73,11 @@ QUERIES = {
         op2_decontamination,
         op3_bagminhash,
         op4_line_dedup,
+        op5_token_counts,
         op6_sentencepiece,
         op7_suffix_array_dedup,
         op8_paragraph_dedup,
+        op9_license_scan,
+        op10_chat_tool_calls,
     )
 }
