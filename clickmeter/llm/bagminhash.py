@@ -28,11 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmeter.llm import near
-from clickmeter.llm.common import list_array, mixed, pieces, released, text_bytes, written
+from clickmeter.llm.common import list_array, mixed, pieces, text_bytes, written
 
 COMPONENTS = 96
 BAND_ROWS = 4
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+GOLDEN = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
 
 
 def _uniform(bits: np.ndarray) -> np.ndarray:
@@ -49,17 +50,17 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int
         some = np.flatnonzero(weights > low)
         if not len(some):
             break
-        seeds = mixed(hashes[some] + np.uint64(high) * GOLDEN)
+        seeds = mixed(hashes[some] + np.uint64(high * GOLDEN & MASK))
         parts.append((rows[some], seeds, weights[some], np.full(len(some), low), np.full(len(some), high - low)))
         low = high
     if not parts:
         return least
     row, seed, weight, low, width = (np.concatenate(x) for x in zip(*parts, strict=True))
     time = np.zeros(len(row))
-    step = np.uint64(0)
+    step = 0
     while len(row):
-        step += np.uint64(1)
-        bits = mixed(seed + step * GOLDEN)
+        step += 1
+        bits = mixed(seed + np.uint64(step * GOLDEN & MASK))
         time = time - np.log(_uniform(bits)) / width
         other = mixed(bits ^ seed)
         component = (other % np.uint64(size)).astype(np.int64)
@@ -107,21 +108,18 @@ def classes(docs: DataFrame, ids: str = "doc_id", text: str = "text", threshold:
 
     text_id is the least doc_id with the same words, class_id the least doc_id of the class.
     """
-    spark = docs.sparkSession
     read = docs.select(F.col(ids).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = written(
         read.where("doc_id is not null").mapInArrow(_sketches, "doc_id long, item long, bands array<long>"), "sketches"
     )
     items = sketches.groupBy("item").agg(F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"))
     items = written(items, "items")
-    released(spark)
 
     def grams_of(wanted: DataFrame) -> DataFrame:
         rows = wanted.join(items.select("item", F.col("text_id").alias("doc_id")), "item")
         return rows.join(read, "doc_id").select("item", "text").mapInArrow(_grams, "item long, grams array<long>")
 
     known = near.links(items.select("item", "bands"), grams_of, threshold)
-    released(spark)
     texts = items.select("item", "text_id").join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
     least = texts.groupBy("component").agg(F.min("text_id").alias("class_id"))
     texts = texts.join(least, "component").select("item", "text_id", "class_id")
@@ -136,4 +134,4 @@ def classes(docs: DataFrame, ids: str = "doc_id", text: str = "text", threshold:
 def kept(docs: DataFrame, ids: str = "doc_id", text: str = "text", threshold: float = near.THRESHOLD) -> DataFrame:
     """The documents without those whose class has a smaller doc_id; rows without doc_id stay."""
     gone = classes(docs, ids, text, threshold).where("doc_id <> class_id").select(F.col("doc_id").alias(ids)).distinct()
-    return docs.join(gone, ids, "left_anti")
+    return docs.join(gone.hint("merge"), ids, "left_anti")

@@ -6,7 +6,6 @@ as one numpy array, cut into pieces of bounded size.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -20,7 +19,7 @@ import clickmeter
 from clickmeter.session import scratch_folder
 
 ROWS_PER_BATCH = 512
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 17  # arrays of 8 bytes for each stay in a core's cache
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -42,11 +41,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts lineage and survives lost executors."""
+    """The rows as a table in the shared folder: cuts lineage and survives lost executors.
+
+    Shuffle files of the write go when it ends, as nothing reads them again.
+    """
     spark = frame.sparkSession
     path = scratch_folder(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -90,19 +100,29 @@ BASE = 0xD6E8FEB86659FD93 | 5
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+_POWERS = {BASE: np.ones(1, np.uint64), BASE_INVERSE: np.ones(1, np.uint64)}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers modulo 2^64; up to a few pieces long they are kept."""
+    known = _POWERS[base]
+    if len(known) < n:
+        known = np.full(max(n, 2 * PIECE_BYTES), base, np.uint64)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if len(known) <= 8 * PIECE_BYTES:
+            _POWERS[base] = known
+    return known[:n]
+
+
 class SpanHashes:
     """Hashes of any spans of a byte array, from one running polynomial sum."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        powers = np.full(n + 1, BASE, np.uint64)
-        powers[:1] = 1
-        np.cumprod(powers, out=powers)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_CODES[data] * powers[:n], out=self.sums[1:])
-        self.undo = np.full(n + 1, BASE_INVERSE, np.uint64)
-        self.undo[:1] = 1
-        np.cumprod(self.undo, out=self.undo)
+        np.cumsum(BYTE_CODES[data] * powers(BASE, n), out=self.sums[1:])
+        self.undo = powers(BASE_INVERSE, n + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mixed((self.sums[ends] - self.sums[starts]) * self.undo[starts] + (ends - starts).astype(np.uint64))
@@ -141,12 +161,6 @@ def list_array(flat: pa.Array | np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), flat if isinstance(flat, pa.Array) else pa.array(flat))
 
 
-def released(spark: SparkSession) -> None:
-    """Let the driver drop the shuffle files of frames that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def first_of_runs(values: np.ndarray) -> np.ndarray:
     """Where a value differs from the one before it."""
     if len(values) == 0:

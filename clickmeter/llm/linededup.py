@@ -134,13 +134,13 @@ def _marked(docs: DataFrame) -> DataFrame:
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     again = found.select("doc_id", "hash").join(repeated, "hash").groupBy("doc_id").agg(F.collect_set("hash").alias("again"))
     again = written(again, "repeated-chunks")
-    contents = known.select("doc_id", "text").join(again, "doc_id").mapInArrow(
+    contents = known.select("doc_id", "text").join(again.hint("merge"), "doc_id").mapInArrow(
         _contents, "hash long, content string, doc_id long, place long"
     )
     first = contents.groupBy("hash", "content").agg(F.min(F.struct("doc_id", "place")).alias("first"))
     first = first.groupBy("first.doc_id").agg(F.collect_list(F.struct("first.place", "hash")).alias("first"))
     first = written(first, "first-chunks")
-    return known.join(again, "doc_id", "left").join(first, "doc_id", "left")
+    return known.join(again.hint("merge"), "doc_id", "left").join(first.hint("merge"), "doc_id", "left")
 
 
 def report(docs: DataFrame, ids: str = "doc_id", text: str = "text") -> DataFrame:

@@ -20,7 +20,8 @@ Exact copies of a text go first: all but the least doc_id lose every byte, if th
 `length` or more. Strings are judged on the input, so overlaps and removed bytes count.
 
 Defined cases: a null text is empty. Texts shorter than `length` lose nothing. Rows with the
-same doc_id do not remove each other; each row gets its own result. An empty table gives an
+same doc_id do not remove each other; each row gets its own result. Rows without doc_id
+neither lose nor remove anything. An empty table gives an
 empty one. Only the two named columns are read, so other columns cannot clash. A text is
 handled as a whole in one task; the rest in pieces of bounded size. Grams and texts are told
 apart by 64 and 256-bit hashes, strings by their bytes.
@@ -37,11 +38,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmeter.llm.common import SpanHashes, first_of_runs, list_array, pieces, released, text_bytes, written
+from clickmeter.llm.common import SpanHashes, first_of_runs, list_array, mixed, pieces, text_bytes, written
 
 LENGTH = 50
 GRAM = 20
 BUCKET_BYTES = 2_000_000
+OF_ROW = np.uint64(0x9FB21C651E98DF25)
+TOGETHER = 1000  # snippets of a transform; small ones stay in a core's cache
+NOTHING = np.zeros(0, np.int64)
+LOST = "key long, first long, lost array<int>"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -97,6 +102,26 @@ def _anchor_rows(length: int, gram: int):
     return run
 
 
+def _cut(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of spans, which may overlap."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(bounds[-1]) + np.repeat(starts - bounds[:-1], sizes)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data[at])]
+    )
+
+
+def _shared_anchors(data: np.ndarray, offsets: np.ndarray, shared: pa.Array, length: int, gram: int):
+    """The anchor occurrences of the texts that are among the shared ones of their document."""
+    rows, hashes, first, count = anchors(data, offsets, length, gram)
+    lists = shared.offsets.to_numpy()
+    flat = shared.values.to_numpy().view(np.uint64)
+    owner = np.repeat(np.arange(len(shared), dtype=np.uint64), np.diff(lists))
+    flat = flat[lists[0] : lists[-1]]
+    mark = np.isin(mixed(hashes.view(np.uint64) + rows.astype(np.uint64) * OF_ROW), mixed(flat + owner * OF_ROW))
+    return rows[mark], hashes[mark], first[mark], count[mark]
+
+
 def _snippet_rows(length: int, gram: int):
     """Of documents with the anchors they share: anchor, snippet and doc_id."""
 
@@ -104,17 +129,11 @@ def _snippet_rows(length: int, gram: int):
         for batch in batches:
             ids, shared = batch.column(0).to_numpy(), batch.column(2)
             data, offsets = text_bytes(batch.column(1))
-            for i in range(len(batch)):
-                own = data[offsets[i] : offsets[i + 1]]
-                _, hashes, first, count = anchors(own, np.array([0, len(own)]), length, gram)
-                keep = np.isin(hashes, shared[i].values.to_numpy())
-                whole = own.tobytes()
-                cut = {
-                    (h, whole[s : s + c + length - 1])
-                    for h, s, c in zip(hashes[keep].tolist(), first[keep].tolist(), count[keep].tolist(), strict=True)
-                }
+            for a, b in pieces(offsets):
+                own = data[offsets[a] : offsets[b]]
+                rows, hashes, first, count = _shared_anchors(own, offsets[a : b + 1] - offsets[a], shared.slice(a, b - a), length, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h for h, _ in cut], pa.int64()), pa.array([s for _, s in cut], pa.binary()), pa.array(np.full(len(cut), ids[i]), pa.int64())],
+                    [pa.array(hashes), _cut(own, first, count + length - 1), pa.array(ids[a + rows])],
                     names=["anchor", "snippet", "doc_id"],
                 )
 
@@ -180,13 +199,12 @@ def row_groups(symbols: np.ndarray, length: int, longest: int) -> tuple[np.ndarr
     return order, np.cumsum(boundary)
 
 
-def lost_strings(snippets: list[bytes], firsts: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each snippet the strings, by their place in it, that a snippet of an earlier document holds."""
-    sizes = np.fromiter(map(len, snippets), np.int64, len(snippets))
-    symbols = np.frombuffer(b"\x00".join(snippets) + b"\x00", np.uint8).astype(np.uint16) + 1
-    bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
-    symbols[bounds[1:] - 1] = 0
-    order, group = row_groups(symbols, length, int(sizes.max()) + 1)
+def lost_strings(symbols: np.ndarray, bounds: np.ndarray, firsts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Snippet and place of the strings that a snippet of an earlier document holds.
+
+    Snippet i is symbols[bounds[i] : bounds[i + 1] - 1], and a separator 0 follows it.
+    """
+    order, group = row_groups(symbols, length, int(np.diff(bounds).max()))
     owner = np.searchsorted(bounds, order, "right") - 1
     valid = bounds[owner + 1] - 1 - order >= length
     order, group, owner = order[valid], group[valid], owner[valid]
@@ -194,62 +212,147 @@ def lost_strings(snippets: list[bytes], firsts: np.ndarray, length: int) -> list
     doc = firsts[owner]
     least = np.minimum.reduceat(doc, starts) if len(starts) else doc
     lost = doc > np.repeat(least, np.diff(np.append(starts, len(group))))
-    place, owner = (order - bounds[owner])[lost], owner[lost]
-    by_owner = np.argsort(owner, kind="stable")
-    place, owner = place[by_owner], owner[by_owner]
-    cut = np.searchsorted(owner, np.arange(len(snippets) + 1))
-    return [place[cut[i] : cut[i + 1]] for i in range(len(snippets))]
+    return owner[lost], (order - bounds[owner])[lost]
+
+
+def _with_separators(data: np.ndarray, offsets: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of some snippets, bytes and one, each with a separator 0 behind it."""
+    sizes = (offsets[1:] - offsets[:-1])[some]
+    bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
+    at = np.arange(bounds[-1]) + np.repeat(offsets[some] - bounds[:-1], sizes + 1)
+    at[bounds[1:] - 1] = 0
+    symbols = data[at].astype(np.uint16) + 1
+    symbols[bounds[1:] - 1] = 0
+    return symbols, bounds
+
+
+def _keys(anchor: np.ndarray, snippet: np.ndarray) -> np.ndarray:
+    """One key of an anchor and the hash of a snippet."""
+    return mixed(anchor.view(np.uint64) ^ mixed(snippet + OF_ROW))
+
+
+def _snippet_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    parts = [
+        SpanHashes(data[offsets[a] : offsets[b]]).of(offsets[a:b] - offsets[a], offsets[a + 1 : b + 1] - offsets[a])
+        for a, b in pieces(offsets)
+    ]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def _may_share(data: np.ndarray, offsets: np.ndarray, some: np.ndarray, length: int) -> np.ndarray:
+    """Of some snippets those with a string whose hash occurs twice; the others share none."""
+    counts = (offsets[1:] - offsets[:-1])[some] - length + 1
+    ends = np.cumsum(counts)
+    starts = np.arange(ends[-1]) + np.repeat(offsets[some] - (ends - counts), counts)
+    hashes = np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), 1 << 16):
+        part = starts[a : a + (1 << 16)]
+        low = int(part.min())
+        hashes[a : a + (1 << 16)] = SpanHashes(data[low : int(part.max()) + length]).windows(length)[part - low]
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    again = np.zeros(len(order), bool)
+    again[1:] = ordered[1:] == ordered[:-1]
+    again[:-1] |= again[1:]
+    return some[np.unique(np.searchsorted(ends, order[again], "right"))]
 
 
 def _bucket(length: int):
+    """Key, first document and lost strings of the snippets of a bucket.
+
+    Snippets with an anchor of their own, or no string that may occur twice, lose nothing.
+    """
+
     def run(rows: pa.Table) -> pa.Table:
-        snippets = rows.column("snippet").to_pylist()
-        firsts = rows.column("first").to_numpy()
-        lost = lost_strings(snippets, firsts, length)
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in lost])])
-        flat = np.concatenate(lost) if lost else np.zeros(0, np.int64)
-        return pa.table(
-            {"anchor": rows.column("anchor"), "snippet": rows.column("snippet"), "first": rows.column("first"), "lost": list_array(flat.astype(np.int32), bounds)}
-        )
+        anchor, firsts = rows.column("anchor").to_numpy(), rows.column("first").to_numpy()
+        order = np.argsort(anchor, kind="stable")  # an anchor's snippets stay together
+        anchor, firsts = anchor[order], firsts[order]
+        data, offsets = text_bytes(rows.column("snippet").combine_chunks().take(pa.array(order)))
+        runs = first_of_runs(anchor)
+        sizes = np.diff(np.append(runs, len(anchor)))
+        some = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        some = _may_share(data, offsets, some, length) if len(some) else some
+        owners, places = [NOTHING], [NOTHING]
+        edges = first_of_runs(anchor[some])
+        cuts = np.append(edges[first_of_runs(edges // TOGETHER)], len(some))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = some[a:b]
+            owner, place = lost_strings(*_with_separators(data, offsets, part), firsts[part], length)
+            owners.append(part[owner])
+            places.append(place)
+        owner, place = np.concatenate(owners), np.concatenate(places)
+        by_owner = np.argsort(owner, kind="stable")
+        bounds = np.searchsorted(owner[by_owner], np.arange(len(anchor) + 1))
+        keys = _keys(anchor, _snippet_hashes(data, offsets))
+        return pa.table({"key": keys.view(np.int64), "first": firsts, "lost": list_array(place[by_owner].astype(np.int32), bounds)})
 
     return run
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = _snippet_hashes(*text_bytes(batch.column(1)))
+        keys = _keys(batch.column(0).to_numpy(), hashes)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(2), batch.column(3)], names=["key", "first", "lost"])
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row of every entry of a list column, and the entries."""
+    bounds = lists.offsets.to_numpy()
+    entries = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+    return np.repeat(np.arange(len(lists), dtype=np.uint64), np.diff(bounds)), entries
+
+
+def _removed_bytes(data: np.ndarray, offsets: np.ndarray, shared: pa.Array, own: pa.Array, lost: pa.Array, length: int, gram: int) -> np.ndarray:
+    """Which bytes of a piece of texts lie in strings of earlier documents."""
+    rows, anchor, first, count = _shared_anchors(data, offsets, shared, length, gram)
+    end = first + count + length - 1
+    edge = np.zeros(len(data) + 1, np.int64)
+    if len(rows):
+        key = mixed(_keys(anchor, SpanHashes(data).of(first, end)) + rows.astype(np.uint64) * OF_ROW)
+        owner, entries = _flat(own)
+        mine = np.isin(key, mixed(entries.to_numpy().view(np.uint64) + owner * OF_ROW))
+        np.add.at(edge, first[~mine], 1)
+        np.add.at(edge, end[~mine], -1)
+        owner, entries = _flat(lost)
+        if len(entries):
+            known = mixed(entries.field("key").to_numpy().view(np.uint64) + owner * OF_ROW)
+            order = np.argsort(known)
+            bounds = entries.field("lost").offsets.to_numpy()
+            places = entries.field("lost").values.to_numpy()
+            at = np.minimum(np.searchsorted(known[order], key), len(known) - 1)
+            hit = np.flatnonzero(known[order][at] == key)
+            entry = order[at[hit]]
+            sizes = bounds[entry + 1] - bounds[entry]
+            flat = np.arange(sizes.sum()) + np.repeat(bounds[entry] - (np.cumsum(sizes) - sizes), sizes)
+            start = np.repeat(first[hit], sizes) + places[flat]
+            np.add.at(edge, start, 1)
+            np.add.at(edge, start + length, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _removed(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, copy = batch.column("doc_id"), batch.column("copy").to_pylist()
-            shared, own = batch.column("shared"), batch.column("own")
+            copy = batch.column("copy").to_pylist()
+            lists = [batch.column(c) for c in ("shared", "own", "lost")]
             data, offsets = text_bytes(batch.column("text"))
             sizes, removed, spans, digests = [], [], [], []
-            for i in range(len(batch)):
-                text = data[offsets[i] : offsets[i + 1]]
-                n = len(text)
-                gone = np.zeros(n, bool)
-                if copy[i] and n >= length:
-                    gone[:] = True
-                elif shared[i].is_valid and n >= length:
-                    _, hashes, first, count = anchors(text, np.array([0, n]), length, gram)
-                    keep = np.isin(hashes, shared[i].values.to_numpy())
-                    mine = {(x["anchor"], x["snippet"]): x["lost"] for x in own[i].as_py() or []}
-                    whole = text.tobytes()
-                    edge = np.zeros(n + 1, np.int64)
-                    for h, s, c in zip(hashes[keep].tolist(), first[keep].tolist(), count[keep].tolist(), strict=True):
-                        lost = mine.get((h, whole[s : s + c + length - 1]))
-                        if lost is None:
-                            edge[s] += 1
-                            edge[s + c + length - 1] -= 1
-                        else:
-                            for k in lost:
-                                edge[s + k] += 1
-                                edge[s + k + length] -= 1
-                    gone = np.cumsum(edge[:n]) > 0
-                sizes.append(n)
-                removed.append(int(gone.sum()))
-                spans.append(int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (n > 0 and gone[0])))
-                digests.append(hashlib.sha256(text[~gone].tobytes()).hexdigest())
+            for a, b in pieces(offsets):
+                part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                gone = _removed_bytes(part, bounds, *(x.slice(a, b - a) for x in lists), length, gram)
+                for i in range(a, b):
+                    text, cut = part[bounds[i - a] : bounds[i - a + 1]], gone[bounds[i - a] : bounds[i - a + 1]]
+                    n = len(text)
+                    if copy[i] and n >= length:
+                        cut = np.ones(n, bool)
+                    lost = int(np.count_nonzero(cut))
+                    sizes.append(n)
+                    removed.append(lost)
+                    spans.append(int(np.count_nonzero(cut[1:] & ~cut[:-1]) + cut[0]) if lost else 0)
+                    digests.append(hashlib.sha256(text[~cut].tobytes() if lost else text.tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(digests, pa.string())],
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)), pa.array(digests, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
@@ -260,26 +363,23 @@ def removals(
     docs: DataFrame, ids: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
     """For each document: n_bytes, n_removed, n_spans and the hash of what is left."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(ids).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     # Texts that an earlier document has whole.
-    known = docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"))
+    known = docs.where("doc_id is not null").select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("key"))
     first = known.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     copies = (
         known.join(first, "sha").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("copies"))
     )
 
-    found = docs.mapInArrow(_anchor_rows(length, gram), "anchor long, doc_id long")
+    found = docs.where("doc_id is not null").mapInArrow(_anchor_rows(length, gram), "anchor long, doc_id long")
     both = found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     both = written(both.select("anchor"), "shared-anchors")
-    released(spark)
     shared = found.join(both.hint("shuffle_hash"), "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     marks = written(
         shared.join(copies, "doc_id", "full").select("doc_id", "shared", F.coalesce("copies", F.array().cast("array<long>")).alias("copies")),
         "candidate-documents",
     )
-    released(spark)
 
     is_copy = F.coalesce(F.array_contains("copies", F.xxhash64("text")), F.lit(False))
     candidates = docs.join(marks, "doc_id").where(F.col("shared").isNotNull() & ~is_copy)
@@ -287,32 +387,25 @@ def removals(
         _snippet_rows(length, gram), "anchor long, snippet binary, doc_id long"
     )
     snippets = written(snippets.groupBy("anchor", "snippet").agg(F.min("doc_id").alias("first")), "snippets")
-    released(spark)
 
-    several = (
-        snippets.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("snippet")).alias("bytes"))
-        .where("n > 1")
-    )
-    several = written(several, "anchors-with-several")
-    total = several.agg(F.sum("bytes")).first()[0] or 0
+    sizes = snippets.groupBy("anchor").agg(F.sum(F.length("snippet")).alias("bytes"))
+    large = written(sizes.where(F.col("bytes") > bucket_bytes).select("anchor"), "large-anchors")
+    total = snippets.agg(F.sum(F.length("snippet"))).first()[0] or 0
     buckets = max(1, math.ceil(2 * total / bucket_bytes))
-    normal = snippets.join(several.where(F.col("bytes") <= bucket_bytes).select("anchor"), "anchor")
+    hot = not large.isEmpty()
+    normal = snippets.join(large, "anchor", "left_anti") if hot else snippets
     lost = (
         normal.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
         .groupBy("bucket")
-        .applyInArrow(_bucket(length), "anchor long, snippet binary, first long, lost array<int>")
-    )
-    hot = snippets.join(several.where(F.col("bytes") > bucket_bytes).select("anchor"), "anchor")
-    lost = lost.unionByName(_lost_by_grouping(hot, length))
-    single = snippets.join(several.select("anchor"), "anchor", "left_anti").withColumn("lost", F.array().cast("array<int>"))
-    own = (
-        single.unionByName(lost)
-        .groupBy(F.col("first").alias("doc_id"))
-        .agg(F.collect_list(F.struct("anchor", "snippet", "lost")).alias("own"))
+        .applyInArrow(_bucket(length), LOST)
     )
+    if hot:
+        rest = _lost_by_grouping(snippets.join(large, "anchor", "left_semi"), length)
+        lost = lost.unionByName(rest.mapInArrow(_keyed, LOST))
+    some = F.when(F.size("lost") > 0, F.struct("key", "lost"))
+    own = lost.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("key").alias("own"), F.collect_list(some).alias("lost"))
     rows = docs.join(marks, "doc_id", "left").join(own, "doc_id", "left")
-    return rows.select("doc_id", "text", is_copy.alias("copy"), "shared", "own").mapInArrow(_removed(length, gram), RESULT)
+    return rows.select("doc_id", "text", is_copy.alias("copy"), "shared", "own", "lost").mapInArrow(_removed(length, gram), RESULT)
 
 
 def _lost_by_grouping(snippets: DataFrame, length: int) -> DataFrame:

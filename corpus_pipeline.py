@@ -6,9 +6,11 @@ the docs of the next stage. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickmeter.llm import quality
+from clickmeter.llm import bagminhash, decontaminate, linededup, quality, sentencepieces
 from clickmeter.llm.common import prepare, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -20,8 +22,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept(docs).select(*COLUMNS)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated chunks of lines; those left without a word go."""
+    prepare(spark)
+    rest = linededup.stripped(docs).where(F.col("text").rlike("[^ \\t-\\r]"))
+    return rest.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every class of near copies."""
+    prepare(spark)
+    return bagminhash.kept(docs).select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.kept(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of every document and the hash of the text decoded from them."""
+    prepare(spark)
+    pieces = sentencepieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding and decoding", encoding),
 ]
 
 #: Signatures, alignment and encoding are not for SQL; tests hold them against brute force.
