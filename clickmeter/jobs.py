@@ -16,14 +16,14 @@ from clickmeter import periods
 from clickmeter.plans import metrics, reconcile
 from clickmeter.schemas import AD, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.session import utc
-from clickmeter.settings import CHECKPOINT_INTERVAL, RETENTION_DAYS, WATERMARK_DELAY
+from clickmeter.settings import RETENTION_DAYS, TRIGGER_SECONDS, WATERMARK_DELAY
 from clickmeter.sources import archive, catalog, clickstream
 from clickmeter.sources.aggregates import AggregateTable
 from clickmeter.streaming import archiving, capturing, counting
 
 
 def _trigger(args) -> dict:
-    return {"availableNow": True} if args.once else {"processingTime": CHECKPOINT_INTERVAL}
+    return {"availableNow": True} if args.once else {"processingTime": f"{args.every_seconds} seconds"}
 
 
 def _records(spark: SparkSession, args) -> DataFrame:
@@ -54,9 +54,8 @@ def capture(spark: SparkSession, args) -> None:
         .select("request.*")
     )
     ads = spark.read.schema(AD).parquet(args.catalog)
-    accepted = capturing.quick_accepted_events if args.quick else capturing.accepted_events
     capturing.start_capturing(
-        accepted(requests, ads), args.out, args.checkpoint, _trigger(args)
+        capturing.accepted_events(requests, ads), args.out, args.checkpoint, _trigger(args)
     ).awaitTermination()
 
 
@@ -71,16 +70,30 @@ def count(spark: SparkSession, args) -> None:
 
 
 def archive_stream(spark: SparkSession, args) -> None:
-    for query in archiving.start_archiving(
+    """Both writers; if one fails the other is stopped and the job fails."""
+    queries = archiving.start_archiving(
         _records(spark, args), args.raw_path, args.error_path, args.checkpoint, _trigger(args)
-    ):
-        query.awaitTermination()
+    )
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(1)
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
 
 
 def expire(spark: SparkSession, args) -> None:
     archive.drop_expired(spark, args.raw_path, datetime.now(UTC).date(), args.days)
 
 
+def forget(spark: SparkSession, args) -> None:
+    """Remove versions of the aggregate table that were replaced some hours ago."""
+    AggregateTable(spark, args.table).forget(timedelta(hours=args.hours))
+
+
 def reconcile_period(spark: SparkSession, args) -> None:
     """The given period, or the last closed hour or day."""
     if args.period_start:
@@ -118,12 +131,13 @@ def _parser() -> argparse.ArgumentParser:
                     f"--{option}", default=default, type=int if isinstance(default, int) else str
                 )
 
-    stream = {"folder": None, "topic": None, "servers": None, "once": False}
+    stream = {"folder": None, "topic": None, "servers": None, "once": False, "every_seconds": TRIGGER_SECONDS}
     job("create-tables", create_tables, "table", archive_name=None, raw_path=None)
     job("load-catalog", load_catalog, "document", "created_at", "out", catalog=None)
-    job("capture", capture, "catalog", "out", "checkpoint", quick=False, **stream)
+    job("capture", capture, "catalog", "out", "checkpoint", **stream)
     job("count", count, "table", "checkpoint", delay=WATERMARK_DELAY, **stream)
     job("archive", archive_stream, "raw_path", "error_path", "checkpoint", **stream)
+    job("forget", forget, "table", hours=24)
     job("expire", expire, "raw_path", days=RETENTION_DAYS)
     job(
         "reconcile",

@@ -37,12 +37,13 @@ def in_period(bucket: Column, start, end) -> Column:
 def swap_period(stored: DataFrame, counts: DataFrame, start, end, as_of: Column) -> DataFrame:
     """Drop every stored row of `[start, end)` and put the recomputed ones in their place.
 
-    Stored rows the recompute did not find vanish with the rest of the period.
+    Stored rows the recompute did not find vanish with the rest of the period. Counts outside
+    it are left out: their minutes were not taken away.
     """
     columns = [*KEY, *_VALUES]
     kept = stored.where(~in_period(F.col("minute_bucket"), start, end)).select(*columns)
     return kept.unionByName(
-        counts.select(
+        counts.where(in_period(F.col("minute_bucket"), start, end)).select(
             *KEY,
             "click_count",
             F.lit(SOURCE_BATCH).alias("source"),

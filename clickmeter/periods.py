@@ -27,7 +27,8 @@ def last_closed(as_of: datetime, cadence: str = "hour") -> tuple[datetime, datet
 
 
 def hours_between(start: datetime, end: datetime) -> list[str]:
-    """The hours that overlap `[start, end)`, as `yyyy-MM-ddTHH`."""
+    """The UTC hours that overlap `[start, end)`, as `yyyy-MM-ddTHH`."""
+    start, end = utc(start), utc(end)
     hour = start.replace(minute=0, second=0, microsecond=0)
     hours = []
     while hour < end:
@@ -37,4 +38,12 @@ def hours_between(start: datetime, end: datetime) -> list[str]:
 
 
 def hour_name(time: datetime) -> str:
-    return time.strftime("%Y-%m-%dT%H")
+    """The UTC hour of a time, as folders are named."""
+    return utc(time).strftime("%Y-%m-%dT%H")
+
+
+def utc(time: datetime) -> datetime:
+    """The time in UTC; one without an offset could be any hour and is refused."""
+    if time.tzinfo is None:
+        raise ValueError(f"{time} has no offset")
+    return time.astimezone(UTC)

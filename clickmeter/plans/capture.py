@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmeter.functions.events import event_columns, event_id
@@ -64,17 +67,26 @@ def outcomes(
 ) -> DataFrame:
     """What each request is answered: `status`, `reason`, `location`, and if it `emitted`.
 
-    Accepted clicks are matched back by request id, which no two requests share, so that
-    a hot impression spreads evenly.
+    Accepted clicks are matched back by request and impression, so that a hot impression
+    spreads evenly. Of deliveries of the same request one is the accepted one: they are told
+    apart by a number, and the first goes with the click.
     """
     judged = judged_requests(requests, ads)
     valid = judged.where(F.col("reason").isNull())
-    accepted = first_clicks(valid, ["request_id"], ttl_seconds).select(
-        "request_id", F.lit(True).alias("accepted")
+    match = ["request_id", "impression_id", "ad_id", "arrival", "clicked_at"]
+    accepted = first_clicks(valid, ["request_id", "ad_id"], ttl_seconds).select(
+        *(F.col(name).alias(f"first_{name}") for name in match), F.lit(True).alias("accepted")
+    )
+    arrival = F.unix_timestamp("received_at")
+    delivery = F.row_number().over(
+        Window.partitionBy(*match).orderBy("user_agent", "click_text")
     )
+    same = [F.col(name).eqNullSafe(F.col(f"first_{name}")) for name in match]
     accepting = F.col("reason").isNull()
     return (
-        judged.join(accepted, "request_id", "left")
+        judged.withColumn("arrival", arrival)
+        .withColumn("delivery", delivery)
+        .join(accepted, reduce(and_, [*same, F.col("delivery") == 1]), "left")
         .withColumns(
             {
                 "status": F.when(accepting, 302)

@@ -12,6 +12,7 @@ IMPRESSION_TTL_SECONDS = 172800
 WATERMARK_DELAY = "30 seconds"
 WINDOW_LENGTH = "1 minute"
 CHECKPOINT_INTERVAL = "60 seconds"
+TRIGGER_SECONDS = 5
 DEFAULT_SALT = 8
 RETENTION_DAYS = 30
 BEARER_PREFIX = "Bearer "

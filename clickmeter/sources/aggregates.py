@@ -14,10 +14,11 @@ all of a change or none of it; earlier folders stay for readers still on them un
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,17 @@ from clickmeter.operators.merging import KEY, swap_period, upsert
 from clickmeter.periods import hour_name, hours_between
 from clickmeter.schemas import CLICK_AGGREGATES
 from clickmeter.settings import SOURCE_STREAM
-from clickmeter.sources.files import create_once, delete, file_system, folder_names, read_text
+from clickmeter.sources.files import (
+    create_once,
+    delete,
+    file_system,
+    file_times,
+    folder_names,
+    read_text,
+)
 
 _STAGED = StructType(CLICK_AGGREGATES.fields[:3])
 _COLUMNS = CLICK_AGGREGATES.fieldNames()[:-2]
-_HOURS_BY_SIZE = 48
 
 
 class AggregateTable:
@@ -49,12 +56,15 @@ class AggregateTable:
         return self
 
     def version(self) -> int:
-        numbers = [
-            int(name.removesuffix(".json"))
-            for name in folder_names(self.fs, self.spark, f"{self.path}/versions")
-            if name.endswith(".json")
-        ]
-        return max(numbers, default=0)
+        return max(self._versions(), default=0)
+
+    def _versions(self) -> dict[int, float]:
+        """The versions and when each was made."""
+        return {
+            int(name.removesuffix(".json")): made
+            for name, made in file_times(self.fs, self.spark, f"{self.path}/versions").items()
+            if name.endswith(".json") and not name.startswith(".")
+        }
 
     def read(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         """The current rows, of `[start, end)` if bounds are given; other hours stay closed."""
@@ -95,25 +105,24 @@ class AggregateTable:
                 lambda stored: swap_period(stored, held, start, end, as_of),
             )
 
-    def forget(self, keep: int = 100) -> None:
-        """Remove data and version files older than the last `keep` versions and not in them.
+    def forget(self, older_than: timedelta = timedelta(days=1)) -> None:
+        """Remove versions that were replaced longer ago than this, and the data only they hold.
 
-        `keep` must cover the versions published while a reader or a writer is at work.
+        The age must cover the longest read and write. The current version always stays.
         """
-        newest = self.version()
-        oldest = max(newest - keep + 1, 1)
-        live = {
-            folder
-            for number in range(oldest, newest + 1)
-            for folder in self._hours(number).values()
-        }
+        before = time.time() - older_than.total_seconds()
+        made = dict(sorted(self._versions().items()))
+        numbers = list(made)
+        # A version is replaced when the next one is made.
+        gone = {n for n, after in zip(numbers, numbers[1:], strict=False) if made[after] < before}
+        live = {folder for n in numbers if n not in gone for folder in self._hours(n).values()}
+        oldest = min((n for n in numbers if n not in gone), default=0)
         for name in folder_names(self.fs, self.spark, f"{self.path}/data"):
             number = int(name.removeprefix("version=").split("-")[0])
             if number < oldest and name not in live:
                 delete(self.fs, self.spark, f"{self.path}/data/{name}")
-        for name in folder_names(self.fs, self.spark, f"{self.path}/versions"):
-            if name.endswith(".json") and int(name.removesuffix(".json")) < oldest:
-                delete(self.fs, self.spark, f"{self.path}/versions/{name}")
+        for number in gone:
+            delete(self.fs, self.spark, f"{self.path}/versions/{number:012d}.json")
 
     @contextmanager
     def _staged(self, counts: DataFrame) -> Iterator[DataFrame]:
@@ -136,8 +145,11 @@ class AggregateTable:
             held = self._hours(base)
             folder = f"version={base + 1:012d}-{uuid.uuid4().hex}"
             target = f"{self.path}/data/{folder}"
-            self._write(build(self._read_hours(held, touched)), target, len(touched))
+            self._write(build(self._read_hours(held, touched)), target)
             written = {hour: folder for hour in self._written_hours(target)}
+            if not written.keys() <= set(touched):
+                delete(self.fs, self.spark, target)
+                raise ValueError(f"rows of hours that were not read: {sorted(written.keys() - set(touched))}")
             before = [held.get(hour) for hour in touched]
             while [held.get(hour) for hour in touched] == before:
                 others = {hour: held[hour] for hour in held.keys() - set(touched)}
@@ -175,24 +187,16 @@ class AggregateTable:
             .select(*CLICK_AGGREGATES.fieldNames())
         )
 
-    def _write(self, rows: DataFrame, target: str, hours: int) -> None:
-        """Hourly folders, sorted for range scans of a campaign.
-
-        A few hours are split by their size. Many give enough tasks by themselves: an hour
-        holds at most sixty rows per campaign, and makes one file.
-        """
+    def _write(self, rows: DataFrame, target: str) -> None:
+        """Hourly folders, split by size where an hour is large, sorted for a campaign's scans."""
         hourly = rows.select(
             *_COLUMNS,
             F.date_format("minute_bucket", "yyyy-MM-dd").alias("dt"),
             F.date_format("minute_bucket", "HH").alias("hr"),
         )
-        if hours > _HOURS_BY_SIZE:
-            tasks = min(hours, self.spark.sparkContext.defaultParallelism)
-            spread = hourly.repartition(tasks, "dt", "hr")
-        else:
-            spread = hourly.hint("rebalance", "dt", "hr")
         (
-            spread.sortWithinPartitions("dt", "hr", "campaign_id", "minute_bucket")
+            hourly.hint("rebalance", "dt", "hr")
+            .sortWithinPartitions("dt", "hr", "campaign_id", "minute_bucket")
             .write.partitionBy("dt", "hr")
             .parquet(target)
         )

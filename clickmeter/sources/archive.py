@@ -40,12 +40,16 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def create_archive_table(spark: SparkSession, table: str, path: str) -> None:
-    """Declare the archive as a partitioned table; safe to repeat."""
+    """Declare the archive as a partitioned table and take in the hours it holds.
+
+    To be repeated after writes: it adds the hours that came since.
+    """
     columns = ", ".join(f"{field.name} STRING" for field in RAW_CLICKS)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
         f"USING parquet PARTITIONED BY (dt, hr) LOCATION '{path}'"
     )
+    spark.catalog.recoverPartitions(table)
 
 
 def partitions_of(start: str, end: str) -> Column:

@@ -23,6 +23,14 @@ def folder_names(fs, spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(folder)]
 
 
+def file_times(fs, spark: SparkSession, path: str) -> dict[str, float]:
+    """Names directly below `path` and when each was last changed, in seconds."""
+    folder = _path(spark, path)
+    if not fs.exists(folder):
+        return {}
+    return {x.getPath().getName(): x.getModificationTime() / 1000 for x in fs.listStatus(folder)}
+
+
 def delete(fs, spark: SparkSession, path: str) -> None:
     fs.delete(_path(spark, path), True)
 

@@ -1,14 +1,20 @@
-"""The archiver: click stream to Parquet hours, with what cannot be read set aside."""
+"""The archiver: click stream to Parquet hours, with what cannot be read set aside.
+
+Batches are appended as plain Parquet, like those of batch jobs: any number of writers may
+share an archive, and days may be removed from it. A batch that is repeated after a crash may
+leave rows twice; readers count an impression once.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickmeter.functions.text import salt_of
-from clickmeter.settings import CHECKPOINT_INTERVAL, DEFAULT_SALT
-from clickmeter.sources.archive import PARTITIONS, split_records, with_partitions
+from clickmeter.settings import CHECKPOINT_INTERVAL
+from clickmeter.sources.archive import split_records, write_archive, write_errors
 
 
 def start_archiving(
@@ -18,33 +24,25 @@ def start_archiving(
     checkpoint: str,
     trigger: dict | None = None,
     as_of: Column | None = None,
-    files_per_hour: int = DEFAULT_SALT,
 ) -> list[StreamingQuery]:
     """Start the archive and the error writer, each with its own checkpoint.
 
-    Per batch an hour gets at most `files_per_hour` files, from as many tasks: a busy
-    hour is spread, and a topic of many partitions does not leave one file for each.
+    The number of files and tasks of an hour follows from its bytes in the batch.
     """
     trigger = trigger or {"processingTime": CHECKPOINT_INTERVAL}
     good, bad = split_records(records, F.current_timestamp() if as_of is None else as_of)
-    hourly = with_partitions(good)
-    spread = hourly.repartition(
-        *PARTITIONS, salt_of(F.col("event_id"), files_per_hour)
-    )
     return [
-        _start(spread, path, PARTITIONS, f"{checkpoint}/archive", trigger),
-        _start(bad, error_path, ["error_type", "dt"], f"{checkpoint}/errors", trigger),
+        _start(good, lambda rows: write_archive(rows, path), f"{checkpoint}/archive", trigger),
+        _start(bad, lambda rows: write_errors(rows, error_path), f"{checkpoint}/errors", trigger),
     ]
 
 
 def _start(
-    rows: DataFrame, path: str, partitions: list[str], checkpoint: str, trigger: dict
+    rows: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:
     return (
         rows.writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy(*partitions)
-        .option("path", path)
+        .foreachBatch(lambda batch, _: write(batch))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

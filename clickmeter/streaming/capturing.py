@@ -20,8 +20,7 @@ from clickmeter.schemas import CLICK_EVENT
 from clickmeter.settings import CHECKPOINT_INTERVAL, IMPRESSION_TTL_SECONDS
 
 # A query keeps the settings it was started with. Remembered impressions are too many for
-# memory. Lifetimes end with the clock, for which Spark would run batches without data for
-# ever; instead, ended ones are dropped along with the next clicks.
+# memory. Ended lifetimes are dropped along with the next clicks, without batches of their own.
 _CAPTURE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,21 +29,28 @@ _CAPTURE_SETTINGS = {
 }
 
 def accepted_events(
-    requests: DataFrame, ads: DataFrame, ttl_seconds: int = IMPRESSION_TTL_SECONDS
+    requests: DataFrame,
+    ads: DataFrame,
+    ttl_seconds: int = IMPRESSION_TTL_SECONDS,
+    delay: str = "48 hours",
 ) -> DataFrame:
     """Events of a stream of requests, by the exact lifetime rule.
 
-    Per impression the state is one number, the last accepted arrival, kept until the
-    lifetime has passed. It lives in the state store, so a batch costs what arrives in
-    it and not what is remembered. Events are built before and cross to Python as one
-    text; there rows are only let through or not.
+    Per impression the state is one number, the last accepted arrival. It is kept until
+    arrivals, not clocks, have passed its lifetime and the delay that a click may have, so
+    stopping the stream or working off a backlog lets nothing count twice. Requests later than
+    `delay` behind the newest are dropped. The state lives in the state store, so a batch
+    costs what arrives in it and not what is remembered. Events are built before and cross to
+    Python as one text; there rows are only let through or not.
     """
-    valid = judged_requests(requests, ads).where(F.col("reason").isNull())
+    judged = judged_requests(requests, ads).withWatermark("received_at", delay)
+    valid = judged.where(F.col("reason").isNull())
     order = F.concat(
         F.date_format("clicked_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("request_id")
     )
     built = as_events(valid, "received_at", order.alias("order")).select(
         "impression_id",
+        "received_at",
         F.unix_timestamp("received_at").alias("arrival"),
         "order",
         event_json().alias("event"),
@@ -73,8 +79,12 @@ def accepted_events(
                 kept.append(event)
         if kept:
             yield pd.DataFrame({"event": kept})
-        state.update((last,))
-        state.setTimeoutDuration(ttl_seconds * 1000)
+        ends = (last + ttl_seconds) * 1000
+        if ends > state.getCurrentWatermarkMs():
+            state.update((last,))
+            state.setTimeoutTimestamp(ends)
+        elif state.exists:
+            state.remove()
 
     return (
         built.groupBy("impression_id")
@@ -83,29 +93,13 @@ def accepted_events(
             outputStructType="event string",
             stateStructType="accepted_at long",
             outputMode="append",
-            timeoutConf=GroupStateTimeout.ProcessingTimeTimeout,
+            timeoutConf=GroupStateTimeout.EventTimeTimeout,
         )
         .select(F.from_json("event", CLICK_EVENT).alias("event"))
         .select("event.*")
     )
 
 
-def quick_accepted_events(
-    requests: DataFrame, ads: DataFrame, lifetime: str = "48 hours"
-) -> DataFrame:
-    """The same without Python, for when late repeats may be refused.
-
-    Never lets an impression count twice within the lifetime, but the watermark forgets
-    it only between one and two lifetimes after its click.
-    """
-    valid = judged_requests(requests, ads).where(F.col("reason").isNull())
-    return as_events(
-        valid.withWatermark("received_at", lifetime).dropDuplicatesWithinWatermark(
-            ["impression_id"]
-        )
-    )
-
-
 def start_capturing(
     events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

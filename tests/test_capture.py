@@ -149,3 +149,18 @@ def test_catalog_document(spark, tmp_path):
         ("ad_1", "camp_x"), ("ad_2", "camp_x"), ("ad_3", "camp_x"),
         ("ad_off", "camp_1"), ("ad_unset", "camp_1"),
     ]
+
+
+def test_one_of_several_deliveries_is_emitted(spark):
+    """Streams deliver at least once; ids may also be shared by different impressions."""
+    one = requests(spark, ("ad_1", "imp_1", None, None))
+    other = requests(spark, ("ad_1", "imp_2", None, "2026-06-13T14:09:00Z"))
+    asked = one.unionByName(one).unionByName(other).unionByName(other)
+    found = rows(capture.outcomes(asked, ads(spark)), "request_id", "impression_id", "emitted")
+    assert found == [
+        ("r0", "imp_1", False),
+        ("r0", "imp_1", True),
+        ("r0", "imp_2", False),
+        ("r0", "imp_2", True),
+    ]
+    assert capture.click_events(asked, ads(spark)).count() == 2

@@ -18,7 +18,6 @@ from clickmeter.sources.clickstream import read_json_folder
 from clickmeter.streaming.archiving import start_archiving
 from clickmeter.streaming.capturing import (
     accepted_events,
-    quick_accepted_events,
     start_capturing,
 )
 from clickmeter.streaming.counting import start_counting
@@ -185,14 +184,37 @@ def test_each_impression_is_captured_once_per_lifetime(spark, tmp_path):
     ]
 
 
-def test_quick_capture_never_counts_twice_within_a_lifetime(spark, tmp_path):
+def test_a_backlog_lets_nothing_count_twice(spark, tmp_path):
+    """Lifetimes end by arrivals, however long the stream was stopped in between."""
     folder = tmp_path / "requests"
-    for number, batch in enumerate(REQUESTS[:2]):
-        put(folder, number, *batch)
-    events = quick_accepted_events(request_stream(spark, folder), ads(spark))
-    start_capturing(events, str(tmp_path / "e"), str(tmp_path / "c"), ALL).awaitTermination()
+    arrivals = [("imp", "14:00:00"), ("other", "14:00:22"), ("imp", "14:00:10"), ("imp", "14:00:20")]
+    for number, (impression, time) in enumerate(arrivals):
+        at = f"2026-06-13T{time}Z"
+        put(folder, number, ask(number, impression, at))
+        events = accepted_events(request_stream(spark, folder), ads(spark), 20, "20 seconds")
+        query = start_capturing(events, str(tmp_path / "e"), str(tmp_path / "c"), ALL)
+        query.awaitTermination()
     found = spark.read.schema(CLICK_EVENT).json(str(tmp_path / "e"))
-    assert rows(found, "impression_id") == [("imp_1",), ("imp_2",)]
+    assert rows(found, "impression_id", "ingest_ts") == [
+        ("imp", "2026-06-13T14:00:00Z"),
+        ("imp", "2026-06-13T14:00:20Z"),
+        ("other", "2026-06-13T14:00:22Z"),
+    ]
+
+
+def test_batch_writers_may_append_to_a_streamed_archive(spark, tmp_path):
+    raw, source = str(tmp_path / "raw"), tmp_path / "events"
+    event = {name: "x" for name in CLICK_EVENT.fieldNames()} | {"minute_bucket": "2026-06-13T14:00:00Z"}
+    source.mkdir()
+    (source / "0.json").write_text(json.dumps(event) + "\n")
+    records = read_json_folder(spark, str(source))
+    for query in start_archiving(records, raw, str(tmp_path / "bad"), str(tmp_path / "c"), ALL):
+        query.awaitTermination()
+    late = event | {"minute_bucket": "2026-04-13T14:00:00Z"}
+    archive.write_archive(spark.createDataFrame([late] * 4, CLICK_EVENT), raw)
+    assert archive.read_archive(spark, raw).count() == 5
+    archive.drop_expired(spark, raw, date(2026, 6, 14))
+    assert archive.read_archive(spark, raw).count() == 1
 
 
 def test_from_requests_to_metrics(spark, tmp_path):

@@ -1,6 +1,6 @@
 """Archive, aggregate table, reconciliation."""
 
-from datetime import date, timedelta
+from datetime import UTC, date, datetime, timedelta, timezone
 
 import pytest
 from conftest import rows
@@ -74,7 +74,6 @@ def test_period_scan_opens_only_its_hours(spark, raw):
 def test_archive_table_and_daily_captures(spark, raw):
     for _ in range(2):
         archive.create_archive_table(spark, "raw_clicks", raw)
-    spark.sql("MSCK REPAIR TABLE raw_clicks")
     table = spark.table("raw_clicks")
     assert [f.dataType.simpleString() for f in table.schema] == ["string"] * 11
     exact = [("2026-05-01", 1), ("2026-06-13", 4)]
@@ -192,7 +191,9 @@ def test_readers_keep_their_version_and_writers_notice_each_other(spark, tmp_pat
     assert table._change(["2026-06-13T14"], interfering) == 4
     assert [row[0] for row in shown(table.read())] == ["c1", "c2", "c9"]
     assert [row[0] for row in shown(reader)] == ["c1"]
-    table.forget(keep=1)
+    table.forget(timedelta(days=1))
+    assert len(list((tmp_path / "t" / "data").iterdir())) > 1
+    table.forget(timedelta(0))
     assert [row[0] for row in shown(AggregateTable(spark, path).read())] == ["c1", "c2", "c9"]
     assert len(list((tmp_path / "t" / "data").iterdir())) == 1
 
@@ -245,3 +246,34 @@ def test_percentile_takes_the_floored_rank(spark):
 def test_hot_ads(spark):
     clicks = spark.createDataFrame([("a",)] * 3 + [("b",)], "ad_id string")
     assert rows(audits.hot_ads(clicks, 0.5)) == [("a", 3, 0.75)]
+
+
+def test_swap_leaves_other_hours_alone(spark, tmp_path):
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    stored = [("c1", "2026-06-13T12:00:00Z", 3), ("c1", "2026-06-13T12:05:00Z", 4)]
+    table.upsert(counts(spark, *stored), now())
+    start, end = periods.parse("2026-06-13T10:00:00Z"), periods.parse("2026-06-13T11:00:00Z")
+    stray = counts(spark, ("c1", "2026-06-13T12:00:00Z", 9), ("c1", "2026-06-13T10:00:00Z", 1))
+    table.swap(stray, start, end, now())
+    assert [row[1:3] for row in shown(table.read())] == [
+        ("2026-06-13T10:00:00Z", 1),
+        ("2026-06-13T12:00:00Z", 3),
+        ("2026-06-13T12:05:00Z", 4),
+    ]
+    with pytest.raises(ValueError):
+        table._change(["2026-06-13T10"], lambda _: table.read())
+    assert len(shown(table.read())) == 3
+
+
+def test_periods_may_have_any_offset(spark, tmp_path):
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    table.upsert(counts(spark, ("c1", "2026-06-13T12:00:00Z", 3)), now())
+    zone = timezone(timedelta(hours=5, minutes=30))
+    start = periods.parse("2026-06-13T12:00:00Z")
+    for bounds in ((start, start + timedelta(minutes=30)), (start - timedelta(hours=1), start)):
+        here, there = (
+            shown(table.read(*(time.astimezone(z) for time in bounds))) for z in (UTC, zone)
+        )
+        assert here == there
+    with pytest.raises(ValueError):
+        table.read(datetime(2026, 6, 13))
