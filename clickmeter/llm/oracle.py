@@ -1,3 +1,90 @@
 """SQL with the same result, for the operators that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from clickmeter.llm.quality import KEEP_FROM, PRIOR_GOOD, ROUNDS
+
+WORD = r"[^\x20\x09-\x0D]"
+
+# A detector's rule votes 0 or abstains (1); one for prose votes 2 or abstains.
+CALM = "n_symbols * 50 <= n_words AND n_exclaims * 50 <= n_words AND n_capitals * 5 <= word_chars"
+DETECTORS = (
+    "n_symbols * 10 > n_words",
+    "n_letters * 4 < word_chars * 3",
+    "n_bare_words * 5 > n_words",
+    "n_dup_lines * 10 > n_lines * 3",
+    "n_repeat_words * 4 > n_words",
+    "n_words >= 50 AND n_distinct_words * 10 < n_words * 3",
+    "n_capitals * 10 > word_chars * 3",
+    "n_exclaims * 10 > n_words",
+    "word_chars < n_words * 3 OR word_chars > n_words * 12",
+)
+PROSE = (
+    f"{CALM} AND n_letters * 10 >= word_chars * 8 AND n_bare_words * 20 <= n_words",
+    f"{CALM} AND n_repeat_words * 5 <= n_words AND n_dup_lines * 5 <= n_lines",
+    f"{CALM} AND n_words >= 100 AND n_distinct_words * 5 >= n_words * 2",
+)
+VOTES = " || ".join(
+    [f"CASE WHEN {rule} THEN '0' ELSE '1' END" for rule in DETECTORS]
+    + [f"CASE WHEN {rule} THEN '2' ELSE '1' END" for rule in PROSE]
+)
+RULES = len(DETECTORS) + len(PROSE)
+P_GOOD = (
+    "1 / (1 + exp(-(ln(prior) - ln(1 - prior) + list_sum(list_transform(range(1, "
+    f"{RULES + 1}), lambda j: ln(rates[j][1][x.c[j] + 1]) - ln(rates[j][2][x.c[j] + 1]))))))"
+)
+RATE = (
+    "list_transform([0, 1, 2], lambda v: (1 + coalesce(list_sum(list_transform(list_filter(w, lambda x: x.c[j] = v), lambda x: x.{k})), 0))"
+    " / (3 + list_sum(list_transform(w, lambda x: x.{k}))))"
+)
+
+QUALITY = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '{WORD}+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '{WORD}')) AS ls
+  FROM documents
+), windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS n
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM split WHERE len(ws) >= 3)
+), repeats AS (
+  SELECT rid, count(DISTINCT i + d) AS n FROM windows, (VALUES (0), (1), (2)) AS t(d) WHERE n > 1 GROUP BY rid
+), counts AS (
+  SELECT rid, doc_id, len(ws)::BIGINT AS n_words,
+         length(regexp_replace(body, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         len(ls) AS n_lines, len(list_distinct(ws)) AS n_distinct_words,
+         length(regexp_replace(body, '\\P{{Lu}}+', '', 'g')) AS n_capitals,
+         length(body) - length(replace(body, '!', '')) AS n_exclaims,
+         length(regexp_replace(body, '\\P{{L}}+', '', 'g')) AS n_letters,
+         len(list_filter(ws, lambda w: NOT regexp_matches(w, '\\p{{L}}'))) AS n_bare_words
+  FROM split LEFT JOIN repeats r USING (rid)
+), voted AS (
+  SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, {VOTES} AS votes FROM counts
+), patterns AS (
+  SELECT list({{'votes': votes, 'c': list_transform(string_split(votes, ''), lambda v: v::INT), 'n': n}} ORDER BY votes) AS pats
+  FROM (SELECT votes, count(*)::DOUBLE AS n FROM voted GROUP BY votes)
+), em AS (
+  SELECT 0 AS k, {PRIOR_GOOD}::DOUBLE AS prior,
+         list_transform(range(1, {RULES + 1}), lambda j: [[0.1::DOUBLE, 0.2, 0.7], [0.7::DOUBLE, 0.2, 0.1]]) AS rates
+  UNION ALL
+  SELECT k + 1,
+         (good + 1) / (good + bad + 2),
+         list_transform(range(1, {RULES + 1}), lambda j: [{RATE.format(k="good")}, {RATE.format(k="bad")}])
+  FROM (
+    SELECT k, w, list_sum(list_transform(w, lambda x: x.good)) AS good, list_sum(list_transform(w, lambda x: x.bad)) AS bad
+    FROM (
+      SELECT k, list_transform(pats, lambda x: {{'c': x.c, 'good': x.n * {P_GOOD}, 'bad': x.n * (1 - {P_GOOD})}}) AS w
+      FROM em, patterns WHERE k < {ROUNDS}
+    )
+  )
+), model AS (
+  SELECT x.votes AS votes, round({P_GOOD}, 6) AS p_good
+  FROM (SELECT unnest(pats) AS x, prior, rates FROM em, patterns WHERE k = {ROUNDS})
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND p_good >= {KEEP_FROM} AS kept, votes
+FROM voted JOIN model USING (votes)
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY}

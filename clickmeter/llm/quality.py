@@ -246,6 +246,6 @@ def judged_counts(counts: DataFrame, model: DataFrame, keep_from: float = KEEP_F
         *COUNTS,
         "base_failed",
         (~F.col("base_failed") & (F.col("p_good") >= keep_from)).alias("kept"),
-        "p_good",
         "votes",
+        "p_good",
     )

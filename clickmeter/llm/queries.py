@@ -22,7 +22,7 @@ from clickmeter.llm.common import table
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.verdicts(table(spark, folder, "documents"))
+    return quality.verdicts(table(spark, folder, "documents")).drop("p_good")
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
