@@ -106,10 +106,11 @@ def reconcile_period(spark: SparkSession, args) -> None:
 
 def answer_metrics(spark: SparkSession, args) -> None:
     """Answer a file of requests, one JSON object per line."""
+    requests = spark.read.schema(METRICS_REQUEST).json(args.requests)
     metrics.responses(
-        spark.read.schema(METRICS_REQUEST).json(args.requests),
+        requests,
         spark.read.schema(AD).parquet(args.catalog),
-        AggregateTable(spark, args.table).read(),
+        AggregateTable(spark, args.table).read(*metrics.bounds(requests)),
         args.source_rule,
     ).write.json(args.out)
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from clickmeter.functions.timebucket import instant, iso
 
 
+RANGES = 1000
+
+
 def unmatched_impressions(sent: DataFrame, captured: DataFrame) -> DataFrame:
     """Impressions on one side only: `lost` if sent alone, `unexpected` if captured alone.
 
@@ -61,7 +64,7 @@ def outcome_tally(outcomes: DataFrame) -> DataFrame:
 def hot_ads(clicks: DataFrame, threshold: float) -> DataFrame:
     """Ads with at least `threshold` of all clicks, with their share."""
     counts = clicks.groupBy("ad_id").agg(F.count(F.lit(1)).alias("clicks"))
-    total = clicks.agg(F.count(F.lit(1)).alias("clicks")).scalar()
+    total = counts.agg(F.sum("clicks")).scalar()
     return counts.withColumn("share", F.col("clicks") / total).where(F.col("share") >= threshold)
 
 
@@ -76,7 +79,8 @@ def rank_percentile(
 
     Equal samples are counted first (`weight` tells how many a row stands for), so what is
     put in order is one row per value, not per sample. Null where there are too few
-    samples for that rank.
+    samples for that rank. Without groups the values are counted by range first, and only
+    those of the range that holds the rank are put in order.
     """
     by = by or []
     steps = (
@@ -84,7 +88,9 @@ def rank_percentile(
         .groupBy(*by, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     )
-    everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    if not by:
+        return _ranged_percentile(steps, value, fraction)
+    everything = Window.partitionBy(*by)
     so_far = everything.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     rank = F.floor(F.col("total") * F.lit(fraction))
     reached = F.when((rank >= 1) & (F.col("seen") >= rank), F.col(value))
@@ -99,6 +105,34 @@ def rank_percentile(
     )
 
 
+def _ranged_percentile(steps: DataFrame, value: str, fraction: float) -> DataFrame:
+    """The same of all samples: what windows order is the ranges, and the values of one."""
+    low, high = (steps.agg(pick(value)).scalar() for pick in (F.min, F.max))
+    place = F.coalesce(F.width_bucket(F.col(value), low, high, F.lit(RANGES)), F.lit(0))
+    ranged = steps.withColumn("place", place)
+    order = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, 0)
+    ranges = ranged.groupBy("place").agg(F.sum("n").alias("n"), F.max(value).alias("largest"))
+    everything = Window.partitionBy(F.lit(0))
+    ranges = ranges.withColumns(
+        {
+            "seen": F.sum("n").over(order.orderBy("place")),
+            "total": F.sum("n").over(everything),
+            "largest": F.max("largest").over(everything),
+        }
+    ).withColumn("rank", F.floor(F.col("total") * F.lit(fraction)))
+    holds = (F.col("rank") >= 1) & (F.col("seen") >= F.col("rank")) & (F.col("seen") - F.col("n") < F.col("rank"))
+    chosen = ranges.where(holds).select("place", "rank", (F.col("seen") - F.col("n")).alias("before"))
+    seen = F.col("before") + F.sum("n").over(order.orderBy(value))
+    reached = ranged.join(F.broadcast(chosen), "place").select(
+        F.when(seen >= F.col("rank"), F.col(value)).alias(value)
+    )
+    return ranges.agg(
+        F.sum("n").alias("samples"),
+        F.lit(reached.agg(F.min(value)).scalar()).alias("percentile"),
+        F.max("largest").alias("largest"),
+    )
+
+
 def approximate_percentile(
     samples: DataFrame, value: str, fraction: float = 0.95, by: list[str] | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ and minutes.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -217,10 +217,16 @@ def series(
 def metrics(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
-    """Series of the accepted requests in bucket order."""
-    return series(judged_requests(requests, ads), aggregates, source_rule).orderBy(
-        "request_id", "bucket_start"
-    )
+    """Series of the accepted requests, each in bucket order and in one partition."""
+    rows = series(judged_requests(requests, ads), aggregates, source_rule)
+    return rows.repartition("request_id").sortWithinPartitions("request_id", "bucket_start")
+
+
+def bounds(requests: DataFrame) -> tuple[datetime | None, datetime | None]:
+    """The least and greatest time that any readable request asks for."""
+    start, end = instant(F.col("from")), instant(F.col("to"))
+    row = requests.where(end > start).agg(F.min(start), F.max(end)).first()
+    return tuple(time and time.replace(tzinfo=UTC) for time in row)
 
 
 def campaign_series(

@@ -14,6 +14,8 @@ SLOW = {
     "archive_errors",
     "archive_roundtrip",
     "archive_stream",
+    "archive_table_scan",
+    "drift_corrected",
     "reconcile_lookback",
     "reconcile_published",
     "stream_capture_events",

@@ -5,8 +5,6 @@ from __future__ import annotations
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 PERIOD_START = "2024-01-08T06:30:00Z"
 MIDDLE = "2024-01-16T12:30:00Z"
-UPSERT_FROM = "2024-01-10T00:00:00Z"
-STORED_UNTIL = "2024-01-20T00:00:00Z"
 
 ADS = """
 ads AS (
@@ -234,9 +232,9 @@ FROM stored GROUP BY 1, 2"""
 def upsert(protect: bool) -> str:
     guard = "AND o.source <> 'batch'" if protect else ""
     return f"""WITH {STORED},
-old AS (SELECT * FROM stored WHERE minute_bucket < '{STORED_UNTIL}'),
-new AS (SELECT *, 'stream' AS source FROM ({recomputed()})
-        WHERE minute_bucket >= '{UPSERT_FROM}')
+old AS (SELECT * FROM stored),
+new AS (SELECT CASE WHEN campaign_id = 'camp_1' THEN 'camp_1_new' ELSE campaign_id END AS campaign_id,
+               minute_bucket, click_count, 'stream' AS source FROM ({recomputed()}))
 SELECT campaign_id, minute_bucket,
        CASE WHEN n.source IS NOT NULL AND (o.source IS NULL OR (TRUE {guard}))
             THEN n.click_count ELSE o.click_count END AS click_count,
@@ -441,6 +439,18 @@ FROM hours LEFT JOIN sums USING (hour)""",
     "upsert_literal": upsert(False),
     "period_swap": SWAPPED,
     "reconcile_published": SWAPPED,
+    "drift_corrected": f"""WITH {CLICKS}, {STREAM}
+SELECT campaign_id, minute_bucket,
+       click_count + CASE WHEN campaign_id = 'camp_1' THEN 999 ELSE 0 END AS click_count, source
+FROM stream WHERE NOT ({PERIOD_WHERE})
+UNION ALL
+SELECT *, 'batch' FROM ({recomputed(PERIOD_WHERE)})""",
+    "outcomes_redelivered": f"""WITH RECURSIVE {OUTCOMES}
+SELECT * FROM outcomes
+UNION ALL
+SELECT * REPLACE (FALSE AS emitted) FROM outcomes""",
+    "archive_table_scan": f"""WITH {CLICKS}
+SELECT dt, hr, 2 * count(*) AS clicks FROM clicks GROUP BY ALL""",
     "phantom_removed": f"""{SWAPPED}
 UNION ALL
 SELECT 'ghost_' || campaign_id, minute_bucket, click_count, source FROM stream
@@ -467,6 +477,12 @@ SELECT dt, count(DISTINCT impression_id) AS captured FROM clicks GROUP BY dt""",
     "no_loss_audit": f"""WITH RECURSIVE {OUTCOMES},
 sent AS (SELECT DISTINCT impression_id FROM outcomes WHERE status = 302),
 kept AS (SELECT DISTINCT impression_id FROM captured)
+SELECT (SELECT count(*) FROM sent) AS accepted, (SELECT count(*) FROM kept) AS captured,
+       (SELECT count(*) FROM sent ANTI JOIN kept USING (impression_id)) AS lost,
+       (SELECT count(*) FROM kept ANTI JOIN sent USING (impression_id)) AS unexpected""",
+    "loss_found": f"""WITH RECURSIVE {OUTCOMES},
+sent AS (SELECT DISTINCT impression_id FROM outcomes WHERE status = 302),
+kept AS (SELECT DISTINCT impression_id FROM captured WHERE campaign_id <> 'camp_1')
 SELECT (SELECT count(*) FROM sent) AS accepted, (SELECT count(*) FROM kept) AS captured,
        (SELECT count(*) FROM sent ANTI JOIN kept USING (impression_id)) AS lost,
        (SELECT count(*) FROM kept ANTI JOIN sent USING (impression_id)) AS unexpected""",

@@ -26,8 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 EARLIEST = periods.parse("2023-12-31T00:00:00Z")
 PERIOD_START = periods.parse("2024-01-08T06:30:00Z")
 MIDDLE = periods.parse("2024-01-16T12:30:00Z")
-UPSERT_FROM = periods.parse("2024-01-10T00:00:00Z")
-STORED_UNTIL = periods.parse("2024-01-20T00:00:00Z")
 LATEST = periods.parse("2024-02-02T00:00:00Z")
 AS_OF = "2024-01-31T12:00:00Z"
 
@@ -320,11 +318,15 @@ def campaign_series(spark, folder):
 
 
 def _upsert(spark, folder, protect_batch):
-    stored = stored_rows(spark, folder).where(F.col("minute_bucket") < F.lit(STORED_UNTIL))
-    new = (
-        reconcile.typed(recompute_minute(spark, folder))
-        .where(F.col("minute_bucket") >= F.lit(UPSERT_FROM))
-        .withColumns({"source": F.lit("stream"), "updated_at": as_of()})
+    """Exact counts put in: those of one campaign move to keys that are not stored yet."""
+    stored = stored_rows(spark, folder)
+    moved = F.when(F.col("campaign_id") == "camp_1", F.lit("camp_1_new"))
+    new = reconcile.typed(recompute_minute(spark, folder)).withColumns(
+        {
+            "campaign_id": F.coalesce(moved, "campaign_id"),
+            "source": F.lit("stream"),
+            "updated_at": as_of(),
+        }
     )
     return as_text(merging.upsert(stored, new, protect_batch))
 
@@ -398,10 +400,21 @@ def captured_per_day(spark, folder):
     return counting.captured_per_day(given.raw_clicks(spark, folder))
 
 
+def _captured_archive(spark, folder):
+    """The events of the capture query, archived and read back."""
+    path = scratch_folder(spark, "captured")
+    archive.write_archive(capture_events(spark, folder).withColumn("user_agent", F.lit("")), path)
+    return archive.read_archive(spark, path)
+
+
 def no_loss_audit(spark, folder):
-    return audits.loss_audit(
-        capture_outcomes(spark, folder), capture_events(spark, folder)
-    )
+    return audits.loss_audit(capture_outcomes(spark, folder), _captured_archive(spark, folder))
+
+
+def loss_found(spark, folder):
+    """The same with the clicks of one campaign lost on the way."""
+    left = _captured_archive(spark, folder).where("campaign_id <> 'camp_1'")
+    return audits.loss_audit(capture_outcomes(spark, folder), left)
 
 
 def unmatched_impressions(spark, folder):
@@ -474,6 +487,41 @@ def reconcile_published(spark, folder):
     return as_text(table.read())
 
 
+def drift_corrected(spark, folder):
+    """Wrong counts published, then the period reconciled: those inside it are exact again."""
+    root = scratch_folder(spark, "drifted")
+    raw = given.raw_clicks(spark, folder)
+    archive.write_archive(raw, f"{root}/raw")
+    table = AggregateTable(spark, f"{root}/table").create()
+    wrong = F.col("click_count") + F.when(F.col("campaign_id") == "camp_1", 999).otherwise(0)
+    table.upsert(stream_rows(raw).withColumn("click_count", wrong), as_of())
+    reconcile.reconcile(
+        spark, f"{root}/raw", f"{root}/table", PERIOD_START, MIDDLE, as_of=as_of()
+    )
+    return as_text(table.read())
+
+
+def outcomes_redelivered(spark, folder):
+    """Every request delivered twice: one delivery of an accepted click is the emitted one."""
+    requests = given.click_requests(spark, folder)
+    return capture.outcomes(requests.unionByName(requests), given.ads(spark, folder))
+
+
+def archive_table_scan(spark, folder):
+    """The archive as a table, with the hours a stream and a batch job wrote."""
+    root = scratch_folder(spark, "table")
+    raw = given.raw_clicks(spark, folder)
+    _once(
+        archiving.start_archiving(
+            _records(spark, folder), f"{root}/raw", f"{root}/bad", f"{root}/c", {"availableNow": True}
+        )
+    )
+    archive.write_archive(raw, f"{root}/raw")
+    name = f"raw_clicks_{root[-32:]}"
+    archive.create_archive_table(spark, name, f"{root}/raw")
+    return spark.table(name).groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("clicks"))
+
+
 def reconcile_lookback(spark, folder):
     """The period's counts without clicks repeated from the two days before it."""
     path = scratch_folder(spark, "archive")
@@ -613,6 +661,7 @@ QUERIES: dict[str, Query] = {
         last_closed_hour,
         captured_per_day,
         no_loss_audit,
+        loss_found,
         unmatched_impressions,
         outcome_tally,
         hot_ads,
@@ -624,6 +673,9 @@ QUERIES: dict[str, Query] = {
         archive_roundtrip,
         reconcile_published,
         reconcile_lookback,
+        drift_corrected,
+        outcomes_redelivered,
+        archive_table_scan,
         stream_minute_counts,
         stream_replay_idempotent,
         stream_capture_events,
