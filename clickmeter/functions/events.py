@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from clickmeter.functions.timebucket import is_bucket, iso, minute_bucket
 from clickmeter.settings import (
     BUCKET_PATTERN,
+    DATE_TIME_FIELDS,
+    DATE_TIME_PATTERN,
     EVENT_FIELDS,
     NON_EMPTY_EVENT_FIELDS,
     REQUIRED_EVENT_FIELDS,
@@ -72,6 +74,12 @@ def schema_violations(text: Column) -> Column:
     malformed = F.when(
         ~fields["minute_bucket"].rlike(BUCKET_PATTERN), F.lit("minute_bucket is malformed")
     )
-    findings = F.concat(unknown, F.array_compact(F.array(*missing, *mistyped, *empty, malformed)))
+    no_time = [
+        F.when(~fields[name].rlike(DATE_TIME_PATTERN), F.lit(f"{name} is no date-time"))
+        for name in DATE_TIME_FIELDS
+    ]
+    findings = F.concat(
+        unknown, F.array_compact(F.array(*missing, *mistyped, *empty, malformed, *no_time))
+    )
     is_object = F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     return F.when(is_object, findings).otherwise(F.array(F.lit("not a JSON object")))

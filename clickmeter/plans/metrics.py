@@ -29,6 +29,7 @@ from clickmeter.settings import (
     DEFAULT_GRANULARITY,
     GRANULARITIES,
     MAX_BUCKETS,
+    METRICS_ERROR_DETAILS,
     SOURCE_BATCH,
     SOURCE_STREAM,
     STEP_SECONDS,
@@ -306,7 +307,10 @@ def responses(
             "buckets",
         )
     )
-    error = F.to_json(F.struct(F.col("reason").alias("error")))
+    detail = F.lit(None).cast("string")
+    for name, text in METRICS_ERROR_DETAILS.items():
+        detail = F.when(F.col("reason") == name, text).otherwise(detail)
+    error = F.to_json(F.struct(F.col("reason").alias("error"), detail.alias("detail")))
     return judged.join(listed, "request_id", "left").select(
         "request_id", "status", F.when(F.col("status") == 200, body).otherwise(error).alias("body")
     )

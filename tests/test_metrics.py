@@ -179,7 +179,7 @@ def test_responses(spark):
     asked = [ask(t("14:00:00"), t("16:00:00"), "hour"), ask(None, None, token=None)]
     found = metrics.responses(requests(spark, *asked), ads(spark), aggregates(spark, *HOURS))
     bodies = {r.request_id: (r.status, json.loads(r.body)) for r in found.collect()}
-    assert bodies["r1"] == (401, {"error": "unauthenticated"})
+    assert bodies["r1"] == (401, {"error": "unauthenticated", "detail": "missing bearer token"})
     assert bodies["r0"] == (
         200,
         {

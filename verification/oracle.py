@@ -125,7 +125,8 @@ outcomes AS (
 
 FLAWED = f"""{CLICKS},
 flawed AS (
-  SELECT event_id, ad_id, advertiser_id, click_ts, ingest_ts, ingest_ts[19] AS digit,
+  SELECT event_id, ad_id, advertiser_id, ingest_ts, ingest_ts[19] AS digit,
+         CASE ingest_ts[19] WHEN '7' THEN 'soon' ELSE click_ts END AS click_ts,
          CASE ingest_ts[19] WHEN '0' THEN NULL WHEN '1' THEN '' ELSE impression_id END
            AS impression_id,
          CASE ingest_ts[19] WHEN '2' THEN minute_bucket[1:17] || '42Z' ELSE minute_bucket END
@@ -309,6 +310,7 @@ SCHEMA_VIOLATIONS = _joined(
         for name in ("impression_id", "ad_id", "campaign_id", "advertiser_id")
     ],
     (f"NOT regexp_full_match(minute_bucket, {GOOD_BUCKET})", "minute_bucket is malformed"),
+    ("digit = '7'", "click_ts is no date-time"),
 )
 
 
@@ -420,7 +422,12 @@ SELECT request_id, status,
        CASE WHEN status = 200 THEN '{{"campaign_id":"' || campaign_id || '","granularity":"'
               || granularity || '","from":"' || strftime(start, {ISO}) || '","to":"'
               || strftime(stop, {ISO}) || '","buckets":[' || listed || ']}}'
-            ELSE '{{"error":"' || reason || '"}}' END AS body
+            ELSE '{{"error":"' || reason || '","detail":"' || CASE reason
+              WHEN 'unauthenticated' THEN 'missing bearer token'
+              WHEN 'missing_parameter' THEN 'campaign_id is required'
+              WHEN 'bad_granularity' THEN 'granularity must be one of minute, hour, day'
+              WHEN 'bad_range' THEN 'from/to must be valid ISO8601 with to > from'
+              ELSE 'campaign not owned by caller' END || '"}}' END AS body
 FROM statuses LEFT JOIN listed USING (request_id)""",
     "campaign_series": f"""WITH {STORED},
 hours AS (

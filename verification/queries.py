@@ -145,6 +145,7 @@ def flawed_clicks(spark: SparkSession, folder: str) -> DataFrame:
             "impression_id": F.when(digit == "0", F.lit(None))
             .when(digit == "1", F.lit(""))
             .otherwise(F.col("impression_id")),
+            "click_ts": F.when(digit == "7", F.lit("soon")).otherwise(F.col("click_ts")),
             "minute_bucket": F.when(
                 digit == "2", F.concat(F.substring("minute_bucket", 1, 17), F.lit("42Z"))
             ).otherwise(F.col("minute_bucket")),
