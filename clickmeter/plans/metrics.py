@@ -8,11 +8,13 @@ and minutes.
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+import json
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickmeter import periods
 from clickmeter.functions.text import bearer_principal, presence
 from clickmeter.functions.timebucket import (
     ceil_to,
@@ -25,7 +27,9 @@ from clickmeter.functions.timebucket import (
 )
 from clickmeter.operators.ownership import owned_pairs
 from clickmeter.operators.rollup import BATCH_RULES, unit_counts
+from clickmeter.schemas import METRICS_REQUEST
 from clickmeter.settings import (
+    BLANK_CHARS,
     DEFAULT_GRANULARITY,
     GRANULARITIES,
     MAX_BUCKETS,
@@ -34,6 +38,7 @@ from clickmeter.settings import (
     SOURCE_STREAM,
     STEP_SECONDS,
 )
+from clickmeter.sources.aggregates import AggregateTable
 
 _STATUS = {
     "unauthenticated": 401,
@@ -226,8 +231,12 @@ def metrics(
 def bounds(requests: DataFrame) -> tuple[datetime | None, datetime | None]:
     """The least and greatest time that any readable request asks for."""
     start, end = instant(F.col("from")), instant(F.col("to"))
-    row = requests.where(end > start).agg(F.min(start), F.max(end)).first()
-    return tuple(time and time.replace(tzinfo=UTC) for time in row)
+    row = requests.where(end > start).agg(F.unix_micros(F.min(start)), F.unix_micros(F.max(end))).first()
+    return tuple(None if time is None else _time(time) for time in row)
+
+
+def _time(micros: int) -> datetime:
+    return datetime.fromtimestamp(0, UTC) + timedelta(microseconds=micros)
 
 
 def campaign_series(
@@ -275,6 +284,31 @@ def campaign_series(
     )
 
 
+def answer(request: dict, ads: DataFrame, table: AggregateTable, source_rule: str = "exact") -> tuple[int, str]:
+    """Status and JSON body of one request, with all tests; only its hours of the table are read."""
+    spark = ads.sparkSession
+    asked = spark.createDataFrame([tuple(map(request.get, METRICS_REQUEST.names))], METRICS_REQUEST)
+    # The catalog is filtered by the campaign before anything is joined.
+    known = ads.where(F.col("campaign_id").eqNullSafe((request.get("campaign_id") or "").strip(BLANK_CHARS)))
+    judged = judged_requests(asked, known)
+    details = F.coalesce(*(F.when(F.col("reason") == k, v) for k, v in METRICS_ERROR_DETAILS.items()))
+    times = {name: F.unix_micros(name) for name in ("start", "end")}
+    row = judged.withColumn("detail", details).withColumns(times).first()
+    if row.status != 200:
+        return row.status, json.dumps({"error": row.reason, "detail": row.detail}, separators=(",", ":"))
+    start, end = _time(row.start), _time(row.end)
+    found = campaign_series(table.read(start, end), row.campaign_id, start, end, row.requested, source_rule)
+    buckets = [{name: bucket[name] for name in _RESULT} for bucket in found.collect()]
+    body = {
+        "campaign_id": row.campaign_id,
+        "granularity": row.granularity,
+        "from": periods.text(start),
+        "to": periods.text(end),
+        "buckets": buckets,
+    }
+    return 200, json.dumps(body, separators=(",", ":"))
+
+
 def fitted(start: datetime, end: datetime, granularity: str) -> str:
     """The effective granularity of one request."""
     for unit in GRANULARITIES[GRANULARITIES.index(granularity) : -1]:

@@ -12,6 +12,7 @@ from clickmeter import periods
 from clickmeter.functions.timebucket import instant
 from clickmeter.plans import metrics
 from clickmeter.schemas import METRICS_REQUEST
+from clickmeter.sources.aggregates import AggregateTable
 
 ADS = "advertiser_id string, campaign_id string"
 
@@ -195,6 +196,24 @@ def test_responses(spark):
     )
 
 
+def test_one_request_is_answered_like_many(spark, tmp_path):
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    table.upsert(aggregates(spark, *HOURS).drop("source", "updated_at"), F.current_timestamp())
+    asked = [
+        ask(t("14:20:00"), t("15:10:30"), "hour"),
+        ask(t("14:00:00"), t("15:00:00"), campaign=" camp_1\n"),
+        ask(None, None, token=None),
+        ask(t("14:00:00"), t("16:00:00"), campaign="camp_2"),
+        ask(t("14:00:00"), t("13:00:00")),
+        ask(t("14:00:00"), t("16:00:00"), granularity="weekly"),
+    ]
+    frame = requests(spark, *asked)
+    many = {r.request_id: (r.status, json.loads(r.body)) for r in metrics.responses(frame, ads(spark), table.read()).collect()}
+    for row in frame.collect():
+        status, body = metrics.answer(row.asDict(), ads(spark), table)
+        assert (status, json.loads(body)) == many[row.request_id]
+
+
 def test_no_request_meets_all_rows_of_its_campaign(spark):
     """Requests and rows are matched by equality only: no nested loop, no product."""
     series = metrics.metrics(
