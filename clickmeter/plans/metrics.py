@@ -287,7 +287,9 @@ def campaign_series(
 def answer(request: dict, ads: DataFrame, table: AggregateTable, source_rule: str = "exact") -> tuple[int, str]:
     """Status and JSON body of one request, with all tests; only its hours of the table are read."""
     spark = ads.sparkSession
-    asked = spark.createDataFrame([tuple(map(request.get, METRICS_REQUEST.names))], METRICS_REQUEST)
+    asked = spark.range(1).select(
+        *(F.lit(request.get(f.name)).cast(f.dataType).alias(f.name) for f in METRICS_REQUEST)
+    )
     # The catalog is filtered by the campaign before anything is joined.
     known = ads.where(F.col("campaign_id").eqNullSafe((request.get("campaign_id") or "").strip(BLANK_CHARS)))
     judged = judged_requests(asked, known)
