@@ -20,7 +20,9 @@ SLOW = {
     "reconcile_published",
     "stream_capture_events",
     "stream_minute_counts",
+    "stream_late_rows",
     "stream_replay_idempotent",
+    "stream_restart",
 }
 
 

@@ -521,6 +521,8 @@ SELECT {EVENT_COLUMNS}, dt, hr FROM clicks WHERE {PERIOD_WHERE}""",
 SELECT * FROM ({recomputed(between("2024-01-06T06:30:00Z", MIDDLE))}) WHERE {PERIOD_WHERE}""",
     "stream_minute_counts": CLOSED,
     "stream_replay_idempotent": CLOSED,
+    "stream_restart": CLOSED,
+    "stream_late_rows": CLOSED,
     "archive_stream": f"""WITH {CLICKS}
 SELECT {EVENT_COLUMNS}, dt, hr FROM clicks WHERE ingest_ts[19] NOT IN ('0', '4')""",
     "archive_errors": f"""WITH {CLICKS}

@@ -15,7 +15,7 @@ from clickmeter.operators import counting, dedup, merging, ownership
 from clickmeter.operators.rollup import rollup
 from clickmeter.plans import audits, capture, metrics, reconcile
 from clickmeter.session import scratch_folder, utc
-from clickmeter.sources import archive, catalog, given
+from clickmeter.sources import archive, catalog, clickstream, given
 from clickmeter.sources.aggregates import AggregateTable
 from clickmeter.streaming import archiving, capturing
 from clickmeter.streaming import counting as stream_counting
@@ -569,6 +569,37 @@ def stream_replay_idempotent(spark, folder):
     return as_text(table.read())
 
 
+def _count_weeks(spark: SparkSession, folder: str, again: list[int]) -> DataFrame:
+    """Clicks arriving week by week, with the counter stopped and started after each.
+
+    Weeks given `again` arrive once more at the end, as clicks of other impressions.
+    """
+    root = scratch_folder(spark, "weeks")
+    table = AggregateTable(spark, f"{root}/table").create()
+    raw = given.raw_clicks(spark, folder)
+    week = F.floor(
+        F.datediff(F.to_date(F.substring("minute_bucket", 1, 10)), F.lit("2023-12-31")) / 7
+    )
+    for number, chosen in enumerate([*range(5), *again]):
+        rows = raw.where(F.greatest(F.lit(0), F.least(F.lit(4), week)) == chosen)
+        if number >= 5:
+            rows = rows.withColumn("impression_id", F.concat("impression_id", F.lit("_late")))
+        text = rows.select(event_functions.event_json().alias("value"))
+        text.write.mode("append").text(f"{root}/clicks")
+        records = clickstream.read_json_folder(spark, f"{root}/clicks")
+        _count_stream(spark, records, table, f"{root}/checkpoint")
+    return as_text(table.read())
+
+
+def stream_restart(spark, folder):
+    return _count_weeks(spark, folder, [])
+
+
+def stream_late_rows(spark, folder):
+    """Clicks that come weeks too late are left to reconciliation."""
+    return _count_weeks(spark, folder, [0, 2])
+
+
 def stream_capture_events(spark, folder):
     """Requests of the event stream through capture to JSON lines, read back."""
     root = scratch_folder(spark, "capture")
@@ -679,6 +710,8 @@ QUERIES: dict[str, Query] = {
         archive_table_scan,
         stream_minute_counts,
         stream_replay_idempotent,
+        stream_restart,
+        stream_late_rows,
         stream_capture_events,
         archive_stream,
         archive_errors,
