@@ -277,3 +277,16 @@ def test_periods_may_have_any_offset(spark, tmp_path):
         assert here == there
     with pytest.raises(ValueError):
         table.read(datetime(2026, 6, 13))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from clickmeter.session import shared_folder
+
+    conf = SimpleNamespace(get=lambda name, default: default, set=lambda name, value: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+    local = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]"))
+    assert shared_folder(local)
