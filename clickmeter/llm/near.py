@@ -1,16 +1,15 @@
 """From band keys to classes of near copies, shared by the operators that sketch texts.
 
-Items are distinct texts. Items that share a band key are in a bucket. No pairs are made
-inside a bucket; three steps find all classes:
+Items are distinct texts. Items that share a band key are in a bucket. Two steps find all
+classes without making the pairs of a bucket:
 
 1. In every bucket each item is held against one centre, the item that meets most others over
-   all its buckets. Pairs whose overlap is verified are links.
-2. Buckets whose items are not yet in one component do this once more, with another centre
-   among the items outside the centre's component.
-3. What is left are buckets that hold several components. Two of their items can only reach
-   the threshold if they share one of their rarest grams, as many as may differ and one more;
-   such pairs of different components are verified. Grams that many texts share, like those
-   of a common passage, are not among the rarest.
+   all its buckets. Pairs whose overlap is verified are links, and links make components.
+2. What is left are items of buckets that hold several components. Grams are ordered by how
+   many of these items have them. Two items can only reach the threshold if they share one of
+   their rarest grams, as many as may differ and one more; they meet at the first one that
+   both have, and what follows it bounds their overlap. Pairs of different components within
+   that bound are verified. Grams of a common passage are not among the rarest.
 
 A gram that occurs several times is numbered, so that overlaps of sets are those of multisets.
 """
@@ -135,30 +134,15 @@ def links(bands: DataFrame, grams_of, threshold: float = THRESHOLD) -> DataFrame
     known = components(found)
 
     left = _divided(buckets, known)
-    centres = _stars(left.select("bucket", "item"), degrees).select("bucket", "b").distinct()
-    outside = (
-        left.join(centres, "bucket")
-        .join(left.select("bucket", F.col("item").alias("b"), F.col("component").alias("own")), ["bucket", "b"])
-        .where("component <> own")
-        .select("bucket", "item")
-    )
-    pairs = _stars(outside, degrees).select(F.col("item").alias("a"), "b").distinct()
-    found = written(found.unionByName(verified(pairs, grams, threshold)), "links")
-    known = components(found)
-
-    left = _divided(buckets, known).select("item", "component").distinct()
-    pairs = _rare_pairs(left, grams, threshold)
-    more = written(verified(pairs, grams, threshold), "links")
-    if more.isEmpty():
-        return known
-    return components(found.unionByName(more))
+    more = written(verified(_rare_pairs(left, grams, threshold), grams, threshold), "links")
+    return known if more.isEmpty() else components(found.unionByName(more))
 
 
 def _divided(buckets: DataFrame, known: DataFrame) -> DataFrame:
-    """The buckets that hold several components, with the component of each item."""
+    """The items of buckets that hold several components, with the component of each."""
     rows = buckets.join(known, "item", "left").withColumn("component", F.coalesce("component", "item"))
     several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return written(rows.join(several.select("bucket"), "bucket", "left_semi"), "divided-buckets")
+    return rows.join(several.select("bucket"), "bucket", "left_semi").select("item", "component").distinct()
 
 
 def _rare_pairs(items: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
@@ -171,8 +155,17 @@ def _rare_pairs(items: DataFrame, grams: DataFrame, threshold: float) -> DataFra
     size = F.size("grams")
     spare = size - F.ceil(threshold * size).cast("int") + 1 - (size - F.size("shared"))
     rare = own.join(shared, "item").where(spare > 0).select(
-        "item", "component", F.explode(F.slice("shared", F.lit(1), spare)).alias("x")
+        "item",
+        "component",
+        size.alias("size"),
+        F.size("shared").alias("known"),
+        F.transform(F.slice("shared", F.lit(1), F.greatest(spare, F.lit(0))), lambda x: x["gram"]).alias("rare"),
     )
-    rare = rare.select("item", "component", F.col("x.gram").alias("gram"))
-    other = rare.select(F.col("item").alias("b"), F.col("component").alias("own"), "gram")
-    return rare.join(other, "gram").where("item < b and component <> own").select(F.col("item").alias("a"), "b").distinct()
+    left = rare.select("*", F.posexplode("rare").alias("at", "gram"))
+    right = left.select(*(F.col(c).alias(f"{c}_b") for c in left.columns if c != "gram"), "gram")
+    # A pair meets once, at the first gram that both have; what follows bounds their overlap.
+    once = F.element_at(F.array_intersect("rare", "rare_b"), 1) == F.col("gram")
+    rest = F.least(F.col("known") - F.col("at"), F.col("known_b") - F.col("at_b"))
+    enough = rest * (1 + threshold) >= threshold * (F.col("size") + F.col("size_b")) - 1e-6
+    other = (F.col("item") < F.col("item_b")) & (F.col("component") != F.col("component_b"))
+    return left.join(right, "gram").where(other & enough & once).select(F.col("item").alias("a"), F.col("item_b").alias("b"))
