@@ -169,3 +169,24 @@ def first_of_runs(values: np.ndarray) -> np.ndarray:
     changed[0] = True
     np.not_equal(values[1:], values[:-1], out=changed[1:])
     return np.flatnonzero(changed)
+
+
+OF_ROW = np.uint64(0x9FB21C651E98DF25)
+
+
+def in_row(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """One hash for a value of a row."""
+    return mixed(values.view(np.uint64) + rows.astype(np.uint64) * OF_ROW)
+
+
+def flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row of every entry of a list column, and the entries."""
+    bounds = lists.offsets.to_numpy()
+    entries = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+    return np.repeat(np.arange(len(lists), dtype=np.uint64), np.diff(bounds)), entries
+
+
+def among(rows: np.ndarray, values: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Whether a value is in the list of its row."""
+    owner, entries = flat(lists)
+    return np.isin(in_row(rows, values), in_row(owner, entries.to_numpy()))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmeter.llm import near
-from clickmeter.llm.common import BASE, BASE_INVERSE, list_array, mixed, pieces, powers, text_bytes, word_spans, written
+from clickmeter.llm.common import BASE, BASE_INVERSE, among, list_array, mixed, pieces, powers, text_bytes, word_spans, written
 
 MIN_WORDS = 20
 MIN_RUN = 16
@@ -101,14 +101,13 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         wanted = batch.column("wanted")
         data, offsets = text_bytes(batch.column("text"))
-        for i in range(len(batch)):
-            own = data[offsets[i] : offsets[i + 1]]
-            words, first, _, _, items = _lines(own, np.array([0, len(own)]))
+        for a, b in pieces(offsets):
+            words, first, text, _, items = _lines(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             rows, hashes, _ = near.counted(*near.shingles(words, first))
             bounds = np.searchsorted(rows, np.arange(len(items) + 1))
-            keep = np.isin(items, wanted[i].values.to_numpy())
+            keep = among(text, items, wanted.slice(a, b - a))
             _, at = np.unique(items, return_index=True)
-            keep[np.setdiff1d(np.arange(len(items)), at)] = False
+            keep &= np.isin(np.arange(len(items)), at)
             found = pa.RecordBatch.from_arrays([pa.array(items), list_array(hashes.view(np.int64), bounds)], names=["item", "grams"])
             yield found.filter(pa.array(keep))
 
@@ -141,30 +140,30 @@ def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(ids[a + rows])], names=["piece", "doc_id"])
 
 
-def _stripped(data: np.ndarray, lines: set[int], known: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """Which bytes go; number of paragraphs and of removed ones."""
-    whole = np.array([0, len(data)])
-    gone = np.zeros(len(data), bool)
-    bounds, _, place = line_offsets(data, whole)
-    starts, ends, _ = word_spans(data, whole)
-    if not len(starts):
-        return gone, 0, 0
-    counts = np.diff(np.searchsorted(starts, bounds))
-    n = int((counts >= MIN_WORDS).sum())
-    removed = 0
-    for k in np.flatnonzero(counts >= MIN_WORDS):
-        if int(place[k]) in lines:
-            gone[bounds[k] : bounds[k + 1]] = True
-            removed += 1
-    if len(known):
-        words, first = near.word_hashes(data, whole)
-        _, a, b, hashes = short_pieces(words, first)
-        again = np.isin(hashes, known)
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-        for i, j in zip(edges[::2], edges[1::2], strict=True):
-            if b[j - 1] - a[i] >= MIN_RUN:
-                gone[starts[a[i]] : ends[b[j - 1] - 1]] = True
-    return gone, n, removed
+def _stripped(data: np.ndarray, offsets: np.ndarray, lines: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes of a piece of texts go; paragraphs of each text and removed ones."""
+    texts = len(offsets) - 1
+    edge = np.zeros(len(data) + 1, np.int64)
+    bounds, text, place = line_offsets(data, offsets)
+    starts, ends, first = word_spans(data, offsets)
+    long = np.diff(np.searchsorted(starts, bounds)) >= MIN_WORDS
+    gone = long & among(text, place, lines)
+    np.add.at(edge, bounds[:-1][gone], 1)
+    np.add.at(edge, bounds[1:][gone], -1)
+    if len(starts):
+        words, first = near.word_hashes(data, offsets)
+        owner, a, b, hashes = short_pieces(words, first)
+        again = among(owner, hashes, known)
+        # A run ends where a piece is new or the text ends.
+        start = again.copy()
+        start[1:] &= ~again[:-1] | (owner[1:] != owner[:-1])
+        stop = again.copy()
+        stop[:-1] &= ~again[1:] | (owner[1:] != owner[:-1])
+        a, b = a[start], b[stop]
+        enough = b - a >= MIN_RUN
+        np.add.at(edge, starts[a[enough]], 1)
+        np.add.at(edge, ends[b[enough] - 1], -1)
+    return np.cumsum(edge[:-1]) > 0, np.bincount(text[long], minlength=texts), np.bincount(text[gone], minlength=texts)
 
 
 def _result_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,15 +171,18 @@ def _result_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column("text"))
         lines, known = batch.column("lines"), batch.column("known")
         rows = []
-        for i in range(len(batch)):
-            own = data[offsets[i] : offsets[i + 1]]
-            found = known[i].values.to_numpy() if known[i].is_valid else np.zeros(0, np.int64)
-            gone, n, removed = _stripped(own, set(lines[i].as_py() or ()), found)
-            spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
-            rows.append((len(own), int(gone.sum()), spans, n, removed, hashlib.sha256(own[~gone].tobytes()).hexdigest()))
-        *counts, digests = zip(*rows, strict=True) if rows else ((),) * 6
+        for a, b in pieces(offsets):
+            part, bounds = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            gone, counts, removed = _stripped(part, bounds, lines.slice(a, b - a), known.slice(a, b - a))
+            for i in range(b - a):
+                own, cut = part[bounds[i] : bounds[i + 1]], gone[bounds[i] : bounds[i + 1]]
+                lost = int(np.count_nonzero(cut))
+                spans = int(np.count_nonzero(cut[1:] & ~cut[:-1]) + cut[0]) if lost else 0
+                kept = own[~cut] if lost else own
+                rows.append((len(own), lost, spans, int(counts[i]), int(removed[i]), hashlib.sha256(kept.tobytes()).hexdigest()))
+        *columns, digests = zip(*rows, strict=True) if rows else ((),) * 6
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string())],
+            [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), pa.array(digests, pa.string())],
             names=[part.split(" ")[0] for part in RESULT.split(", ")],
         )
 
