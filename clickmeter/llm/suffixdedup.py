@@ -38,12 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmeter.llm.common import SpanHashes, first_of_runs, list_array, mixed, pieces, text_bytes, written
+from clickmeter.llm.common import OF_ROW, SpanHashes, among, first_of_runs, flat, in_row, list_array, mixed, pieces, text_bytes, written
 
 LENGTH = 50
 GRAM = 20
 BUCKET_BYTES = 2_000_000
-OF_ROW = np.uint64(0x9FB21C651E98DF25)
 TOGETHER = 1000  # snippets of a transform; small ones stay in a core's cache
 NOTHING = np.zeros(0, np.int64)
 LOST = "key long, first long, lost array<int>"
@@ -114,11 +113,7 @@ def _cut(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
 def _shared_anchors(data: np.ndarray, offsets: np.ndarray, shared: pa.Array, length: int, gram: int):
     """The anchor occurrences of the texts that are among the shared ones of their document."""
     rows, hashes, first, count = anchors(data, offsets, length, gram)
-    lists = shared.offsets.to_numpy()
-    flat = shared.values.to_numpy().view(np.uint64)
-    owner = np.repeat(np.arange(len(shared), dtype=np.uint64), np.diff(lists))
-    flat = flat[lists[0] : lists[-1]]
-    mark = np.isin(mixed(hashes.view(np.uint64) + rows.astype(np.uint64) * OF_ROW), mixed(flat + owner * OF_ROW))
+    mark = among(rows, hashes, shared)
     return rows[mark], hashes[mark], first[mark], count[mark]
 
 
@@ -296,27 +291,20 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(2), batch.column(3)], names=["key", "first", "lost"])
 
 
-def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Row of every entry of a list column, and the entries."""
-    bounds = lists.offsets.to_numpy()
-    entries = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
-    return np.repeat(np.arange(len(lists), dtype=np.uint64), np.diff(bounds)), entries
-
-
 def _removed_bytes(data: np.ndarray, offsets: np.ndarray, shared: pa.Array, own: pa.Array, lost: pa.Array, length: int, gram: int) -> np.ndarray:
     """Which bytes of a piece of texts lie in strings of earlier documents."""
     rows, anchor, first, count = _shared_anchors(data, offsets, shared, length, gram)
     end = first + count + length - 1
     edge = np.zeros(len(data) + 1, np.int64)
     if len(rows):
-        key = mixed(_keys(anchor, SpanHashes(data).of(first, end)) + rows.astype(np.uint64) * OF_ROW)
-        owner, entries = _flat(own)
-        mine = np.isin(key, mixed(entries.to_numpy().view(np.uint64) + owner * OF_ROW))
+        key = _keys(anchor, SpanHashes(data).of(first, end))
+        mine = among(rows, key, own)
+        key = in_row(rows, key)
         np.add.at(edge, first[~mine], 1)
         np.add.at(edge, end[~mine], -1)
-        owner, entries = _flat(lost)
+        owner, entries = flat(lost)
         if len(entries):
-            known = mixed(entries.field("key").to_numpy().view(np.uint64) + owner * OF_ROW)
+            known = in_row(owner, entries.field("key").to_numpy())
             order = np.argsort(known)
             bounds = entries.field("lost").offsets.to_numpy()
             places = entries.field("lost").values.to_numpy()
@@ -324,8 +312,8 @@ def _removed_bytes(data: np.ndarray, offsets: np.ndarray, shared: pa.Array, own:
             hit = np.flatnonzero(known[order][at] == key)
             entry = order[at[hit]]
             sizes = bounds[entry + 1] - bounds[entry]
-            flat = np.arange(sizes.sum()) + np.repeat(bounds[entry] - (np.cumsum(sizes) - sizes), sizes)
-            start = np.repeat(first[hit], sizes) + places[flat]
+            at = np.arange(sizes.sum()) + np.repeat(bounds[entry] - (np.cumsum(sizes) - sizes), sizes)
+            start = np.repeat(first[hit], sizes) + places[at]
             np.add.at(edge, start, 1)
             np.add.at(edge, start + length, -1)
     return np.cumsum(edge[:-1]) > 0
@@ -404,6 +392,7 @@ def removals(
         lost = lost.unionByName(rest.mapInArrow(_keyed, LOST))
     some = F.when(F.size("lost") > 0, F.struct("key", "lost"))
     own = lost.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("key").alias("own"), F.collect_list(some).alias("lost"))
+    own = written(own, "own-snippets")
     rows = docs.join(marks, "doc_id", "left").join(own, "doc_id", "left")
     return rows.select("doc_id", "text", is_copy.alias("copy"), "shared", "own", "lost").mapInArrow(_removed(length, gram), RESULT)
 
