@@ -40,23 +40,21 @@ def _repeat_words(words: Column) -> Column:
     """Words in three-word windows that the text holds twice or more."""
 
     def windows(hashes: Column) -> Column:
-        return F.array_sort(
-            F.transform(
-                F.sequence(F.lit(0), F.size(hashes) - 3),
-                lambda i: F.struct(
-                    F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)).alias("h"),
-                    i.alias("at"),
-                ),
-            )
+        return F.transform(
+            F.sequence(F.lit(0), F.size(hashes) - 3),
+            lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)),
         )
 
+    def ordered(found: Column) -> Column:
+        return F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
+
     def repeated(ordered: Column) -> Column:
         again = F.filter(
             ordered,
             lambda x, i: F.coalesce(F.get(ordered, i - 1)["h"] == x["h"], F.lit(False))
             | F.coalesce(F.get(ordered, i + 1)["h"] == x["h"], F.lit(False)),
         )
-        return F.array_sort(F.transform(again, lambda x: x["at"]))
+        return F.sort_array(F.transform(again, lambda x: x["at"]))
 
     def covered(starts: Column) -> Column:
         widths = F.transform(
@@ -64,13 +62,18 @@ def _repeat_words(words: Column) -> Column:
         )
         return F.aggregate(widths, F.lit(0), lambda total, x: total + x)
 
+    def counted(found: Column) -> Column:
+        """Most texts repeat no window, and then nothing needs to be put in order."""
+        some = _once(ordered(found), lambda o: _once(repeated(o), covered))
+        return F.when(F.size(F.array_distinct(found)) == F.size(found), 0).otherwise(some)
+
     hashes = F.transform(words, lambda word: F.xxhash64(word))
-    found = _once(hashes, lambda h: _once(windows(h), lambda o: _once(repeated(o), covered)))
+    found = _once(hashes, lambda h: _once(windows(h), counted))
     return F.when(F.size(words) >= 3, found).otherwise(0).cast("long")
 
 
 def _without(text: Column, chars: str) -> Column:
-    return F.char_length(F.translate(text, chars, ""))
+    return F.char_length(F.regexp_replace(text, f"[{chars}]+", ""))
 
 
 def counted(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -89,7 +92,7 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     values = {
         "n_words": F.size(words),
         "word_chars": _without(body, SPACES),
-        "n_symbols": F.char_length(body) - _without(body, SYMBOLS),
+        "n_symbols": F.regexp_count(body, F.lit(f"[{SYMBOLS}]")),
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": _repeat_words(words),
         "n_lines": F.size(lines),
