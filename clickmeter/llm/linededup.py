@@ -1,19 +1,23 @@
-"""Removal of multi-line chunks that the corpus holds more than once.
-
-A rolling hash runs over the hashes of a line and the line before it. A line ends a chunk if
-its rolling hash has the top bit set and that of the line before has not, so a chunk has four
-lines on average and, but for a text's first and last one, two at least. Boundaries depend on
-two neighbouring lines only: text put in front of a passage does not shift them.
-
-Chunks are counted by hash over the corpus. Those that occur again are cut out of the
-documents that hold them and grouped by their bytes, which combines equal ones before the
-shuffle; the first by (doc_id, place) stays. Documents get back the chunks in which they come
-first, and lose their other repeated chunks.
-
-Defined cases: a null text has no lines and stays null. Chunks of one line, or with fewer
-than two lines that have a word, always stay. Rows with the same doc_id count as one
-document. Rows without doc_id are left as they are. An empty table gives an empty one.
-Other columns are carried along whatever their names.
+"""Removal of runs of lines that the corpus holds more than once.
+
+A chunk is the smallest passage of several lines: a line with a word and the next one, with
+the blank lines between them. A chunk starts at every line with a word but the last, so chunks
+overlap, and any run of lines that another place repeats is made of chunks that it repeats:
+no border has to fall into the run. Text put in front of a passage does not shift them.
+
+Chunks are counted by a rolling hash over the hashes of their lines. Those whose hash occurs
+again are cut out of the documents that hold them and grouped by their bytes, which combines
+equal ones before the shuffle; the first by (doc_id, place) stays. A document loses each line
+that is in a chunk with an earlier equal. So every run of two or more lines that an earlier
+document, or an earlier place of the same one, holds goes as a whole, and nothing else does.
+What is reported as a removed chunk is a run of removed lines.
+
+Defined cases: a null text has no lines and stays null. A repeated line by itself, with other
+lines before and behind it than in its other places, always stays; so do runs with fewer than
+two lines that have a word. Blank lines around a removed run stay. Of a line repeated in a row
+the first stays. Rows with the same doc_id count as one document. Rows without doc_id are left
+as they are. An empty table gives an empty one. Other columns are carried along whatever
+their names.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from clickmeter.llm.common import written
 
 ROLL = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
+BLANK = " \t\n\x0b\x0c\r"
 REPORT = "doc_id long, n_lines long, n_removed_lines long, n_removed_chunks long, kept_sha256 string"
 
 
@@ -39,27 +44,28 @@ def _signed(value: int) -> int:
 
 def chunks(lines: list[str]) -> list[tuple[int, int]]:
     """Ranges of lines."""
-    ends, before, was = [], None, False
-    for i, line in enumerate(lines):
-        own = xxhash.xxh3_64_intdigest(line.encode())
-        now = before is not None and bool(((before * 3 + own) * ROLL & MASK) >> 63)
-        if now and not was:
-            ends.append(i + 1)
-        before, was = own, now
-    if not ends or ends[-1] < len(lines):
-        ends.append(len(lines))
-    return list(zip([0, *ends[:-1]], ends, strict=True))
+    at = [i for i, line in enumerate(lines) if line.strip(BLANK)]
+    return [(a, b + 1) for a, b in zip(at, at[1:], strict=False)]
+
+
+def _rolled(lines: list[str]) -> Iterator[tuple[int, int, int]]:
+    """First and last line and hash of the chunks; one starts with the line that ends the one before."""
+    last = None
+    for a, b in chunks(lines):
+        rolled = xxhash.xxh3_64_intdigest(lines[a].encode()) if last is None else last
+        for line in lines[a + 1 : b]:
+            last = xxhash.xxh3_64_intdigest(line.encode())
+            rolled = (rolled * 3 + last) * ROLL & MASK
+        yield a, b, _signed(rolled)
 
 
 def hashed_chunks(text: str | None) -> Iterator[tuple[int, int, int, str, int]]:
-    """First and last line, place, content and hash of the chunks that may be removed."""
+    """First and last line, place, content and hash of the chunks."""
     if not text:
         return
     lines = text.split("\n")
-    for place, (a, b) in enumerate(chunks(lines)):
-        if b - a > 1 and sum(1 for line in lines[a:b] if line.strip(" \t\n\x0b\x0c\r")) > 1:
-            content = "\n".join(lines[a:b])
-            yield a, b, place, content, _signed(xxhash.xxh3_64_intdigest(content.encode()))
+    for place, (a, b, h) in enumerate(_rolled(lines)):
+        yield a, b, place, "\n".join(lines[a:b]), h
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +73,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [
             (i, place, h)
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for _, _, place, _, h in hashed_chunks(text)
+            for place, (_, _, h) in enumerate(_rolled(text.split("\n")) if text else ())
         ]
         ids, places, hashes = zip(*found, strict=True) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays(
@@ -90,14 +96,19 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stripped(text: str | None, again: list | None, first: list | None) -> tuple[str | None, int, int]:
-    """What stays of a text, removed lines, removed chunks."""
+    """What stays of a text, removed lines, runs of removed lines."""
     if not again or not text:
         return text, 0, 0
-    wanted, own = set(again), {(x["place"], x["hash"]) for x in first or []}
-    cut = [(a, b) for a, b, place, _, h in hashed_chunks(text) if h in wanted and (place, h) not in own]
+    wanted, own, lines = set(again), {(x["place"], x["hash"]) for x in first or []}, text.split("\n")
+    cut: list[tuple[int, int]] = []
+    for place, (a, b, h) in enumerate(_rolled(lines)):
+        if h in wanted and (place, h) not in own:
+            if cut and a <= cut[-1][1]:
+                a, _ = cut.pop()
+            cut.append((a, b))
     if not cut:
         return text, 0, 0
-    lines, kept, at = text.split("\n"), [], 0
+    kept, at = [], 0
     for a, b in cut:
         kept += lines[at:a]
         at = b

@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; those left without a word go."""
+    """Documents without repeated runs of lines; those left without a word go."""
     prepare(spark)
     rest = linededup.stripped(docs).where(F.col("text").rlike("[^ \\t-\\r]"))
     return rest.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
