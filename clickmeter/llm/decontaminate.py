@@ -7,7 +7,16 @@ hits are counted in bands of 2(e + 1) diagonals, each overlapping the next by ha
 one band holds them all. A region whose count reaches the bound is aligned in its band, with
 free ends in the text; it stays if the distance is at most e.
 
-Items longer than a probe are cut into probes that overlap by half; one found probe counts.
+Items of up to 400 characters are a probe; longer ones are cut into probes of 400 that overlap
+by half. One found probe counts.
+
+With `passages`, as in the query and the pipeline, a passage of an item counts as well: every
+item is cut into parts of 140 characters at a stride of 35, the last one at its end, each a
+probe with its own e. So a copied run of 174 characters or more holds a whole part wherever it
+starts, and is always found. The distance is that of the item or its probe of 400, and that
+of the nearest part only if none of these is found. Without it only items as a whole, or
+probes of 400, match.
+
 Probes are sent to the executors in blocks of a fixed number of characters, each with a pass
 over all documents, so what is broadcast does not grow with the benchmark.
 
@@ -32,12 +41,14 @@ from clickmeter.llm.common import first_of_runs
 Q = 10
 EDIT_SHARE = 20
 PROBE = 400
+PART = 140
+STRIDE = 35
 BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 1_000_000
 FILTER_BITS = 24
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BASE, BASE_2, BASE_4 = (np.uint64(pow(0xD6E8FEB86659FD95, k, 1 << 64)) for k in (1, 2, 4))
-HITS = "doc_id long, item_id long, distance long, start long"
+HITS = "doc_id long, item_id long, part long, distance long, start long"
 
 
 def normalised(text: str) -> str:
@@ -49,12 +60,19 @@ def edits(m: int) -> int:
     return max(0, min(m // EDIT_SHARE, m // Q - 1))
 
 
-def probes(text: str) -> list[str]:
-    text = normalised(text)
-    if len(text) <= PROBE:
+def _cut(text: str, size: int, step: int) -> list[str]:
+    if len(text) <= size:
         return [text] if len(text) >= Q else []
-    step = PROBE // 2
-    return [text[a : a + PROBE] for a in range(0, len(text) - PROBE, step)] + [text[-PROBE:]]
+    return [text[a : a + size] for a in range(0, len(text) - size, step)] + [text[-size:]]
+
+
+def probes(text: str, passages: bool = False) -> list[tuple[bool, str]]:
+    """Whether it is a part only, and the probe."""
+    text = normalised(text)
+    found = [(False, p) for p in _cut(text, PROBE, PROBE // 2)]
+    if passages and len(text) > PART:
+        found += [(True, p) for p in _cut(text, PART, STRIDE)]
+    return found
 
 
 def codes(text: str) -> np.ndarray:
@@ -75,10 +93,12 @@ def gram_hashes(chars: np.ndarray) -> np.ndarray:
 class Probes:
     """An index of the grams of a block of probes."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
-        self.items = np.array([i for i, _ in rows], np.int64)
-        self.chars = [codes(p) for _, p in rows]
-        self.texts = [p for _, p in rows]
+    def __init__(self, rows: list[tuple[int, bool, str]]):
+        rows = sorted(rows, key=lambda row: row[1])  # parts come last, when their item may be known
+        self.items = np.array([i for i, _, _ in rows], np.int64)
+        self.parts = np.array([part for _, part, _ in rows], bool)
+        self.chars = [codes(p) for _, _, p in rows]
+        self.texts = [p for _, _, p in rows]
         self.sizes = np.array([len(c) for c in self.chars], np.int64)
         self.edits = np.array([edits(m) for m in self.sizes], np.int64)
         self.bounds = np.maximum(1, self.sizes + 1 - Q - Q * self.edits)
@@ -146,8 +166,8 @@ def aligned(probe: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[
     return int(row[best]), low + len(probe) + best
 
 
-def _found(texts: list[str], index: Probes) -> Iterator[tuple[int, int, int, int]]:
-    """Text, item, distance and start, for texts that are handled together."""
+def _found(texts: list[str], index: Probes) -> Iterator[tuple[int, int, int, int, int]]:
+    """Text, item, whether by a part only, distance and start, for texts that are handled together."""
     parts = [codes(t) for t in texts]
     sizes = np.array([len(p) for p in parts], np.int64)
     ends = np.cumsum(sizes + 1)
@@ -157,11 +177,11 @@ def _found(texts: list[str], index: Probes) -> Iterator[tuple[int, int, int, int
         whole[s : s + len(p)] = p
     at, probe, place = index.hits(whole)
     doc = np.searchsorted(ends, at, "right")
-    best: dict[tuple[int, int], tuple[int, int]] = {}
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for d, p, low in index.regions(at - starts[doc], doc, probe, place):
-        item, budget = int(index.items[p]), int(index.edits[p])
+        item, budget, part = int(index.items[p]), int(index.edits[p]), int(index.parts[p])
         known = best.get((d, item))
-        if known and known[0] == 0:
+        if known and (known[0] < part or known[:2] == (part, 0)):
             continue
         near = max(0, low - budget)
         exact = texts[d].find(index.texts[p], near, low + 3 * (budget + 1) + int(index.sizes[p]))
@@ -170,10 +190,10 @@ def _found(texts: list[str], index: Probes) -> Iterator[tuple[int, int, int, int
         else:
             distance, end = aligned(index.chars[p], parts[d], low - budget, 2 * (budget + 1) + 2 * budget)
             start = max(0, end - int(index.sizes[p]))
-        if distance <= budget and (known is None or (distance, start) < known):
-            best[d, item] = (distance, start)
-    for (d, item), (distance, start) in best.items():
-        yield d, item, distance, start
+        if distance <= budget and (known is None or (part, distance, start) < known):
+            best[d, item] = (part, distance, start)
+    for (d, item), found in best.items():
+        yield d, item, *found
 
 
 def _scan(block):
@@ -188,48 +208,53 @@ def _scan(block):
                 while last < len(texts) and (last == first or size + len(texts[last]) <= PIECE_CHARS):
                     size += len(texts[last])
                     last += 1
-                rows += [(ids[first + d], item, e, s) for d, item, e, s in _found(texts[first:last], index)]
+                rows += [(ids[first + d], *found) for d, *found in _found(texts[first:last], index)]
                 first = last
-            columns = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "distance", "start"])
+            columns = zip(*rows, strict=True) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "part", "distance", "start"])
 
     return run
 
 
-def _probe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [
-            (i, p)
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            if text
-            for p in probes(text)
-        ]
-        ids, texts = zip(*rows, strict=True) if rows else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["item_id", "probe"])
+def _probe_rows(passages: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (i, part, p)
+                for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                if text
+                for part, p in probes(text, passages)
+            ]
+            ids, parts, texts = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(parts, pa.bool_()), pa.array(texts, pa.string())], names=["item_id", "part", "probe"]
+            )
+
+    return run
 
 
 def leaks(
-    docs: DataFrame, benchmark: DataFrame, ids: str = "doc_id", text: str = "text", items: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS
+    docs: DataFrame, benchmark: DataFrame, ids: str = "doc_id", text: str = "text", items: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS, passages: bool = False
 ) -> DataFrame:
     """doc_id, item_id, least distance and where in the normalised text, for each pair that is found."""
     spark = docs.sparkSession
     read = docs.select(F.col(ids).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
     source = benchmark.select(F.col(items).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id is not null")
-    wanted = source.mapInArrow(_probe_rows, "item_id long, probe string").distinct()
+    wanted = source.mapInArrow(_probe_rows(passages), "item_id long, part boolean, probe string").distinct()
     total = wanted.agg(F.sum(F.length("probe"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_chars))
     found = None
     for k in range(blocks):
-        own = wanted.where(F.pmod(F.xxhash64("item_id", "probe"), F.lit(blocks)) == k).orderBy("item_id", "probe")
-        sent = spark.sparkContext.broadcast([(r[0], r[1]) for r in own.collect()])
+        own = wanted.where(F.pmod(F.xxhash64("item_id", "part", "probe"), F.lit(blocks)) == k).orderBy("item_id", "part", "probe")
+        sent = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
         part = read.mapInArrow(_scan(sent), HITS)
         found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(F.min(F.struct("distance", "start")).alias("best")).select(
+    return found.groupBy("doc_id", "item_id").agg(F.min(F.struct("part", "distance", "start")).alias("best")).select(
         "doc_id", "item_id", "best.distance", "best.start"
     )
 
 
-def kept(docs: DataFrame, benchmark: DataFrame, ids: str = "doc_id", text: str = "text") -> DataFrame:
+def kept(docs: DataFrame, benchmark: DataFrame, ids: str = "doc_id", text: str = "text", passages: bool = False) -> DataFrame:
     """The documents without those that hold a benchmark item; rows without doc_id stay."""
-    found = leaks(docs, benchmark, ids, text).select(F.col("doc_id").alias(ids)).distinct()
+    found = leaks(docs, benchmark, ids, text, passages=passages).select(F.col("doc_id").alias(ids)).distinct()
     return docs.join(found, ids, "left_anti")

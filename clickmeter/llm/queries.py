@@ -26,7 +26,7 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), passages=True)
 
 
 def op3_bagminhash(spark: SparkSession, folder: str) -> DataFrame:

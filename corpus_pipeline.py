@@ -36,8 +36,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontaminate.kept(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    """Documents that hold no benchmark item and no passage of one."""
+    return decontaminate.kept(docs, table(spark, sf_dir, "benchmark"), passages=True).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
