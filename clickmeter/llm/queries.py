@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmeter.llm import (
+    alignment,
     bagminhash,
     decontaminate,
     licenses,
@@ -66,6 +67,12 @@ def op10_chat_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     return toolcalls.linked(calls, results, toolcalls.QUESTION)
 
 
+def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -79,5 +86,6 @@ QUERIES = {
         op8_paragraph_dedup,
         op9_license_scan,
         op10_chat_tool_calls,
+        op11_cross_tokenizer,
     )
 }
