@@ -13,6 +13,7 @@ from clickmeter.llm import (
     licenses,
     linededup,
     paragraphs,
+    prefixtrie,
     quality,
     sentencepieces,
     suffixdedup,
@@ -73,6 +74,10 @@ def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.nodes(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -87,5 +92,6 @@ QUERIES = {
         op9_license_scan,
         op10_chat_tool_calls,
         op11_cross_tokenizer,
+        op12_prefix_trie,
     )
 }
