@@ -87,4 +87,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM voted JOIN model USING (votes)
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY}
+# A step of the checksum for each bit: a byte comes with the first of its eight.
+CHECKSUM = (
+    "xor(list_reduce(list_concat([4294967295::UBIGINT], flatten(list_transform(string_split({id}, ''), "
+    "lambda c: [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda a, b: xor(xor(a, b) >> 1, 3988292384::UBIGINT * (xor(a, b) & 1::UBIGINT))), 4294967295::UBIGINT)"
+)
+
+TRIE = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, {CHECKSUM.format(id="conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)
+), taken AS (
+  SELECT c.conv_id, 0 AS kind, place, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 20 AND place <= h
+  UNION ALL
+  SELECT conv_id, 1, place, role, text FROM own JOIN convs USING (conv_id) WHERE place > h
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY kind, place) AS depth,
+         sha256(length(role) || ':' || role || text) AS turn,
+         len(regexp_extract_all(text, '{WORD}+')) AS words
+  FROM taken
+), paths AS (
+  SELECT conv_id, depth, words, sha256(string_agg(turn, '') OVER upto) AS path,
+         CASE WHEN depth = 1 THEN '' ELSE sha256(string_agg(turn, '') OVER before) END AS above
+  FROM numbered
+  WINDOW upto AS (PARTITION BY conv_id ORDER BY depth),
+         before AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  UNION ALL
+  SELECT conv_id, 0, 0, '', NULL FROM convs
+), nodes AS (
+  SELECT path, any_value(above) AS above, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words
+  FROM paths GROUP BY path
+), children AS (
+  SELECT above AS path, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above
+), added AS (
+  SELECT conv_id, depth, (n_convs - 1) * words AS saved, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaves
+  FROM nodes LEFT JOIN children USING (path)
+), summed AS (
+  SELECT path, sum(saved) AS saved, sum(leaves) AS leaves
+  FROM (SELECT path, sum(coalesce(saved, 0)) OVER below AS saved, sum(coalesce(leaves, 0)) OVER below AS leaves
+        FROM paths LEFT JOIN added USING (conv_id, depth)
+        WINDOW below AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+  GROUP BY path
+), ends AS (
+  SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS sha
+  FROM paths JOIN (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id) USING (conv_id, depth)
+  GROUP BY path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       coalesce(sha, sha256('')) AS ends_sha256
+FROM nodes n JOIN summed USING (path) LEFT JOIN children USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes up ON up.path = n.above
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op12_prefix_trie": TRIE}

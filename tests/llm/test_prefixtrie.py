@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 from conftest import FOLDER
 from helpers import WORD
 
+from __spark_entry__ import oracle_sql, queries
 from clickmeter.llm import prefixtrie
 from clickmeter.llm.common import prepare
 
@@ -104,3 +106,12 @@ def test_odd_tables(spark):
     assert got(clash) == plain([(1, 1, "u", "x " * 200_000), (-3, 0, "u", "y")])
     twice = spark.createDataFrame([(20, 1, "u", "x")] * 40 + [(20, 1, "u", "y")] * 2, TURNS)
     assert len(got(twice)) == 43
+
+
+def test_registered_query_matches_its_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{FOLDER}/conversations.parquet'")
+    result = connection.execute(oracle_sql()["op12_prefix_trie"])
+    names = [c[0] for c in result.description]
+    frame = queries()["op12_prefix_trie"](spark, FOLDER).select(*names)
+    assert sorted((tuple(r) for r in frame.collect()), key=repr) == sorted(result.fetchall(), key=repr)
