@@ -20,6 +20,10 @@ one row of a block, and no key holds many rows. The merged counts go back to the
 shuffle join, and a block adds them up over its own links, of which it has kept two or four bytes
 each. Of the vocabulary's size is only the highest count of every id of B, which is broadcast.
 
+Texts of characters that every version of Unicode classes alike are encoded by a quicker library
+with A's vocabulary and pattern, since equal merges in equal order give equal tokens; tests hold
+the two libraries against each other. All other texts go to the library of A's file.
+
 Defined cases: a null or empty text has no tokens, nor has one whose joined tokens differ from
 its bytes, as when the pieces write a character another way: all its numbers are 0 and
 `groups_sha256` is empty. The strings of special tokens are plain text. Rows are told apart by
@@ -33,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -40,6 +45,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +55,8 @@ from clickmeter.llm.common import written
 BLOCK_BYTES = 2 << 20
 BLOCK_ROWS = 1 << 14
 BLANK = "▁"
+#: Characters whose classes are the same in every version of Unicode that a library may have.
+SETTLED = re.compile("[\t\n\r\x20-\x7e\xa0-\u024f]*")
 PAIRS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))
 ENCODED = pa.schema(
     [
@@ -83,7 +91,7 @@ def byte_letters() -> dict[str, int]:
 class Tokenizers:
     """Both tokenizers, and of every id its bytes and its number as text."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -93,8 +101,11 @@ class Tokenizers:
         with open(path_a, encoding="utf-8") as file:
             vocabulary = json.load(file)
         entries = {i: bytes(letters[c] for c in token) for token, i in vocabulary["model"]["vocab"].items()}
+        words = {token: i for i, token in entries.items()}
         for added in vocabulary.get("added_tokens", ()):
-            entries.setdefault(added["id"], added["content"].encode())
+            entries[added["id"]] = added["content"].encode()
+            words.pop(entries[added["id"]], None)
+        self.quick = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=words, special_tokens={})
         self.bytes_a = pa.array([entries.get(i, b"") for i in range(max(entries) + 1)], pa.large_binary())
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = pa.array([self._piece_bytes(i) for i in range(self.b.get_piece_size())], pa.large_binary())
@@ -109,7 +120,10 @@ class Tokenizers:
         return b"" if self.b.is_control(i) else self.b.id_to_piece(i).replace(BLANK, " ").encode()
 
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = [self.quick.encode_ordinary(" " + t) if SETTLED.fullmatch(t) else None for t in texts]
+        rest = [i for i, ids in enumerate(a) if ids is None]
+        for i, found in zip(rest, self.a.encode_batch_fast([" " + texts[i] for i in rest], add_special_tokens=False), strict=True):
+            a[i] = found.ids
         return _lists(a), _lists(self.b.encode(texts, num_threads=1))
 
 
@@ -240,9 +254,9 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def _encoder(path_a: str, path_b: str):
+def _encoder(path_a: str, path_b: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers = loaded(path_a, path_b)
+        tokenizers = loaded(path_a, path_b, pattern)
         task = TaskContext.get().partitionId() << 32
         for number, (ids, texts) in enumerate(_gathered(batches)):
             whole = Block(tokenizers, texts).batch(task + number, ids)
@@ -252,13 +266,13 @@ def _encoder(path_a: str, path_b: str):
     return run
 
 
-_LOADED: dict[tuple[str, str], Tokenizers] = {}
+_LOADED: dict[tuple[str, str, str], Tokenizers] = {}
 
 
-def loaded(path_a: str, path_b: str) -> Tokenizers:
-    if (path_a, path_b) not in _LOADED:
-        _LOADED[path_a, path_b] = Tokenizers(path_a, path_b)
-    return _LOADED[path_a, path_b]
+def loaded(*paths: str) -> Tokenizers:
+    if paths not in _LOADED:
+        _LOADED[paths] = Tokenizers(*paths)
+    return _LOADED[paths]
 
 
 def _summed(docs: pa.Table, known: pa.Table) -> pa.Table:
@@ -275,10 +289,10 @@ def _summed(docs: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table([*(docs[x] for x in names), *sums, docs["groups_sha256"]], names=[*names, "n_best", "count_sum", "groups_sha256"])
 
 
-def encoded(docs: DataFrame, path_a: str, path_b: str, ids: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path_a: str, path_b: str, pattern: str, ids: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each document with its links as places in the pairs of its block."""
     read = docs.select(F.col(ids).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return read.mapInArrow(_encoder(path_a, path_b), ENCODED_DDL)
+    return read.mapInArrow(_encoder(path_a, path_b, pattern), ENCODED_DDL)
 
 
 def block_pairs(blocks: DataFrame) -> DataFrame:
@@ -294,9 +308,9 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(highest), "b").select("a", "b", "count", (F.col("count") == F.col("highest")).cast("int").alias("is_best"))
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str, ids: str = "doc_id", text: str = "text") -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str, ids: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of each row."""
-    blocks = written(encoded(docs, path_a, path_b, ids, text), "aligned-blocks")
+    blocks = written(encoded(docs, path_a, path_b, pattern, ids, text), "aligned-blocks")
     pairs = block_pairs(blocks)
     known = pairs.drop("n").join(pair_counts(pairs).hint("merge"), ["a", "b"])
     known = known.select(F.col("block").alias("of_block"), "pair", "count", "is_best")

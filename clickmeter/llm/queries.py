@@ -69,9 +69,8 @@ def op10_chat_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
-    return alignment.aligned(
-        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    )
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(table(spark, folder, "documents"), *paths, public_tokenizers.PATTERN)
 
 
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 from clickmeter.llm import alignment
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+FILES = (A, B, public_tokenizers.PATTERN)
 ODD = [None, "", " ", "\n", "a", "  two  blanks ", "tab\tand\r\nlines\n\n", "<|endoftext|> </s> <s><unk><0x41>", "ends with ▁ a piece's blank", "é́ ﬁ½😀 字字 ñ", "\0 \x01", "a" * 3000]
 
 
@@ -78,7 +79,7 @@ def plain(texts):
 
 
 def got(docs):
-    rows = alignment.aligned(docs, A, B).collect()
+    rows = alignment.aligned(docs, *FILES).collect()
     return {r["doc_id"]: (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["n_best"], r["count_sum"], r["groups_sha256"]) for r in rows}
 
 
@@ -116,12 +117,12 @@ def test_blocks_hold_their_size(spark):
 def test_odd_tables(spark):
     """Repeated rows, no doc_id, names that clash, an empty table, a long text, wide places."""
     docs = frame(spark, ["same text", "same text", "other"], [7, 7, None]).selectExpr("*", "1 as block", "'x' as links", "2 as pairs", "3 as n_best")
-    rows = [(r["doc_id"], *tuple(r)[1:7]) for r in alignment.aligned(docs, A, B).collect()]
+    rows = [(r["doc_id"], *tuple(r)[1:7]) for r in alignment.aligned(docs, *FILES).collect()]
     expected = [(i, *x[:6]) for i, x in zip([7, 7, None], plain(["same text", "same text", "other"]), strict=True)]
     assert sorted(rows, key=repr) == sorted(expected, key=repr)
-    assert alignment.aligned(docs.limit(0), A, B).count() == 0
+    assert alignment.aligned(docs.limit(0), *FILES).count() == 0
     long = "".join(chr(0x4E00 + i % 20000) + " " for i in range(120_000))
-    block = alignment.Block(alignment.loaded(A, B), [long, "a"])
+    block = alignment.Block(alignment.loaded(*FILES), [long, "a"])
     assert block.n_links[0] > 0 and (block.links.dtype == "uint32") == (block.pairs.num_rows > 1 << 16)
 
 
@@ -129,3 +130,13 @@ def test_byte_letters_cover_the_vocabulary():
     vocabulary = json.load(open(A, encoding="utf-8"))["model"]["vocab"]
     assert len(set(alignment.byte_letters().values())) == 256
     assert {c for token in vocabulary if token != "<|endoftext|>" for c in token} <= set(alignment.byte_letters())
+
+
+def test_both_libraries_of_a_agree_on_settled_characters():
+    random_ = random.Random(1)
+    settled = [chr(c) for c in range(0x250) if alignment.SETTLED.fullmatch(chr(c))]
+    texts = ["".join(random_.choice(letters) for _ in range(random_.choice([2, 5, 40]))) for letters in (settled, "abct'sd 1.\n\t\xa0é") for _ in range(20_000)]
+    texts += ["a" * 5000, " " * 5000, ".," * 2000]
+    own = alignment.loaded(*FILES)
+    expected = [x.ids for x in own.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    assert own.encode(texts)[0].to_pylist() == expected
