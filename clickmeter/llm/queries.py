@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clickmeter.llm import (
     alignment,
     bagminhash,
+    compressquality,
     decontaminate,
     licenses,
     linededup,
@@ -77,6 +78,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixtrie.nodes(table(spark, folder, "conversations"))
 
 
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return compressquality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -92,5 +97,6 @@ QUERIES = {
         op10_chat_tool_calls,
         op11_cross_tokenizer,
         op12_prefix_trie,
+        op13_quality_classifier,
     )
 }
