@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmeter import periods
-from clickmeter.plans import metrics, reconcile
+from clickmeter.plans import metrics, reconcile, settling
+from clickmeter.plans.capture import answer_columns, as_events
 from clickmeter.schemas import AD, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.session import utc
 from clickmeter.settings import RETENTION_DAYS, TRIGGER_SECONDS, WATERMARK_DELAY
 from clickmeter.sources import archive, catalog, clickstream
 from clickmeter.sources.aggregates import AggregateTable
-from clickmeter.streaming import archiving, capturing, counting
+from clickmeter.streaming import answering, archiving, counting, intake
 
 
 def _trigger(args) -> dict:
@@ -48,15 +49,28 @@ def load_catalog(spark: SparkSession, args) -> None:
 
 
 def capture(spark: SparkSession, args) -> None:
+    """Both stages: requests to answers below the state folder and to events; the catalog is read for every batch."""
     requests = (
         _records(spark, args)
         .select(F.from_json("value", CLICK_REQUEST).alias("request"))
         .select("request.*")
     )
-    ads = spark.read.schema(AD).parquet(args.catalog)
-    capturing.start_capturing(
-        capturing.accepted_events(requests, ads), args.out, args.checkpoint, _trigger(args)
-    ).awaitTermination()
+    ads = lambda session: session.read.schema(AD).parquet(args.catalog)
+    trigger = _trigger(args)
+    taking = intake.start_taking(requests, ads, args.state, f"{args.checkpoint}/taking", trigger)
+    if args.once:
+        taking.awaitTermination()
+    answers = answering.start_answering(spark, args.state, args.out, f"{args.checkpoint}/answering", trigger)
+    _run([taking, answers])
+
+
+def settle(spark: SparkSession, args) -> None:
+    """Write the events and answers of requests that capture has set aside, to a new folder."""
+    rows = settling.settled(settling.set_aside(spark, args.state), answering.read_events(spark, args.events))
+    rows.write.parquet(f"{args.out}/requests")
+    stored = spark.read.schema(answering.ANSWERED).parquet(f"{args.out}/requests")
+    stored.select(*answer_columns()).write.json(f"{args.out}/outcomes")
+    as_events(stored.where("emitted")).write.json(f"{args.out}/events")
 
 
 def count(spark: SparkSession, args) -> None:
@@ -70,10 +84,12 @@ def count(spark: SparkSession, args) -> None:
 
 
 def archive_stream(spark: SparkSession, args) -> None:
-    """Both writers; if one fails the other is stopped and the job fails."""
-    queries = archiving.start_archiving(
-        _records(spark, args), args.raw_path, args.error_path, args.checkpoint, _trigger(args)
-    )
+    """Good records to the archive, others to the error folder."""
+    _run(archiving.start_archiving(_records(spark, args), args.raw_path, args.error_path, args.checkpoint, _trigger(args)))
+
+
+def _run(queries: list) -> None:
+    """Until all have ended; if one fails the others are stopped and the job fails."""
     try:
         while any(query.isActive for query in queries):
             for query in queries:
@@ -135,7 +151,8 @@ def _parser() -> argparse.ArgumentParser:
     stream = {"folder": None, "topic": None, "servers": None, "once": False, "every_seconds": TRIGGER_SECONDS}
     job("create-tables", create_tables, "table", archive_name=None, raw_path=None)
     job("load-catalog", load_catalog, "document", "created_at", "out", catalog=None)
-    job("capture", capture, "catalog", "out", "checkpoint", **stream)
+    job("capture", capture, "catalog", "state", "out", "checkpoint", **stream)
+    job("settle", settle, "state", "events", "out")
     job("count", count, "table", "checkpoint", delay=WATERMARK_DELAY, **stream)
     job("archive", archive_stream, "raw_path", "error_path", "checkpoint", **stream)
     job("forget", forget, "table", hours=24)

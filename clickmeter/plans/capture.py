@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -17,9 +18,11 @@ from clickmeter.settings import EVENT_FIELDS, IMPRESSION_TTL_SECONDS
 _PAYLOAD = ["request_id", "ad_id", "campaign_id", "advertiser_id", "user_agent"]
 
 
-def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
+def judged_requests(requests: DataFrame, ads: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Click requests with the ad they name and, if refused, the `reason`.
 
+    A request and its row of the catalog agree in the ad and in the columns named `also`.
+
     The tests run in the order of the click endpoint: parameters, ad, click time. The
     catalog join comes without a hint: Spark broadcasts the catalog while it is small
     enough by its own size check and otherwise shuffles, splitting the clicks of a hot
@@ -32,9 +35,10 @@ def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
         presence(F.col("click_ts")).alias("click_text"),
         "user_agent",
         instant(F.col("received_at")).alias("received_at"),
+        *also,
     )
-    catalog = ads.select("ad_id", "campaign_id", "advertiser_id", "destination_url", "active")
-    looked_up = cleaned.join(catalog, "ad_id", "left").withColumn(
+    catalog = ads.select("ad_id", "campaign_id", "advertiser_id", "destination_url", "active", *also)
+    looked_up = cleaned.join(catalog, ["ad_id", *also], "left").withColumn(
         "clicked_at", instant_or(F.col("click_text"), F.col("received_at"))
     )
     reason = (
@@ -82,26 +86,27 @@ def outcomes(
         Window.partitionBy(*match).orderBy("user_agent", "click_text")
     )
     same = [F.col(name).eqNullSafe(F.col(f"first_{name}")) for name in match]
-    accepting = F.col("reason").isNull()
     return (
         judged.withColumn("arrival", arrival)
         .withColumn("delivery", delivery)
         .join(accepted, reduce(and_, [*same, F.col("delivery") == 1]), "left")
         .withColumns(
             {
-                "status": F.when(accepting, 302)
-                .when(F.col("reason") == "unknown_ad", 404)
-                .otherwise(400),
                 "emitted": F.coalesce("accepted", F.lit(False)),
-                "location": F.when(accepting, F.col("destination_url")),
             }
         )
-        .select(
-            "request_id", "ad_id", "impression_id", "status", "reason", "emitted", "location"
-        )
+        .select(*answer_columns())
     )
 
 
+def answer_columns() -> list[Column | str]:
+    """What a judged request is answered, given if it `emitted` an event."""
+    accepting = F.col("reason").isNull()
+    status = F.when(accepting, 302).when(F.col("reason") == "unknown_ad", 404).otherwise(400)
+    location = F.when(accepting, F.col("destination_url"))
+    return ["request_id", "ad_id", "impression_id", status.alias("status"), "reason", "emitted", location.alias("location")]
+
+
 def active_ads(ads: DataFrame) -> DataFrame:
     """Ads that may be clicked; an unset flag is not active."""
     return ads.where(F.col("active").eqNullSafe(True))

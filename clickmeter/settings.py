@@ -40,3 +40,8 @@ EVENT_FIELDS = (
 REQUIRED_EVENT_FIELDS = EVENT_FIELDS[:-1]
 DATE_TIME_FIELDS = ("click_ts", "ingest_ts")
 NON_EMPTY_EVENT_FIELDS = ("impression_id", "ad_id", "campaign_id", "advertiser_id")
+
+# Choices of this package.
+ARRIVAL_DELAY = "48 hours"
+AHEAD_TOLERANCE = "5 minutes"
+HOT_CLICKS = 100_000

@@ -1,17 +1,26 @@
-"""The raw click archive: Parquet, laid out by the day and hour of the minute bucket."""
+"""The raw click archive: Parquet, laid out by the day and hour of the minute bucket.
+
+Below an hour is a folder for every writing: a job, or a batch of a stream. A batch that is
+repeated replaces its own folders and so leaves each of its rows once, however far it came
+before; other writers, and days removed meanwhile, are not touched.
+"""
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clickmeter.schemas import CLICK_EVENT, RAW_CLICKS
 from clickmeter.settings import EVENT_FIELDS, RETENTION_DAYS
 from clickmeter.sources.files import delete, file_system, folder_names
 
 PARTITIONS = ["dt", "hr"]
+WRITING = "batch"
+_STORED = StructType([*RAW_CLICKS.fields, StructField(WRITING, StringType())])
 
 
 def with_partitions(events: DataFrame) -> DataFrame:
@@ -24,30 +33,36 @@ def with_partitions(events: DataFrame) -> DataFrame:
     )
 
 
-def write_archive(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Append events. Busy hours are split over several files, quiet ones share a task."""
-    (
-        with_partitions(events.select(*EVENT_FIELDS))
-        .hint("rebalance", *PARTITIONS)
-        .write.mode(mode)
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+def _write(rows: DataFrame, path: str, partitions: list[str], batch: str | None) -> None:
+    """Add the rows as a writing of their own; one with the name `batch` replaces its folders."""
+    named = rows.withColumn(WRITING, F.lit(batch or f"job-{uuid.uuid4().hex}"))
+    writer = named.write.partitionBy(*partitions, WRITING)
+    if batch:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode("append").parquet(path)
+
+
+def write_archive(events: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add events. Busy hours are split over several files, quiet ones share a task."""
+    hourly = with_partitions(events.select(*EVENT_FIELDS)).hint("rebalance", *PARTITIONS)
+    _write(hourly, path, PARTITIONS, batch)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_CLICKS).parquet(path)
+    stored = spark.read.schema(_STORED).parquet(path)
+    return stored.drop(WRITING)
 
 
 def create_archive_table(spark: SparkSession, table: str, path: str) -> None:
     """Declare the archive as a partitioned table and take in the hours it holds.
 
-    To be repeated after writes: it adds the hours that came since.
+    To be repeated after writes: it adds the hours and writings that came since.
     """
     columns = ", ".join(f"{field.name} STRING" for field in RAW_CLICKS)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) "
-        f"USING parquet PARTITIONED BY (dt, hr) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {WRITING} STRING) "
+        f"USING parquet PARTITIONED BY (dt, hr, {WRITING}) LOCATION '{path}'"
     )
     spark.catalog.recoverPartitions(table)
 
@@ -100,8 +115,13 @@ def split_records(records: DataFrame, as_of: Column) -> tuple[DataFrame, DataFra
     return good, bad
 
 
-def write_errors(errors: DataFrame, path: str) -> None:
-    errors.write.mode("append").partitionBy("error_type", "dt").parquet(path)
+def write_errors(errors: DataFrame, path: str, batch: str | None = None) -> None:
+    _write(errors, path, ["error_type", "dt"], batch)
+
+
+def read_errors(spark: SparkSession, path: str) -> DataFrame:
+    schema = f"value string, findings array<string>, error_type string, dt string, {WRITING} string"
+    return spark.read.schema(schema).parquet(path).drop(WRITING)
 
 
 def retained(raw: DataFrame, as_of: Column, days: int = RETENTION_DAYS) -> DataFrame:

@@ -43,28 +43,45 @@ def read_text(fs, spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_text(fs, spark: SparkSession, path: str, text: str) -> None:
+    out = fs.create(_path(spark, path), True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def create_once(fs, spark: SparkSession, path: str, draft: str, text: str) -> bool:
     """Make `path` appear with its whole text, unless it exists already.
 
     The text is written under the name `draft` and renamed; a rename onto an existing
     file is refused, so of two writers one wins and the other is told.
     """
-    out = fs.create(_path(spark, draft), True)
-    try:
-        out.write(bytearray(text, "utf-8"))
-    finally:
-        out.close()
+    write_text(fs, spark, draft, text)
+    return rename_once(spark, draft, path)
+
+
+def make_folder(fs, spark: SparkSession, path: str) -> None:
+    fs.mkdirs(_path(spark, path))
+
+
+def exists(fs, spark: SparkSession, path: str) -> bool:
+    return fs.exists(_path(spark, path))
+
+
+def rename_once(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a file or folder; false where the new name is taken."""
     jvm = spark._jvm
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.NONE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        _path(spark, path).toUri(), spark._jsc.hadoopConfiguration()
+        _path(spark, to).toUri(), spark._jsc.hadoopConfiguration()
     )
     from py4j.protocol import Py4JJavaError
 
     try:
-        context.rename(_path(spark, draft), _path(spark, path), options)
+        context.rename(_path(spark, path), _path(spark, to), options)
     except Py4JJavaError as error:
         if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
             return False

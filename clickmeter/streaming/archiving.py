@@ -1,8 +1,8 @@
 """The archiver: click stream to Parquet hours, with what cannot be read set aside.
 
-Batches are appended as plain Parquet, like those of batch jobs: any number of writers may
-share an archive, and days may be removed from it. A batch that is repeated after a crash may
-leave rows twice; readers count an impression once.
+Batches are written as plain Parquet, like those of batch jobs: any number of writers may
+share an archive, and days may be removed from it. The folders of a batch carry its name, and
+a batch that is repeated after a crash replaces them, so every record is kept once.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickmeter.settings import CHECKPOINT_INTERVAL
 from clickmeter.sources.archive import split_records, write_archive, write_errors
+from clickmeter.sources.batches import batch_name
 
 
 def start_archiving(
@@ -32,17 +33,17 @@ def start_archiving(
     trigger = trigger or {"processingTime": CHECKPOINT_INTERVAL}
     good, bad = split_records(records, F.current_timestamp() if as_of is None else as_of)
     return [
-        _start(good, lambda rows: write_archive(rows, path), f"{checkpoint}/archive", trigger),
-        _start(bad, lambda rows: write_errors(rows, error_path), f"{checkpoint}/errors", trigger),
+        _start(good, lambda rows, name: write_archive(rows, path, name), f"{checkpoint}/archive", trigger),
+        _start(bad, lambda rows, name: write_errors(rows, error_path, name), f"{checkpoint}/errors", trigger),
     ]
 
 
 def _start(
-    rows: DataFrame, write: Callable[[DataFrame], None], checkpoint: str, trigger: dict
+    rows: DataFrame, write: Callable[[DataFrame, str], None], checkpoint: str, trigger: dict
 ) -> StreamingQuery:
     return (
         rows.writeStream.outputMode("append")
-        .foreachBatch(lambda batch, _: write(batch))
+        .foreachBatch(lambda batch, number: write(batch, batch_name(batch.sparkSession, number)))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

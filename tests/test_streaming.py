@@ -2,7 +2,8 @@
 
 import json
 import os
-from datetime import date
+import random
+from datetime import UTC, date, datetime
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -10,16 +11,14 @@ from pyspark.sql import functions as F
 from clickmeter import periods
 from clickmeter.functions.timebucket import iso
 from clickmeter.jobs import main
-from clickmeter.plans import metrics, reconcile
+from clickmeter.plans import capture as batch_capture
+from clickmeter.plans import metrics, reconcile, settling
 from clickmeter.schemas import AD, CLICK_EVENT, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.sources import archive
 from clickmeter.sources.aggregates import AggregateTable
 from clickmeter.sources.clickstream import read_json_folder
+from clickmeter.streaming import answering, intake
 from clickmeter.streaming.archiving import start_archiving
-from clickmeter.streaming.capturing import (
-    accepted_events,
-    start_capturing,
-)
 from clickmeter.streaming.counting import start_counting
 
 ALL = {"availableNow": True}
@@ -142,6 +141,18 @@ def request_stream(spark, folder):
     )
 
 
+NOW = "2026-06-20T00:00:00Z"
+
+
+def capture(spark, tmp_path, catalog=ads, ttl=172800, delay="48 hours"):
+    """Both stages over `requests`; the folder of the events."""
+    root, events = str(tmp_path / "state"), str(tmp_path / "events")
+    requests = request_stream(spark, tmp_path / "requests")
+    intake.start_taking(requests, catalog, root, str(tmp_path / "c1"), ALL, F.lit(NOW).cast("timestamp"), delay).awaitTermination()
+    answering.start_answering(spark, root, events, str(tmp_path / "c2"), ALL, ttl, delay).awaitTermination()
+    return events
+
+
 REQUESTS = [
     [
         ask(1, "imp_1", "2026-06-13T14:00:09Z"),
@@ -169,13 +180,7 @@ def test_each_impression_is_captured_once_per_lifetime(spark, tmp_path):
     for number, batch in enumerate(REQUESTS):
         put(folder, number, *batch)
         # One run per file: what was accepted is remembered over restarts.
-        start_capturing(
-            accepted_events(request_stream(spark, folder), ads(spark)),
-            str(tmp_path / "events"),
-            str(tmp_path / "c"),
-            ALL,
-        ).awaitTermination()
-        events = spark.read.schema(CLICK_EVENT).json(str(tmp_path / "events"))
+        events = answering.read_events(spark, capture(spark, tmp_path))
         captured = rows(events, "impression_id", "click_ts", "ingest_ts")
     assert captured == [
         ("imp_1", "2026-06-13T14:00:01Z", "2026-06-13T14:00:05Z"),
@@ -191,10 +196,8 @@ def test_a_backlog_lets_nothing_count_twice(spark, tmp_path):
     for number, (impression, time) in enumerate(arrivals):
         at = f"2026-06-13T{time}Z"
         put(folder, number, ask(number, impression, at))
-        events = accepted_events(request_stream(spark, folder), ads(spark), 20, "20 seconds")
-        query = start_capturing(events, str(tmp_path / "e"), str(tmp_path / "c"), ALL)
-        query.awaitTermination()
-    found = spark.read.schema(CLICK_EVENT).json(str(tmp_path / "e"))
+        events = capture(spark, tmp_path, ttl=20, delay="20 seconds")
+    found = answering.read_events(spark, events)
     assert rows(found, "impression_id", "ingest_ts") == [
         ("imp", "2026-06-13T14:00:00Z"),
         ("imp", "2026-06-13T14:00:20Z"),
@@ -222,16 +225,11 @@ def test_from_requests_to_metrics(spark, tmp_path):
     events, raw, table_path = (str(tmp_path / name) for name in ("events", "raw", "table"))
     for number, batch in enumerate(REQUESTS):
         put(tmp_path / "requests", number, *batch)
-    start_capturing(
-        accepted_events(request_stream(spark, tmp_path / "requests"), ads(spark)),
-        events,
-        str(tmp_path / "c1"),
-        ALL,
-    ).awaitTermination()
+    capture(spark, tmp_path)
     records = read_json_folder(spark, events)
     table = AggregateTable(spark, table_path).create()
-    start_counting(records, table, str(tmp_path / "c2"), ALL).awaitTermination()
-    for query in start_archiving(records, raw, str(tmp_path / "bad"), str(tmp_path / "c3"), ALL):
+    start_counting(records, table, str(tmp_path / "c3"), ALL).awaitTermination()
+    for query in start_archiving(records, raw, str(tmp_path / "bad"), str(tmp_path / "c4"), ALL):
         query.awaitTermination()
     assert archive.read_archive(spark, raw).count() == 3
     start, end = periods.parse("2026-06-13T14:00:00Z"), periods.parse("2026-06-13T15:00:00Z")
@@ -275,8 +273,8 @@ def test_jobs_from_the_command_line(spark, tmp_path):
         main([job, "--folder", str(folder), "--once", *flags])
 
     stream(
-        "capture", tmp_path / "requests", catalog=at["ads2"], out=at["events"],
-        checkpoint=tmp_path / "c1",
+        "capture", tmp_path / "requests", catalog=at["ads2"], state=tmp_path / "state",
+        out=at["events"], checkpoint=tmp_path / "c1",
     )
     stream("count", at["events"], table=at["t"], checkpoint=tmp_path / "c2")
     stream(
@@ -311,3 +309,130 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     assert archive.drop_expired(spark, at["raw"], date(2026, 7, 14)) == ["2026-06-13"]
     kept = archive.read_period(spark, at["raw"], "2026-06-15T00:00:00Z", "2026-06-16T00:00:00Z")
     assert rows(kept, "impression_id") == [("imp_1",)]
+
+
+def asked_again(spark, tmp_path, deliveries):
+    """Deliveries one after the other; all requests as a batch frame."""
+    for number, batch in enumerate(deliveries):
+        put(tmp_path / "requests", number, *batch)
+        events = capture(spark, tmp_path)
+    everything = spark.createDataFrame([tuple(x[c] for c in REQUEST) for b in deliveries for x in b], ", ".join(f"{c} string" for c in REQUEST))
+    return events, everything.withColumn("user_agent", F.lit(None).cast("string"))
+
+
+REQUEST = ("request_id", "ad_id", "impression_id", "click_ts", "received_at")
+
+
+def test_outcomes_of_the_stream_are_those_of_the_batch(spark, tmp_path):
+    events, requests = asked_again(spark, tmp_path, REQUESTS)
+    streamed = answering.read_outcomes(spark, str(tmp_path / "state"))
+    # Two batches apart, a repeat is told by the state; within one by the first stage.
+    assert rows(streamed) == rows(batch_capture.outcomes(requests, ads(spark)))
+    assert rows(answering.read_events(spark, events)) == rows(batch_capture.click_events(requests, ads(spark)))
+
+
+def test_one_future_and_one_late_request_lose_nothing(spark, tmp_path):
+    deliveries = [
+        [ask(1, "imp_1", "2026-06-13T14:00:00Z"), ask(2, "imp_9", "2031-01-01T00:00:00Z"), ask(3, "imp_1", "2031-01-02T00:00:00Z")],
+        [ask(4, "imp_2", "2026-06-13T15:00:00Z"), ask(5, "imp_9", "2026-06-13T15:00:00Z")],
+        [ask(6, "imp_3", "2026-06-13T16:00:00Z"), ask(7, "imp_4", "2026-06-06T00:00:00Z"), ask(8, "imp_4", "2026-06-06T00:00:00Z")],
+    ]
+    events, requests = asked_again(spark, tmp_path, deliveries)
+    root = str(tmp_path / "state")
+    assert rows(settling.set_aside(spark, root), "request_id", "kind") == [("r02", "ahead"), ("r03", "ahead"), ("r07", "behind"), ("r08", "behind")]
+    streamed = answering.read_events(spark, events)
+    assert streamed.count() == 4
+    expected = rows(batch_capture.click_events(requests, ads(spark)))
+    assert rows(streamed.unionByName(settling.settled_events(spark, root, events))) == expected
+    outcomes = answering.read_outcomes(spark, root).unionByName(settling.settled_outcomes(spark, root, events))
+    assert rows(outcomes) == rows(batch_capture.outcomes(requests, ads(spark)))
+    main(["settle", "--state", root, "--events", events, "--out", str(tmp_path / "settled")])
+    written = spark.read.schema(CLICK_EVENT).json(str(tmp_path / "settled/events"))
+    assert rows(streamed.unionByName(written)) == expected
+
+
+def test_settling_leaves_a_counted_impression_alone(spark, tmp_path):
+    """The late request came first, but the stream has counted a later one within its lifetime."""
+    deliveries = [[ask(1, "imp_1", "2026-06-13T14:00:00Z"), ask(2, "other", "2026-06-16T00:00:00Z")], [ask(3, "imp_1", "2026-06-12T00:00:00Z"), ask(4, "imp_1", "2026-06-11T00:00:00Z")]]
+    events, _ = asked_again(spark, tmp_path, deliveries)
+    late = settling.settled_outcomes(spark, str(tmp_path / "state"), events)
+    assert rows(late, "request_id", "status", "emitted") == [("r03", 302, False), ("r04", 302, True)]
+
+
+def test_an_ad_switched_off_between_batches_is_refused(spark, tmp_path):
+    put(tmp_path / "requests", 1, ask(1, "imp_1", "2026-06-13T14:00:00Z"))
+    capture(spark, tmp_path)
+    put(tmp_path / "requests", 2, ask(2, "imp_2", "2026-06-13T14:01:00Z"), ask(3, "imp_3", "2026-06-13T14:01:00Z"))
+    capture(spark, tmp_path, lambda session: ads(session).withColumn("active", F.lit(False)))
+    outcomes = answering.read_outcomes(spark, str(tmp_path / "state"))
+    assert rows(outcomes, "request_id", "status", "emitted") == [("r01", 302, True), ("r02", 404, False), ("r03", 404, False)]
+
+
+def test_a_batch_taken_in_twice_appears_once(spark, tmp_path):
+    """Commits of both stages are lost after all was written, as by a crash."""
+    put(tmp_path / "requests", 1, *REQUESTS[0])
+    events = capture(spark, tmp_path)
+    before = rows(answering.read_outcomes(spark, str(tmp_path / "state"))), rows(answering.read_events(spark, events))
+    for stage in ("c1", "c2"):
+        for file in (tmp_path / stage / "commits").iterdir():
+            file.unlink()
+    capture(spark, tmp_path)
+    assert (rows(answering.read_outcomes(spark, str(tmp_path / "state"))), rows(answering.read_events(spark, events))) == before
+    put(tmp_path / "requests", 2, *REQUESTS[1])
+    capture(spark, tmp_path)
+    assert answering.read_events(spark, events).count() == 2
+
+
+def test_half_the_clicks_on_one_impression_and_ad(spark, tmp_path):
+    """The hot ad is spread over rows of its own; seconds of the hot impression are thinned first."""
+    start = 1_781_359_200  # 2026-06-13T14:00:00Z
+    stamp = lambda i: datetime.fromtimestamp(start + i // 50, UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    batch = [ask(i, "hot" if i % 2 else f"imp_{i}", stamp(i)) for i in range(4000)]
+    events, requests = asked_again(spark, tmp_path, [batch])
+    assert rows(answering.read_events(spark, events)) == rows(batch_capture.click_events(requests, ads(spark)))
+    taken = spark.read.parquet(str(tmp_path / "state/taken"))
+    assert taken.where("impression_id = 'hot' and kind = 'valid'").count() == 80
+    spread = intake.looked_up(requests, ads(spark), hot_clicks=500)
+    pieces = spread.groupBy("piece").count().collect()
+    assert len(pieces) == 8 and max(r["count"] for r in pieces) < 700
+    assert rows(spread.drop("piece")) == rows(batch_capture.judged_requests(requests, ads(spark)))
+
+
+def test_the_counter_takes_shuffled_batches_and_two_consumers_follow_one_stream(spark, tmp_path):
+    """Files in any order within the watermark give the minutes of the batch; the archive gets every record."""
+    random_ = random.Random(2)
+    clicks = [click(f"14:{m:02}:{s:02}", f"camp_{random_.randint(1, 3)}") for m in range(20) for s in range(0, 60, 7)]
+    shuffled = sorted(clicks, key=lambda c: (c["click_ts"][:18], random_.random()))
+    for number in range(0, len(shuffled), 9):
+        put(tmp_path / "in", number // 9, *shuffled[number : number + 9])
+    put(tmp_path / "in", 999, click("14:30:00"))
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    records = read_json_folder(spark, str(tmp_path / "in"), files_per_batch=7)
+    queries = [start_counting(records, table, str(tmp_path / "c"), ALL)]
+    queries += start_archiving(records, str(tmp_path / "raw"), str(tmp_path / "bad"), str(tmp_path / "a"), ALL)
+    for query in queries:
+        query.awaitTermination()
+    stored = archive.read_archive(spark, str(tmp_path / "raw"))
+    assert stored.count() == len(clicks) + 1
+    exact = reconcile.typed(reconcile.recompute(stored)).where("minute_bucket < '2026-06-13T14:30:00Z'")
+    assert minutes(table) == rows(exact, "campaign_id", F.date_format("minute_bucket", "HH:mm"), "click_count")
+
+
+def test_a_batch_archived_again_after_a_killed_commit_is_kept_once(spark, tmp_path):
+    raw, bad = str(tmp_path / "raw"), str(tmp_path / "bad")
+
+    def run():
+        for query in start_archiving(read_json_folder(spark, str(tmp_path / "in"), 1), raw, bad, str(tmp_path / "c"), ALL):
+            query.awaitTermination()
+
+    put(tmp_path / "in", 1, click("14:07:10"), click("15:07:50"), "{broken")
+    put(tmp_path / "in", 2, click("14:08:10"), "{worse")
+    run()
+    for part in ("archive", "errors"):  # the last batch is known to have begun, not to have ended
+        for file in (tmp_path / "c" / part / "commits").glob("*1*"):
+            file.unlink()
+    lost = next((tmp_path / "raw").glob("dt=*/hr=14/batch=*000000000001/*.parquet"))
+    lost.unlink()  # part of it was never moved to its place
+    run()
+    assert archive.read_archive(spark, raw).count() == 3
+    assert rows(archive.read_errors(spark, bad), "value") == [("{broken",), ("{worse",)]

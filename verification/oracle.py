@@ -123,6 +123,23 @@ outcomes AS (
          CASE WHEN reason IS NULL THEN destination_url END AS location
   FROM judged j LEFT JOIN (SELECT request_id FROM accepted) a USING (request_id))"""
 
+# Some requests dated seven years ahead, some of impressions of their own that come weeks late.
+UNTIMELY = OUTCOMES.replace(
+    """
+cleaned AS (
+  SELECT""",
+    """
+changed AS (
+  SELECT request_id, ad_id, click_ts, delivery,
+         CASE WHEN delivery = 3 THEN impression_id || '_late' ELSE impression_id END AS impression_id,
+         CASE WHEN CAST(request_id AS BIGINT) % 31 = 3 THEN received_at + INTERVAL 7 YEAR ELSE received_at END AS received_at
+  FROM (SELECT *, CASE WHEN CAST(request_id AS BIGINT) % 40 = 7 AND CAST(request_id AS BIGINT) % 31 <> 3
+                        AND received_at < TIMESTAMP '2024-01-10' THEN 3 ELSE 1 END AS delivery
+        FROM requests)),
+cleaned AS (
+  SELECT""",
+).replace("  FROM requests),\njudged", "  FROM changed),\njudged")
+
 FLAWED = f"""{CLICKS},
 flawed AS (
   SELECT event_id, ad_id, advertiser_id, ingest_ts, ingest_ts[19] AS digit,
@@ -333,6 +350,11 @@ EVENT_COLUMNS = (
 )
 READABLE = f"WITH {ADS}, {ASKED}"
 
+ARCHIVE_ERRORS = f"""WITH {CLICKS}
+SELECT CASE ingest_ts[19] WHEN '4' THEN 'malformed_json' ELSE 'invalid_event' END AS error_type,
+       '2024-01-31' AS dt, count(*) AS records
+FROM clicks WHERE ingest_ts[19] IN ('0', '4') GROUP BY ALL"""
+
 ORACLE: dict[str, str] = {
     "recompute_minute": f"WITH {CLICKS} {recomputed()}",
     "recompute_shipments": f"WITH {SHIPMENTS} {recomputed(rows='lines')}",
@@ -355,6 +377,20 @@ FROM requests""",
     "capture_outcomes": f"WITH RECURSIVE {OUTCOMES} SELECT * FROM outcomes",
     "capture_events": f"WITH RECURSIVE {EVENTS} SELECT * FROM captured",
     "stream_capture_events": f"WITH RECURSIVE {EVENTS} SELECT * FROM captured",
+    "stream_outcomes": f"WITH RECURSIVE {OUTCOMES} SELECT * FROM outcomes",
+    "stream_untimely_events": f"WITH RECURSIVE {UNTIMELY} SELECT * FROM captured",
+    "stream_untimely_outcomes": f"WITH RECURSIVE {UNTIMELY} SELECT * FROM outcomes",
+    "stream_set_aside": f"""WITH RECURSIVE {UNTIMELY}
+SELECT request_id, impression_id, CASE WHEN received_at > TIMESTAMP '2024-02-06' THEN 'ahead' ELSE 'behind' END AS kind
+FROM valid JOIN (SELECT request_id FROM changed WHERE delivery = 3 OR received_at > TIMESTAMP '2024-02-06') USING (request_id)""",
+    "stream_catalog_change": "WITH RECURSIVE "
+    + OUTCOMES.replace(
+        "active IS DISTINCT FROM TRUE", "active IS DISTINCT FROM TRUE OR (received_at >= TIMESTAMP '2024-01-20' AND a.campaign_id = 'camp_3')"
+    ).replace(
+        "a.destination_url,",
+        "CASE WHEN received_at >= TIMESTAMP '2024-01-20' AND a.campaign_id = 'camp_5' THEN 'https://example.com/moved' ELSE a.destination_url END AS destination_url,",
+    )
+    + " SELECT * FROM outcomes",
     "first_click_48h": f"""WITH RECURSIVE {CLICKS},
 valid AS (
   SELECT impression_id, event_id, click_ts,
@@ -525,8 +561,8 @@ SELECT * FROM ({recomputed(between("2024-01-06T06:30:00Z", MIDDLE))}) WHERE {PER
     "stream_late_rows": CLOSED,
     "archive_stream": f"""WITH {CLICKS}
 SELECT {EVENT_COLUMNS}, dt, hr FROM clicks WHERE ingest_ts[19] NOT IN ('0', '4')""",
-    "archive_errors": f"""WITH {CLICKS}
-SELECT CASE ingest_ts[19] WHEN '4' THEN 'malformed_json' ELSE 'invalid_event' END AS error_type,
-       '2024-01-31' AS dt, count(*) AS records
-FROM clicks WHERE ingest_ts[19] IN ('0', '4') GROUP BY ALL""",
+    "archive_repeated_batch": f"""WITH {CLICKS}
+SELECT {EVENT_COLUMNS}, dt, hr FROM clicks WHERE ingest_ts[19] NOT IN ('0', '4')""",
+    "archive_errors": ARCHIVE_ERRORS,
+    "archive_repeated_errors": ARCHIVE_ERRORS,
 }

@@ -13,11 +13,13 @@ from clickmeter.functions import events as event_functions
 from clickmeter.functions.timebucket import floor_to, instant, is_bucket, iso, minute_bucket
 from clickmeter.operators import counting, dedup, merging, ownership
 from clickmeter.operators.rollup import rollup
-from clickmeter.plans import audits, capture, metrics, reconcile
+from clickmeter.plans import audits, capture, metrics, reconcile, settling
+from clickmeter.schemas import CLICK_REQUEST
 from clickmeter.session import scratch_folder, utc
 from clickmeter.sources import archive, catalog, clickstream, given
 from clickmeter.sources.aggregates import AggregateTable
-from clickmeter.streaming import archiving, capturing
+from clickmeter.sources.files import delete, file_system
+from clickmeter.streaming import answering, archiving, intake
 from clickmeter.streaming import counting as stream_counting
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -600,21 +602,106 @@ def stream_late_rows(spark, folder):
     return _count_weeks(spark, folder, [0, 2])
 
 
-def stream_capture_events(spark, folder):
-    """Requests of the event stream through capture to JSON lines, read back."""
+#: The clock of streamed requests: all given times lie before it.
+CLOCK = "2024-02-05T00:00:00Z"
+ONCE = {"availableNow": True}
+
+
+def _capture(spark: SparkSession, requests: DataFrame, catalog, root: str) -> None:
+    """Both stages of capture, one after the other, until the requests are used up."""
+    clock = instant(F.lit(CLOCK))
+    _once(intake.start_taking(requests, catalog, root, f"{root}/c1", ONCE, clock))
+    _once(answering.start_answering(spark, root, f"{root}/events", f"{root}/c2", ONCE))
+
+
+def _captured(spark: SparkSession, folder: str) -> str:
     root = scratch_folder(spark, "capture")
     requests = given.click_requests(spark, folder, given.event_stream(spark, folder))
-    events = capturing.accepted_events(requests, given.ads(spark, folder))
-    _once(
-        capturing.start_capturing(
-            events, f"{root}/events", f"{root}/checkpoint", {"availableNow": True}
-        )
+    _capture(spark, requests, lambda session: given.ads(session, folder), root)
+    return root
+
+
+def stream_capture_events(spark, folder):
+    return answering.read_events(spark, f"{_captured(spark, folder)}/events").drop("user_agent")
+
+
+def stream_outcomes(spark, folder):
+    """What streaming capture answers every request."""
+    return answering.read_outcomes(spark, _captured(spark, folder))
+
+
+def untimely_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests with their `delivery`: some are dated into the future, some come weeks late.
+
+    Late ones are of impressions of their own: of one that a stream has counted meanwhile, the
+    count stays with the click that came in time.
+    """
+    at, number = instant(F.col("received_at")), F.col("request_id").cast("long")
+    ahead = number % 31 == 3
+    late = (number % 40 == 7) & (F.col("received_at") < "2024-01-10") & ~ahead
+    return given.click_requests(spark, folder).withColumns(
+        {
+            "delivery": F.when(late, 3).when(F.col("received_at") < "2024-01-20", 1).otherwise(2),
+            "impression_id": F.when(late, F.concat("impression_id", F.lit("_late"))).otherwise(F.col("impression_id")),
+            "received_at": F.when(ahead, iso(at + F.expr("INTERVAL 7 YEARS"))).otherwise(F.col("received_at")),
+        }
     )
-    return spark.read.schema(archive.CLICK_EVENT).json(f"{root}/events").drop("user_agent")
 
 
-def _archive_stream(spark, folder):
-    """Flawed clicks and broken text archived from the stream; the two folders."""
+def _delivered(spark: SparkSession, requests: DataFrame, catalogs: dict, root: str) -> None:
+    """Capture of deliveries, each with the catalog of its time; stopped and started between them."""
+    for number, catalog in catalogs.items():
+        requests.where(F.col("delivery") == number).drop("delivery").write.mode("append").json(f"{root}/requests")
+        stream = spark.readStream.schema(CLICK_REQUEST).json(f"{root}/requests")
+        _capture(spark, stream, catalog, root)
+
+
+def _untimely(spark: SparkSession, folder: str) -> str:
+    root = scratch_folder(spark, "untimely")
+    catalog = lambda session: given.ads(session, folder)
+    _delivered(spark, untimely_requests(spark, folder), dict.fromkeys((1, 2, 3), catalog), root)
+    return root
+
+
+def stream_untimely_events(spark, folder):
+    """Events of the stream together with those settled: as if all had come in time."""
+    root = _untimely(spark, folder)
+    late = settling.settled_events(spark, root, f"{root}/events")
+    return answering.read_events(spark, f"{root}/events").unionByName(late).drop("user_agent")
+
+
+def stream_untimely_outcomes(spark, folder):
+    root = _untimely(spark, folder)
+    late = settling.settled_outcomes(spark, root, f"{root}/events")
+    return answering.read_outcomes(spark, root).unionByName(late)
+
+
+def stream_set_aside(spark, folder):
+    """Which requests the stream leaves to settling."""
+    return settling.set_aside(spark, _untimely(spark, folder)).select("request_id", "impression_id", "kind")
+
+
+def stream_catalog_change(spark, folder):
+    """The ads of a campaign are switched off, and one is moved, between two deliveries."""
+    root = scratch_folder(spark, "catalog")
+    off = F.when(F.col("campaign_id") == "camp_3", F.lit(False)).otherwise(F.col("active"))
+    moved = F.when(F.col("campaign_id") == "camp_5", F.lit("https://example.com/moved")).otherwise(F.col("destination_url"))
+    catalogs = {
+        1: lambda session: given.ads(session, folder),
+        2: lambda session: given.ads(session, folder).withColumns({"active": off, "destination_url": moved}),
+    }
+    second = F.col("received_at") >= "2024-01-20"
+    requests = given.click_requests(spark, folder).withColumn("delivery", F.when(second, 2).otherwise(1))
+    _delivered(spark, requests, catalogs, root)
+    return answering.read_outcomes(spark, root)
+
+
+def _archive_stream(spark, folder, times=1):
+    """Flawed clicks and broken text archived from the stream; the two folders.
+
+    For more than one time the batch's commits are forgotten in between, as by a crash after
+    all was written, so that it is worked on again.
+    """
     root = scratch_folder(spark, "archiver")
     digit = F.substring("ingest_ts", 19, 1)
     raw = given.raw_clicks(spark, folder, given.event_stream(spark, folder))
@@ -622,16 +709,15 @@ def _archive_stream(spark, folder):
     records = raw.withColumn(
         "impression_id", F.when(digit != "0", F.col("impression_id"))
     ).select(text.alias("value"))
-    _once(
-        archiving.start_archiving(
-            records,
-            f"{root}/raw",
-            f"{root}/errors",
-            f"{root}/checkpoint",
-            {"availableNow": True},
-            as_of(),
+    fs, _ = file_system(spark, root)
+    for _ in range(times):
+        for part in ("archive", "errors"):
+            delete(fs, spark, f"{root}/checkpoint/{part}/commits")
+        _once(
+            archiving.start_archiving(
+                records, f"{root}/raw", f"{root}/errors", f"{root}/checkpoint", ONCE, as_of()
+            )
         )
-    )
     return f"{root}/raw", f"{root}/errors"
 
 
@@ -640,14 +726,24 @@ def archive_stream(spark, folder):
     return archive.read_archive(spark, raw).drop("user_agent")
 
 
+def _error_counts(spark, path):
+    return archive.read_errors(spark, path).groupBy("error_type", "dt").agg(F.count(F.lit(1)).alias("records"))
+
+
 def archive_errors(spark, folder):
     _, errors = _archive_stream(spark, folder)
-    return (
-        spark.read.schema("value string, findings array<string>, error_type string, dt string")
-        .parquet(errors)
-        .groupBy("error_type", "dt")
-        .agg(F.count(F.lit(1)).alias("records"))
-    )
+    return _error_counts(spark, errors)
+
+
+def archive_repeated_batch(spark, folder):
+    """A batch that is worked on twice leaves each row once."""
+    raw, _ = _archive_stream(spark, folder, 2)
+    return archive.read_archive(spark, raw).drop("user_agent")
+
+
+def archive_repeated_errors(spark, folder):
+    _, errors = _archive_stream(spark, folder, 2)
+    return _error_counts(spark, errors)
 
 
 QUERIES: dict[str, Query] = {
@@ -713,8 +809,15 @@ QUERIES: dict[str, Query] = {
         stream_restart,
         stream_late_rows,
         stream_capture_events,
+        stream_outcomes,
+        stream_untimely_events,
+        stream_untimely_outcomes,
+        stream_set_aside,
+        stream_catalog_change,
         archive_stream,
         archive_errors,
+        archive_repeated_batch,
+        archive_repeated_errors,
     )
 }
 
