@@ -65,7 +65,9 @@ def main() -> None:
     q.stored_rows(spark, FOLDER).write.parquet(stored_path)
     stored = spark.read.parquet(stored_path)
     table = AggregateTable(spark, f"{root}/table").create()
-    table.upsert(stored, q.as_of())
+    table.upsert(q.stream_rows(given.raw_clicks(spark, FOLDER)), q.as_of())
+    exact = reconcile.typed(reconcile.recompute(given.raw_clicks(spark, FOLDER)))
+    table.swap(exact, q.EARLIEST, q.MIDDLE, q.as_of())
     ads = given.ads(spark, FOLDER)
     requests = given.metrics_requests(spark, FOLDER)
     requests.write.parquet(f"{root}/requests")

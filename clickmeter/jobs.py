@@ -106,7 +106,7 @@ def expire(spark: SparkSession, args) -> None:
 
 
 def forget(spark: SparkSession, args) -> None:
-    """Remove versions of the aggregate table that were replaced some hours ago."""
+    """Remove rows of the aggregate table that were replaced some hours ago."""
     AggregateTable(spark, args.table).forget(timedelta(hours=args.hours))
 
 

@@ -26,20 +26,9 @@ def last_closed(as_of: datetime, cadence: str = "hour") -> tuple[datetime, datet
     return end - CADENCES[cadence], end
 
 
-def hours_between(start: datetime, end: datetime) -> list[str]:
-    """The UTC hours that overlap `[start, end)`, as `yyyy-MM-ddTHH`."""
-    start, end = utc(start), utc(end)
-    hour = start.replace(minute=0, second=0, microsecond=0)
-    hours = []
-    while hour < end:
-        hours.append(hour_name(hour))
-        hour += CADENCES["hour"]
-    return hours
-
-
-def hour_name(time: datetime) -> str:
-    """The UTC hour of a time, as folders are named."""
-    return utc(time).strftime("%Y-%m-%dT%H")
+def micros(time: datetime) -> int:
+    """Microseconds since 1970."""
+    return (utc(time) - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
 
 
 def utc(time: datetime) -> datetime:

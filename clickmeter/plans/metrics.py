@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from datetime import UTC, datetime, timedelta
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,6 @@ from clickmeter.operators.ownership import owned_pairs
 from clickmeter.operators.rollup import BATCH_RULES, unit_counts
 from clickmeter.schemas import METRICS_REQUEST
 from clickmeter.settings import (
-    BLANK_CHARS,
     DEFAULT_GRANULARITY,
     GRANULARITIES,
     MAX_BUCKETS,
@@ -77,7 +77,23 @@ def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
     Tests run in the order principal, campaign, granularity, range, ownership. The
     advertiser comes from the bearer token only.
     """
-    read = requests.select(
+    pairs = owned_pairs(ads).withColumn("owned", F.lit(True))
+    return _judged(_read(requests).join(pairs, ["advertiser_id", "campaign_id"], "left"))
+
+
+def _read(requests: DataFrame) -> DataFrame:
+    return requests.select(*_read_columns())
+
+
+def _judged(read: DataFrame) -> DataFrame:
+    """Read requests by their `owned`."""
+    return read.withColumns(_judgements()).drop("owned")
+
+
+# Building these takes longer than using them, so a service builds them once.
+@cache
+def _read_columns() -> tuple[Column | str, ...]:
+    return (
         "request_id",
         bearer_principal(F.col("authorization")).alias("advertiser_id"),
         presence(F.col("campaign_id")).alias("campaign_id"),
@@ -85,7 +101,10 @@ def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
         instant(F.col("from")).alias("start"),
         instant(F.col("to")).alias("end"),
     )
-    pairs = owned_pairs(ads).withColumn("owned", F.lit(True))
+
+
+@cache
+def _judgements() -> dict[str, Column]:
     reason = (
         F.when(F.col("advertiser_id").isNull(), "unauthenticated")
         .when(F.col("campaign_id").isNull(), "missing_parameter")
@@ -95,20 +114,9 @@ def judged_requests(requests: DataFrame, ads: DataFrame) -> DataFrame:
     )
     status = F.lit(200)
     for name, code in _STATUS.items():
-        status = F.when(F.col("reason") == name, code).otherwise(status)
-    return (
-        read.join(pairs, ["advertiser_id", "campaign_id"], "left")
-        .withColumn("reason", reason)
-        .withColumn("status", status)
-        .withColumn(
-            "granularity",
-            F.when(
-                F.col("reason").isNull(),
-                effective_granularity(F.col("start"), F.col("end"), F.col("requested")),
-            ),
-        )
-        .drop("owned")
-    )
+        status = F.when(reason == name, code).otherwise(status)
+    fitted_unit = effective_granularity(F.col("start"), F.col("end"), F.col("requested"))
+    return {"reason": reason, "status": status, "granularity": F.when(reason.isNull(), fitted_unit)}
 
 
 def spine(accepted: DataFrame) -> DataFrame:
@@ -280,27 +288,33 @@ def campaign_series(
             F.coalesce("click_count", F.lit(0)).alias("click_count"),
             F.when(F.col("batch"), SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
         )
-        .orderBy("bucket_start")
+        .coalesce(1)
+        .sortWithinPartitions("bucket_start")
     )
 
 
 def answer(request: dict, ads: DataFrame, table: AggregateTable, source_rule: str = "exact") -> tuple[int, str]:
-    """Status and JSON body of one request, with all tests; only its hours of the table are read."""
-    spark = ads.sparkSession
-    asked = spark.range(1).select(
-        *(F.lit(request.get(f.name)).cast(f.dataType).alias(f.name) for f in METRICS_REQUEST)
-    )
-    # The catalog is filtered by the campaign before anything is joined.
-    known = ads.where(F.col("campaign_id").eqNullSafe((request.get("campaign_id") or "").strip(BLANK_CHARS)))
-    judged = judged_requests(asked, known)
-    details = F.coalesce(*(F.when(F.col("reason") == k, v) for k, v in METRICS_ERROR_DETAILS.items()))
+    """Status and JSON body of one request, with all tests; only its days of the table are read.
+
+    What the request alone tells is worked out by the optimizer, from one literal row. Whether
+    the campaign is owned comes along with its series, so one job answers.
+    """
+    names = METRICS_REQUEST.fieldNames()
+    marks = ", ".join(f"CAST(:{name} AS STRING)" for name in names)
+    listed = ", ".join(f"`{name}`" for name in names)
+    asked = ads.sparkSession.sql(f"SELECT * FROM VALUES ({marks}) AS asked({listed})", {n: request.get(n) for n in names})
     times = {name: F.unix_micros(name) for name in ("start", "end")}
-    row = judged.withColumn("detail", details).withColumns(times).first()
+    row = _judged(_read(asked).withColumn("owned", F.lit(True))).withColumns(times).first()
     if row.status != 200:
-        return row.status, json.dumps({"error": row.reason, "detail": row.detail}, separators=(",", ":"))
+        return row.status, _error(row.reason)
     start, end = _time(row.start), _time(row.end)
-    found = campaign_series(table.read(start, end), row.campaign_id, start, end, row.requested, source_rule)
-    buckets = [{name: bucket[name] for name in _RESULT} for bucket in found.collect()]
+    owner = ads.where((F.col("campaign_id") == row.campaign_id) & (F.col("advertiser_id") == row.advertiser_id))
+    stored = table.read(start, end, row.granularity)
+    found = campaign_series(stored, row.campaign_id, start, end, row.requested, source_rule)
+    rows = found.withColumn("owned", owner.limit(1).agg(F.count(F.lit(1))).scalar() > 0).collect()
+    if not rows[0].owned:
+        return _STATUS["forbidden"], _error("forbidden")
+    buckets = [{name: bucket[name] for name in _RESULT} for bucket in rows]
     body = {
         "campaign_id": row.campaign_id,
         "granularity": row.granularity,
@@ -311,6 +325,10 @@ def answer(request: dict, ads: DataFrame, table: AggregateTable, source_rule: st
     return 200, json.dumps(body, separators=(",", ":"))
 
 
+def _error(reason: str) -> str:
+    return json.dumps({"error": reason, "detail": METRICS_ERROR_DETAILS[reason]}, separators=(",", ":"))
+
+
 def fitted(start: datetime, end: datetime, granularity: str) -> str:
     """The effective granularity of one request."""
     for unit in GRANULARITIES[GRANULARITIES.index(granularity) : -1]:

@@ -60,10 +60,10 @@ def reconcile(
     end: datetime,
     as_of: Column | None = None,
     lookback: timedelta | None = None,
-) -> int:
-    """Recompute `[start, end)` and publish it; returns the new table version."""
+) -> None:
+    """Recompute `[start, end)` and publish it."""
     counts = typed(recompute_period(spark, archive, start, end, lookback))
-    return AggregateTable(spark, table).swap(
+    AggregateTable(spark, table).swap(
         counts, start, end, F.current_timestamp() if as_of is None else as_of
     )
 

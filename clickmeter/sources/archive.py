@@ -7,7 +7,6 @@ before; other writers, and days removed meanwhile, are not touched.
 
 from __future__ import annotations
 
-import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from clickmeter.schemas import CLICK_EVENT, RAW_CLICKS
 from clickmeter.settings import EVENT_FIELDS, RETENTION_DAYS
+from clickmeter.sources.batches import replace_batch
 from clickmeter.sources.files import delete, file_system, folder_names
 
 PARTITIONS = ["dt", "hr"]
@@ -33,20 +33,9 @@ def with_partitions(events: DataFrame) -> DataFrame:
     )
 
 
-def _write(rows: DataFrame, path: str, partitions: list[str], batch: str | None) -> None:
-    """Add the rows as a writing of their own; one with the name `batch` replaces its folders."""
-    named = rows.withColumn(WRITING, F.lit(batch or f"job-{uuid.uuid4().hex}"))
-    writer = named.write.partitionBy(*partitions, WRITING)
-    if batch:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
-
-
 def write_archive(events: DataFrame, path: str, batch: str | None = None) -> None:
-    """Add events. Busy hours are split over several files, quiet ones share a task."""
-    hourly = with_partitions(events.select(*EVENT_FIELDS)).hint("rebalance", *PARTITIONS)
-    _write(hourly, path, PARTITIONS, batch)
+    """Add events, a file at least for every hour they have."""
+    replace_batch(with_partitions(events.select(*EVENT_FIELDS)), path, PARTITIONS, batch)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -116,7 +105,7 @@ def split_records(records: DataFrame, as_of: Column) -> tuple[DataFrame, DataFra
 
 
 def write_errors(errors: DataFrame, path: str, batch: str | None = None) -> None:
-    _write(errors, path, ["error_type", "dt"], batch)
+    replace_batch(errors, path, ["error_type", "dt"], batch)
 
 
 def read_errors(spark: SparkSession, path: str) -> DataFrame:

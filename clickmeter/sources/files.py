@@ -23,14 +23,6 @@ def folder_names(fs, spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(folder)]
 
 
-def file_times(fs, spark: SparkSession, path: str) -> dict[str, float]:
-    """Names directly below `path` and when each was last changed, in seconds."""
-    folder = _path(spark, path)
-    if not fs.exists(folder):
-        return {}
-    return {x.getPath().getName(): x.getModificationTime() / 1000 for x in fs.listStatus(folder)}
-
-
 def delete(fs, spark: SparkSession, path: str) -> None:
     fs.delete(_path(spark, path), True)
 
@@ -51,16 +43,6 @@ def write_text(fs, spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def create_once(fs, spark: SparkSession, path: str, draft: str, text: str) -> bool:
-    """Make `path` appear with its whole text, unless it exists already.
-
-    The text is written under the name `draft` and renamed; a rename onto an existing
-    file is refused, so of two writers one wins and the other is told.
-    """
-    write_text(fs, spark, draft, text)
-    return rename_once(spark, draft, path)
-
-
 def make_folder(fs, spark: SparkSession, path: str) -> None:
     fs.mkdirs(_path(spark, path))
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickmeter.settings import CHECKPOINT_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH
 from clickmeter.sources.aggregates import AggregateTable
+from clickmeter.sources.batches import batch_name
 from clickmeter.sources.clickstream import decode_clicks
 
 
@@ -41,8 +42,9 @@ def start_counting(
 ) -> StreamingQuery:
     """Write closed minutes to the table. Counts are set, so a replayed batch adds nothing."""
 
-    def publish(counts: DataFrame, _batch: int) -> None:
-        table.upsert(counts, F.current_timestamp() if as_of is None else as_of, protect_batch)
+    def publish(counts: DataFrame, number: int) -> None:
+        now = F.current_timestamp() if as_of is None else as_of
+        table.upsert(counts, now, protect_batch, batch_name(counts.sparkSession, number))
 
     return (
         windowed_counts(records, **options)

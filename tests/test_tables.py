@@ -1,5 +1,6 @@
 """Archive, aggregate table, reconciliation."""
 
+import random
 from datetime import UTC, date, datetime, timedelta, timezone
 
 import pytest
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 from clickmeter import periods
 from clickmeter.functions.timebucket import instant, iso
 from clickmeter.operators.counting import captured_per_day
+from clickmeter.operators.rollup import rollup
 from clickmeter.plans import audits, reconcile
 from clickmeter.schemas import CLICK_EVENT
 from clickmeter.sources import archive
-from clickmeter.sources.aggregates import AggregateTable
+from clickmeter.sources.aggregates import AggregateTable, owned_pieces
 
 H13, H14, H15, H16 = (periods.parse(f"2026-06-13T{h}:00:00Z") for h in (13, 14, 15, 16))
 
@@ -75,7 +77,7 @@ def test_archive_table_and_daily_captures(spark, raw):
     for _ in range(2):
         archive.create_archive_table(spark, "raw_clicks", raw)
     table = spark.table("raw_clicks")
-    assert [f.dataType.simpleString() for f in table.schema] == ["string"] * 11
+    assert [f.dataType.simpleString() for f in table.schema] == ["string"] * 12
     exact = [("2026-05-01", 1), ("2026-06-13", 4)]
     assert rows(captured_per_day(table)) == exact
     assert rows(captured_per_day(table, approximate=True)) == exact
@@ -107,13 +109,13 @@ def test_bad_records_are_set_aside_whole(spark, tmp_path):
 
 def test_table_is_created_once_and_starts_empty(spark, tmp_path):
     table = AggregateTable(spark, str(tmp_path / "t")).create().create()
-    assert table.version() == 1 and shown(table.read()) == []
+    assert shown(table.read()) == shown(table.read(H14, H15)) == []
 
 
 def test_upsert_and_range_read(spark, tmp_path):
     table = AggregateTable(spark, str(tmp_path / "t")).create()
     held = counts(spark, ("c1", "2026-06-13T14:00:00Z", 3), ("c1", "2026-06-13T15:00:00Z", 1))
-    assert table.upsert(held, now()) == 2
+    table.upsert(held, now())
     table.upsert(held, now())
     table.upsert(counts(spark, ("c1", "2026-06-13T15:00:00Z", 7)), now())
     assert shown(table.read()) == [
@@ -121,8 +123,72 @@ def test_upsert_and_range_read(spark, tmp_path):
         ("c1", "2026-06-13T15:00:00Z", 7, "stream"),
     ]
     assert shown(table.read(H14, H15)) == [("c1", "2026-06-13T14:00:00Z", 3, "stream")]
-    assert all("hr=14" in name for name in table.read(H14, H14 + timedelta(minutes=5)).inputFiles())
-    assert table.upsert(held.limit(0), now()) == table.version() == 4
+    table.upsert(counts(spark, ("c1", "2026-06-14T14:00:00Z", 3)), now())
+    assert all("dt=2026-06-13" in name for name in table.read(H14, H14 + timedelta(minutes=5)).inputFiles())
+    table.upsert(held.limit(0), now())
+    assert len(shown(table.read())) == 3
+
+
+def test_a_repeated_batch_takes_the_place_of_itself(spark, tmp_path):
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    held = counts(spark, ("c1", "2026-06-13T14:00:00Z", 3), ("c1", "2026-06-14T15:00:00Z", 1))
+    for _ in range(2):
+        table.upsert(held, now(), batch="q-1")
+    assert spark.read.parquet(str(tmp_path / "t/stream")).count() == 2
+    table.upsert(held.withColumn("click_count", F.lit(9).cast("long")), now(), batch="q-2")
+    assert [row[2] for row in shown(table.read())] == [9, 9]
+
+
+def test_pieces_go_to_the_latest_period():
+    names = ["0_100_1_a", "20_40_2_b", "30_60_3_c", "200_300_4_d", "90_95_0_e"]
+    pieces = [(p.lo, p.hi, p.name[-1]) for p in owned_pieces(names, 10, 250)]
+    assert pieces == [(10, 20, "a"), (20, 30, "b"), (30, 60, "c"), (60, 100, "a"), (200, 250, "d")]
+    random_ = random.Random(6)
+    for _ in range(50):
+        bounds = [sorted(random_.sample(range(60), 2)) for _ in range(8)]
+        names = [f"{a}_{b}_{made}_x" for made, (a, b) in enumerate(bounds)]
+        owner = {t: made for made, (a, b) in enumerate(bounds) for t in range(a, b)}
+        found = {t: p.made for p in owned_pieces(names, 5, 50) for t in range(p.lo, p.hi)}
+        assert found == {t: made for t, made in owner.items() if 5 <= t < 50}
+
+
+def test_coarse_reads_use_whole_units_and_agree_with_minutes(spark, tmp_path):
+    """Periods with odd bounds, one over the other, and the stream around them."""
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    random_ = random.Random(3)
+    start = periods.parse("2026-06-11T00:00:00Z")
+
+    def clicks(lo, hi, n):
+        chosen = [(f"c{random_.randint(1, 3)}", periods.text(start + timedelta(minutes=m))) for m in random_.sample(range(lo, hi), n)]
+        return counts(spark, *((c, m, random_.randint(1, 9)) for c, m in chosen))
+
+    table.upsert(clicks(0, 5 * 1440, 400), now())
+    for lo, hi in ((600, 4 * 1440), (1500, 3005), (2880, 2880 + 61)):
+        table.swap(clicks(lo, hi, min(300, hi - lo)), start + timedelta(minutes=lo), start + timedelta(minutes=hi), now())
+    assert {r.unit for r in spark.read.parquet(str(tmp_path / "t/exact")).select("unit").distinct().collect()} == {"minute", "hour", "day"}
+    for unit in ("hour", "day"):
+        assert rows(rollup(table.read(unit=unit), unit)) == rows(rollup(table.read(), unit))
+        for lo, hi in ((0, 5 * 1440), (30, 1513), (1441, 1442), (2000, 4000)):
+            bounds = (start + timedelta(minutes=lo), start + timedelta(minutes=hi))
+            coarse, fine = table.read(*bounds, unit), table.read(*bounds)
+            assert rows(rollup(coarse, unit)) == rows(rollup(fine, unit))
+            assert rows(fine) == rows(table.read().where(F.col("minute_bucket").between(F.lit(bounds[0]), F.lit(bounds[1] - timedelta(minutes=1)))))
+    assert table.read(unit="day").count() < table.read(unit="hour").count() < table.read().count()
+
+
+def test_rows_are_ranged_by_campaign_and_read_by_it(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    table = AggregateTable(spark, str(tmp_path / "t")).create()
+    held = [(f"c{i:03}", f"2026-06-13T14:{i % 60:02}:00Z", 1) for i in range(300)]
+    table.swap(counts(spark, *held), H14, H15, now())
+    file = next((tmp_path / "t/exact").glob("*/unit=minute/dt=*/*.parquet"))
+    column = pq.read_table(file)["campaign_id"].to_pylist()
+    assert column == sorted(column)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = table.read(H14, H15).where("campaign_id = 'c007'")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(campaign_id,c007)" in plan
 
 
 def test_reconcile_corrects_drift_and_phantoms_and_repeats_safely(spark, raw, tmp_path):
@@ -174,49 +240,24 @@ def test_lookback_drops_repeats_of_the_hour_before(spark, raw):
     assert rows(strict)[0] == ("c1", "2026-06-13T14:00:00Z", 1)
 
 
-def test_readers_keep_their_version_and_writers_notice_each_other(spark, tmp_path):
+def test_readers_keep_what_they_saw_and_old_rows_go(spark, tmp_path):
     path = str(tmp_path / "t")
     table = AggregateTable(spark, path).create()
-    table.upsert(counts(spark, ("c1", "2026-06-13T14:00:00Z", 3)), now())
+    table.upsert(counts(spark, ("c1", "2026-06-13T14:00:00Z", 3), ("c1", "2026-06-15T00:00:00Z", 1)), now())
     reader = table.read()
-    other = AggregateTable(spark, path)
-
-    def interfering(stored):
-        if table.version() == 2:
-            other.upsert(counts(spark, ("c9", "2026-06-13T14:00:00Z", 9)), now())
-        return stored.unionByName(
-            stored.where("campaign_id = 'c1'").withColumn("campaign_id", F.lit("c2"))
-        )
-
-    assert table._change(["2026-06-13T14"], interfering) == 4
-    assert [row[0] for row in shown(table.read())] == ["c1", "c2", "c9"]
-    assert [row[0] for row in shown(reader)] == ["c1"]
+    other = AggregateTable(spark, path)  # another process
+    day, step = periods.parse("2026-06-13T00:00:00Z"), timedelta(days=1)
+    for n in (5, 6):
+        other.swap(counts(spark, ("c9", "2026-06-13T14:00:00Z", n)), day, day + step, now())
+    assert [row[0] for row in shown(reader)] == ["c1", "c1"]
+    current = [("c1", "2026-06-15T00:00:00Z", 1, "stream"), ("c9", "2026-06-13T14:00:00Z", 6, "batch")]
+    assert shown(table.read()) == current
     table.forget(timedelta(days=1))
-    assert len(list((tmp_path / "t" / "data").iterdir())) > 1
+    assert len(list((tmp_path / "t/exact").iterdir())) == 2 and (tmp_path / "t/stream/dt=2026-06-13").exists()
     table.forget(timedelta(0))
-    assert [row[0] for row in shown(AggregateTable(spark, path).read())] == ["c1", "c2", "c9"]
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 1
-
-
-def test_writers_of_different_hours_do_not_disturb_each_other(spark, tmp_path):
-    path = str(tmp_path / "t")
-    table = AggregateTable(spark, path).create()
-    table.upsert(counts(spark, ("c1", "2026-06-13T14:00:00Z", 3)), now())
-    runs = []
-
-    def slow(stored):
-        runs.append(1)
-        other = AggregateTable(spark, path)
-        other.upsert(counts(spark, ("c9", f"2026-06-13T15:0{len(runs)}:00Z", 9)), now())
-        return stored.withColumn("click_count", F.lit(4).cast("long"))
-
-    assert table._change(["2026-06-13T14"], slow) == 4
-    assert runs == [1]
-    assert shown(table.read()) == [
-        ("c1", "2026-06-13T14:00:00Z", 4, "stream"),
-        ("c9", "2026-06-13T15:01:00Z", 9, "stream"),
-    ]
-    assert not list((tmp_path / "t" / "stage").iterdir())
+    assert shown(AggregateTable(spark, path).read()) == current
+    assert len(list((tmp_path / "t/exact").iterdir())) == 1 and not (tmp_path / "t/stream/dt=2026-06-13").exists()
+    assert not list((tmp_path / "t/stage").iterdir()) and not list((tmp_path / "t/exact.drafts").iterdir())
 
 
 @pytest.mark.parametrize(
@@ -260,9 +301,6 @@ def test_swap_leaves_other_hours_alone(spark, tmp_path):
         ("2026-06-13T12:00:00Z", 3),
         ("2026-06-13T12:05:00Z", 4),
     ]
-    with pytest.raises(ValueError):
-        table._change(["2026-06-13T10"], lambda _: table.read())
-    assert len(shown(table.read())) == 3
 
 
 def test_periods_may_have_any_offset(spark, tmp_path):
