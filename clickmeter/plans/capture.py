@@ -18,10 +18,13 @@ from clickmeter.settings import EVENT_FIELDS, IMPRESSION_TTL_SECONDS
 _PAYLOAD = ["request_id", "ad_id", "campaign_id", "advertiser_id", "user_agent"]
 
 
-def judged_requests(requests: DataFrame, ads: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+def judged_requests(
+    requests: DataFrame, ads: DataFrame, also: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """Click requests with the ad they name and, if refused, the `reason`.
 
     A request and its row of the catalog agree in the ad and in the columns named `also`.
+    Requests keep the columns named `keep`.
 
     The tests run in the order of the click endpoint: parameters, ad, click time. The
     catalog join comes without a hint: Spark broadcasts the catalog while it is small
@@ -36,6 +39,7 @@ def judged_requests(requests: DataFrame, ads: DataFrame, also: Sequence[str] = (
         "user_agent",
         instant(F.col("received_at")).alias("received_at"),
         *also,
+        *keep,
     )
     catalog = ads.select("ad_id", "campaign_id", "advertiser_id", "destination_url", "active", *also)
     looked_up = cleaned.join(catalog, ["ad_id", *also], "left").withColumn(

@@ -42,7 +42,9 @@ def first_click_processor(ttl_seconds: int) -> StatefulProcessor:
             self.accepted_at = handle.getValueState("accepted_at", "arrival long")
 
         def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            clicks = sorted(rows, key=lambda row: (row.arrival, row.opens))
+            clicks = list(rows)
+            if len(clicks) > 1:
+                clicks.sort(key=lambda row: (row.arrival, row.opens))
             held = self.accepted_at.get()
             before = last = held[0] if held else None
             for click in clicks:

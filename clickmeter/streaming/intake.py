@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,11 +32,18 @@ TAKEN = (
     "destination_url string, user_agent string, received_at timestamp, clicked_at timestamp, reason string"
 )
 _COLUMNS = [field.split()[0] for field in TAKEN.split(", ")]
-_DELIVERY = ["request_id", "impression_id", "ad_id", "arrival", "clicked_at"]
+
+
+def numbered(requests: DataFrame) -> DataFrame:
+    """Requests with a `row` that tells apart even those delivered twice.
+
+    The number depends on the order of the input, so it is to be used within one job.
+    """
+    return requests.withColumn("row", F.monotonically_increasing_id())
 
 
 def looked_up(requests: DataFrame, ads: DataFrame, hot_clicks: int = HOT_CLICKS) -> DataFrame:
-    """Requests judged against the ads they name.
+    """Numbered requests judged against the ads they name.
 
     Of the catalog only the ads of the batch take part. An ad with many clicks is given a row
     for each `hot_clicks` of them, and its clicks are dealt out over those rows.
@@ -48,17 +55,17 @@ def looked_up(requests: DataFrame, ads: DataFrame, hot_clicks: int = HOT_CLICKS)
     # At most as many rows as the batch has times `hot_clicks`.
     hot = counts.where(F.col("clicks") > hot_clicks).select(F.col("ad_id").alias("hot_ad"), pieces.alias("pieces"))
     dealt = requests.join(F.broadcast(hot), ad == F.col("hot_ad"), "left").withColumn(
-        "piece", F.pmod(F.xxhash64("request_id", "impression_id"), F.coalesce("pieces", F.lit(1))).cast("int")
+        "piece", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1))).cast("int")
     )
-    return judged_requests(dealt, known, ["piece"])
+    return judged_requests(dealt, known, ["piece"], ["row"])
 
 
 def sorted_out(judged: DataFrame, clock: Column, frontier: Column, delay: str = ARRIVAL_DELAY, tolerance: str = AHEAD_TOLERANCE) -> DataFrame:
     """Judged requests with their `kind`.
 
     Of an impression and second the request that opens it, by click time and id, stands for
-    all: that is found by an aggregate that combines on the map side, and matched back by what
-    is unique to a request, so the clicks of a hot impression meet nowhere.
+    all: that is found by an aggregate that combines on the map side, and matched back by the
+    number of the row, so the clicks of a hot impression meet nowhere.
     """
     received = F.col("received_at")
     kind = (
@@ -67,20 +74,15 @@ def sorted_out(judged: DataFrame, clock: Column, frontier: Column, delay: str =
         .when(received < frontier - F.expr(f"INTERVAL {delay}"), "behind")
         .otherwise("valid")
     )
-    timed = judged.withColumns({"kind": kind, "arrival": F.unix_timestamp("received_at")})
+    timed = judged.withColumn("kind", kind)
     opening = (
         timed.where("kind = 'valid'")
-        .groupBy("impression_id", "arrival")
-        .agg(F.min(F.struct("clicked_at", "request_id", "ad_id")).alias("first"))
-        .select(*(F.col(c if c in ("impression_id", "arrival") else f"first.{c}").alias(f"first_{c}") for c in _DELIVERY), F.lit(True).alias("opens"))
+        .groupBy("impression_id", F.unix_timestamp("received_at").alias("arrival"))
+        .agg(F.min(F.struct("clicked_at", "request_id", "ad_id", "user_agent", "click_text", "row")).alias("first"))
+        .select("first.row", F.lit(True).alias("opens"))
     )
-    same = F.lit(True)
-    for name in _DELIVERY:
-        same &= F.col(name).eqNullSafe(F.col(f"first_{name}"))
-    delivery = F.row_number().over(Window.partitionBy(*_DELIVERY).orderBy("user_agent", "click_text"))
-    matched = timed.withColumn("delivery", delivery).join(opening, same & (F.col("delivery") == 1), "left")
     folded = F.when((F.col("kind") == "valid") & F.col("opens").isNull(), "folded").otherwise(F.col("kind"))
-    return matched.select(*_COLUMNS, folded.alias("kind"))
+    return timed.join(opening, "row", "left").select(*_COLUMNS, folded.alias("kind"))
 
 
 def start_taking(
@@ -110,16 +112,20 @@ def start_taking(
         frontier = F.lit(None).cast("timestamp") if reached is None else F.timestamp_micros(F.lit(reached))
 
         def write(draft: str) -> None:
-            judged = looked_up(batch, catalog(spark))
             rows = sorted_out(judged, now, frontier, delay)
-            rows.hint("rebalance", "kind").write.partitionBy("kind").parquet(draft)
-            newest = spark.read.schema(TAKEN).parquet(draft).where("kind in ('valid', 'folded')")
-            micros = newest.agg(F.unix_micros(F.max("received_at"))).first()[0]
-            seen = [x for x in (micros, reached) if x is not None]
+            newest = Observation()
+            timely = F.when(F.col("kind").isin("valid", "folded"), F.unix_micros("received_at"))
+            watched = rows.observe(newest, F.max(timely).alias("micros"))
+            watched.hint("rebalance", "kind").write.partitionBy("kind").parquet(draft)
+            seen = [x for x in (newest.get["micros"], reached) if x is not None]
             if seen:
                 write_text(fs, spark, f"{draft}/_frontier", str(max(seen)))
 
-        publish(spark, folder, name, write)
+        judged = looked_up(numbered(batch), catalog(spark)).persist()  # it is looked at twice
+        try:
+            publish(spark, folder, name, write)
+        finally:
+            judged.unpersist()
 
     return (
         requests.writeStream.foreachBatch(take)
