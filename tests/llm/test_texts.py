@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from helpers import by_id, frame, prose
+from test_line_runs import plain as plain_runs
 
 from clickmeter.llm import decontaminate, linededup, suffixdedup
 
@@ -76,19 +77,8 @@ def test_row_groups_share_the_length():
 
 
 def stripped(texts):
-    """The texts without repeated chunks, by the chunks of `linededup`."""
-    seen, count, out = {}, {}, []
-    for i, t in enumerate(texts):
-        for _, _, place, content, _ in linededup.hashed_chunks(t):
-            count[content] = count.get(content, 0) + 1
-            seen.setdefault(content, (i, place))
-    for i, t in enumerate(texts):
-        drop = set()
-        for a, b, place, content, _ in linededup.hashed_chunks(t):
-            if count[content] > 1 and seen[content] != (i, place):
-                drop |= set(range(a, b))
-        out.append(t if not t else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop))
-    return out
+    """The texts without repeated chunks."""
+    return plain_runs(texts)[0]
 
 
 def lined(seed=6):
@@ -114,14 +104,6 @@ def test_line_chunks_match_plain_version(spark):
     assert [report[i]["kept_sha256"] for i in range(len(texts))] == [hashlib.sha256((t or "").encode()).hexdigest() for t in expected]
 
 
-def test_chunk_borders_do_not_shift():
-    lines = [f"line {i} of a text" for i in range(60)]
-    ends = {lines[b - 1] for _, b in linededup.chunks(lines)}
-    moved = {(["x", "y", "z"] + lines)[b - 1] for _, b in linededup.chunks(["x", "y", "z"] + lines)}
-    assert ends & moved >= ends - {lines[0]}
-    assert all(b - a > 1 for a, b in linededup.chunks(lines)[1:-1])
-
-
 def test_lines_without_ids_and_empty_tables(spark):
     docs = frame(spark, ["a b\nc d\ne f\ng h"] * 3, ids=[None, 1, 1])
     assert {r["text"] for r in linededup.stripped(docs).where("doc_id is null").collect()} == {"a b\nc d\ne f\ng h"}
