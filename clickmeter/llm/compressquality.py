@@ -37,6 +37,7 @@ from clickmeter.llm.common import written
 
 DICTIONARY_DOCS = 1000
 FIT_DOCS = 2000
+SPARE = 8  # so many times the documents wanted lie below the border
 SAMPLE_PIECES = 8
 PIECE = 2048
 DICTIONARY_BYTES = 112_640
@@ -112,9 +113,18 @@ def held_out(ids: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(ids).cast("string")) % HOLD_OUT == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """label, for_fit, text of the labelled documents of lowest hash."""
+def _sample(docs: DataFrame, known: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """label, for_fit, text of the labelled documents of lowest hash.
+
+    Hashes are spread evenly, so the lowest lie below a border that the counts tell; only
+    those below it are put in order, a few thousand however many there are.
+    """
     for_fit = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 1
+    below = F.lit(False)
+    for label, n in counts.items():
+        share = min(1.0, SPARE * max(FIT_DOCS, DICTIONARY_DOCS) / n)
+        below |= (F.col("label") == label) & (F.xxhash64("doc_id") <= min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+    known = known.where(below)
     place = F.row_number().over(Window.partitionBy("label", "for_fit").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = known.withColumn("for_fit", for_fit).withColumn("place", place).where(f"place <= {max(FIT_DOCS, DICTIONARY_DOCS)}")
     chosen = chosen.where(f"for_fit or place <= {DICTIONARY_DOCS}").drop("place")
@@ -156,7 +166,7 @@ def fitted(docs: DataFrame, labels: DataFrame, ids: str = "doc_id", text: str =
     )
     known = written(known, "known-labels")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = _sample(read, known)
+    rows = _sample(read, known, counts)
     pieces = {0: [], 1: []}
     seen = rows.where("not for_fit").select("doc_id", "label", "text").sort("doc_id").drop("doc_id")
     for row in seen.mapInArrow(_spread, "label int, pieces array<binary>").collect():

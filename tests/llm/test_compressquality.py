@@ -90,7 +90,8 @@ def test_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(compressquality, "FIT_DOCS", 30)
     docs, labels, _, known = corpus(spark)
     read = docs.unionByName(docs).select("doc_id", "text")
-    found = compressquality._sample(read, labels.selectExpr("doc_id", "quality as label"))
+    counts = {k: sum(q == k for q in known.values()) for k in (0, 1)}
+    found = compressquality._sample(read, labels.selectExpr("doc_id", "quality as label"), counts)
     n = {(r["label"], r["for_fit"]): r["n"] for r in found.groupBy("label", "for_fit").agg({"doc_id": "count"}).toDF("label", "for_fit", "n").collect()}
     assert n[1, False] == 20 and n[1, True] == 30 and max(n.values()) <= 30
     assert accuracy(by_id(compressquality.judged(docs, labels)), known) > 0.9
