@@ -144,4 +144,4 @@ def section_tokens(
         return read.mapInArrow(_rows(vocabulary, pattern, rule, False), COUNTS)
     rows = sections.select("doc_id", *(F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c) for c in ("section", "start", "end")))
     grouped = rows.groupBy("doc_id").agg(F.collect_list(F.struct("section", "start", "end")).alias("sections"))
-    return read.join(grouped, "doc_id").mapInArrow(_rows(vocabulary, pattern, rule, True), COUNTS)
+    return grouped.join(read, "doc_id", "left").mapInArrow(_rows(vocabulary, pattern, rule, True), COUNTS)

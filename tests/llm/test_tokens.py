@@ -96,10 +96,11 @@ def test_sections_match_plain_counts(spark, rule):
         for k in range(25):
             a, b = random_.randrange(-2, len(text) + 2), random_.randrange(-2, len(text) + 4)
             sections.append((i, k, a, b))
-    given = spark.createDataFrame(sections + [(999, 0, 0, 5)], "doc_id long, section long, start long, end long")
+    given = spark.createDataFrame(sections + [(999, 0, 0, 5), (None, 1, 0, 5)], "doc_id long, section long, start long, end long")
     rows = tokencounts.section_tokens(frame(spark, texts), VOCABULARY, public_tokenizers.PATTERN, given, rule).collect()
     got = {(r["doc_id"], r["section"]): (r["n_tokens"], r["n_crossing"]) for r in rows}
-    assert len(got) == len(sections)
+    assert len(got) == len(sections) + 2
+    assert got[999, 0] == got[None, 1] == (0, 0)  # no such document
     for i, k, a, b in sections:
         n = len(texts[i])
         expected = plain_count(spans(texts[i]), min(max(a, 0), n), min(max(b, 0), n), rule)
