@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickmeter.llm import bagminhash, decontaminate, linededup, quality, sentencepieces
 from clickmeter.llm.common import prepare, table, written
 
+LEAST_REST = 5  # a document goes if less than this part of it is left
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -23,9 +24,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated runs of lines; those left without a word go."""
+    """Documents without repeated runs of lines.
+
+    One of which less than a fifth is left, or no word, goes: at least four fifths of it stand
+    in other documents, and the scrap would hide from near-dedup what it is a copy of.
+    """
     prepare(spark)
-    rest = linededup.stripped(docs).where(F.col("text").rlike("[^ \\t-\\r]"))
+    whole = F.char_length("text").alias("whole")
+    rest = linededup.stripped(docs.select(*COLUMNS, whole))
+    rest = rest.where(F.col("text").rlike("[^ \\t-\\r]") & (F.char_length("text") * LEAST_REST >= F.col("whole")))
     return rest.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
