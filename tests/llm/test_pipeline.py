@@ -61,7 +61,7 @@ def test_stages_match_plain_versions(spark, corpus):
     before, after = kept[1]
     ids = sorted(before)
     expected = dict(zip(ids, stripped([before[i] for i in ids]), strict=True))
-    assert after == {i: t for i, t in expected.items() if t.strip()}
+    assert after == {i: t for i, t in expected.items() if t.strip() and 5 * len(t) >= len(before[i])}
     assert after != before
     before, after = kept[2]
     ids = sorted(before)
