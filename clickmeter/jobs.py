@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmeter import periods
-from clickmeter.plans import metrics, reconcile, settling
+from clickmeter.functions.timebucket import instant
+from clickmeter.operators import counting as counting_operators
+from clickmeter.operators.merging import repeated_keys
+from clickmeter.plans import audits, metrics, reconcile, settling, sketches
 from clickmeter.plans.capture import answer_columns, as_events
 from clickmeter.schemas import AD, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.session import utc
@@ -131,6 +134,54 @@ def answer_metrics(spark: SparkSession, args) -> None:
     ).write.json(args.out)
 
 
+def _outcomes(spark: SparkSession, args) -> DataFrame:
+    return answering.read_outcomes(spark, args.state)
+
+
+def _raw(spark: SparkSession, args) -> DataFrame:
+    return archive.read_archive(spark, args.raw_path)
+
+
+def _stored(spark: SparkSession, args) -> DataFrame:
+    return AggregateTable(spark, args.table).read()
+
+
+def _delays(spark: SparkSession, args) -> DataFrame:
+    ends = (instant(F.col(name)) for name in ("click_ts", "ingest_ts"))
+    return _raw(spark, args).withColumn("delay", audits.delay_seconds(*ends))
+
+
+#: What can be audited, from the archive, the table and the state of capture.
+AUDITS = {
+    "drift": lambda spark, args: reconcile.drift(_stored(spark, args), _raw(spark, args)),
+    "loss": lambda spark, args: audits.loss_audit(_outcomes(spark, args), _raw(spark, args)),
+    "impressions": lambda spark, args: audits.unmatched_impressions(
+        _outcomes(spark, args).where("status = 302"), _raw(spark, args)
+    ),
+    "outcomes": lambda spark, args: audits.outcome_tally(_outcomes(spark, args)),
+    "hot-ads": lambda spark, args: audits.hot_ads(_raw(spark, args), float(args.threshold)),
+    "captured": lambda spark, args: counting_operators.captured_per_day(_raw(spark, args)),
+    "truth": lambda spark, args: counting_operators.distinct_minute_counts(_raw(spark, args)),
+    "delay": lambda spark, args: audits.rank_percentile(_delays(spark, args), "delay"),
+    "freshness": lambda spark, args: audits.rank_percentile(
+        audits.freshness(_raw(spark, args), _stored(spark, args)), "delay", weight="clicks"
+    ),
+    "keys": lambda spark, args: repeated_keys(_stored(spark, args)),
+    "sources": lambda spark, args: audits.source_mix(_stored(spark, args)),
+}
+
+
+def audit(spark: SparkSession, args) -> None:
+    """Write the findings of one kind of audit as JSON."""
+    AUDITS[args.kind](spark, args).write.json(args.out)
+
+
+def summarise(spark: SparkSession, args) -> None:
+    """Add the mergeable summaries of the archive's hours in a period."""
+    hours = archive.read_period(spark, args.raw_path, args.period_start, args.period_end)
+    sketches.write_sketches(sketches.hour_sketches(hours), args.out, f"{args.period_start}-{args.period_end}".replace(":", ""))
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     jobs = parser.add_subparsers(required=True)
@@ -167,6 +218,8 @@ def _parser() -> argparse.ArgumentParser:
         cadence="hour",
         lookback_hours=0,
     )
+    job("audit", audit, "kind", "out", state=None, raw_path=None, table=None, threshold="0.5")
+    job("summarise", summarise, "raw_path", "period_start", "period_end", "out")
     job("metrics", answer_metrics, "requests", "catalog", "table", "out", source_rule="exact")
     return parser
 

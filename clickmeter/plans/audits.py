@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmeter.functions.timebucket import instant, iso
-
-
-RANGES = 1000
+from clickmeter.operators.selection import value_of_rank
 
 
 def unmatched_impressions(sent: DataFrame, captured: DataFrame) -> DataFrame:
@@ -77,10 +75,9 @@ def rank_percentile(
 ) -> DataFrame:
     """The sample of rank `floor(n * fraction)` in ascending order, and the largest one.
 
-    Equal samples are counted first (`weight` tells how many a row stands for), so what is
-    put in order is one row per value, not per sample. Null where there are too few
-    samples for that rank. Without groups the values are counted by range first, and only
-    those of the range that holds the rank are put in order.
+    Equal samples are counted first (`weight` tells how many a row stands for). Of the values,
+    only a few around the rank are put in order; see `operators.selection`. Null where there
+    are too few samples for that rank.
     """
     by = by or []
     steps = (
@@ -88,48 +85,12 @@ def rank_percentile(
         .groupBy(*by, value)
         .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     )
-    if not by:
-        return _ranged_percentile(steps, value, fraction)
-    everything = Window.partitionBy(*by)
-    so_far = everything.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.floor(F.col("total") * F.lit(fraction))
-    reached = F.when((rank >= 1) & (F.col("seen") >= rank), F.col(value))
-    return (
-        steps.withColumns({"seen": F.sum("n").over(so_far), "total": F.sum("n").over(everything)})
-        .groupBy(*by)
-        .agg(
-            F.sum("n").alias("samples"),
-            F.min(reached).alias("percentile"),
-            F.max(value).alias("largest"),
-        )
-    )
-
-
-def _ranged_percentile(steps: DataFrame, value: str, fraction: float) -> DataFrame:
-    """The same of all samples: what windows order is the ranges, and the values of one."""
-    low, high = (steps.agg(pick(value)).scalar() for pick in (F.min, F.max))
-    place = F.coalesce(F.width_bucket(F.col(value), low, high, F.lit(RANGES)), F.lit(0))
-    ranged = steps.withColumn("place", place)
-    order = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, 0)
-    ranges = ranged.groupBy("place").agg(F.sum("n").alias("n"), F.max(value).alias("largest"))
-    everything = Window.partitionBy(F.lit(0))
-    ranges = ranges.withColumns(
-        {
-            "seen": F.sum("n").over(order.orderBy("place")),
-            "total": F.sum("n").over(everything),
-            "largest": F.max("largest").over(everything),
-        }
-    ).withColumn("rank", F.floor(F.col("total") * F.lit(fraction)))
-    holds = (F.col("rank") >= 1) & (F.col("seen") >= F.col("rank")) & (F.col("seen") - F.col("n") < F.col("rank"))
-    chosen = ranges.where(holds).select("place", "rank", (F.col("seen") - F.col("n")).alias("before"))
-    seen = F.col("before") + F.sum("n").over(order.orderBy(value))
-    reached = ranged.join(F.broadcast(chosen), "place").select(
-        F.when(seen >= F.col("rank"), F.col(value)).alias(value)
-    )
-    return ranges.agg(
-        F.sum("n").alias("samples"),
-        F.lit(reached.agg(F.min(value)).scalar()).alias("percentile"),
-        F.max("largest").alias("largest"),
+    found = value_of_rank(steps, value, by, lambda n: F.floor(n * F.lit(fraction)))
+    if by:
+        return found
+    # One row even where there is no sample.
+    return found.agg(*(F.max(c).alias(c) for c in ("percentile", "largest")), F.coalesce(F.max("samples"), F.lit(0)).alias("samples")).select(
+        "samples", "percentile", "largest"
     )
 
 

@@ -11,6 +11,17 @@ from verification.queries import QUERIES
 
 # These publish tables or run streams and are exercised by the other modules as well.
 SLOW = {
+    "archive_repeated_batch",
+    "archive_repeated_errors",
+    "expired_archive",
+    "freshness_visible",
+    "reconciled_now",
+    "stream_catalog_change",
+    "stream_out_of_order",
+    "stream_set_aside",
+    "stream_two_consumers",
+    "stream_untimely_events",
+    "stream_untimely_outcomes",
     "archive_errors",
     "archive_roundtrip",
     "archive_stream",

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from clickmeter import periods
 from clickmeter.functions.timebucket import iso
-from clickmeter.jobs import main
+from clickmeter.jobs import AUDITS, main
 from clickmeter.plans import capture as batch_capture
-from clickmeter.plans import metrics, reconcile, settling
+from clickmeter.plans import audits, metrics, reconcile, settling, sketches
 from clickmeter.schemas import AD, CLICK_EVENT, CLICK_REQUEST, METRICS_REQUEST
 from clickmeter.sources import archive
 from clickmeter.sources.aggregates import AggregateTable
 from clickmeter.sources.clickstream import read_json_folder
-from clickmeter.streaming import answering, intake
+from clickmeter.streaming import answering, hotads, intake
 from clickmeter.streaming.archiving import start_archiving
 from clickmeter.streaming.counting import start_counting
 
@@ -304,6 +304,18 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     assert json.loads(answered.body)["buckets"] == [
         {"bucket_start": hour["period_start"], "click_count": 2, "source": "batch"}
     ]
+    # Every audit has its command.
+    for kind in AUDITS:
+        run("audit", kind=kind, out=tmp_path / kind, state=tmp_path / "state", raw_path=at["raw"], table=at["t"])
+    found = {kind: spark.read.json(str(tmp_path / kind)) for kind in ("loss", "outcomes", "truth", "sources")}
+    assert rows(found["loss"], "accepted", "captured", "lost", "unexpected") == [(2, 2, 0, 0)]
+    assert sum(r.requests for r in found["outcomes"].collect()) == 11
+    assert found["truth"].count() == 3 and rows(found["sources"], "source")[0] == ("batch",)
+    period = {"period_start": "2026-06-13T00:00:00Z", "period_end": "2026-06-14T00:00:00Z"}
+    for _ in range(2):
+        run("summarise", raw_path=at["raw"], out=tmp_path / "hours", **period)
+    days = sketches.merged(sketches.read_sketches(spark, str(tmp_path / "hours")), ["dt"])
+    assert rows(days, "dt", "clicks", "captured") == [("2026-06-13", 2, 2)]
     # Days past retention go as folders; what a period needs stays readable.
     main(["expire", "--raw_path", at["raw"], "--days", "100000"])
     assert archive.drop_expired(spark, at["raw"], date(2026, 7, 14)) == ["2026-06-13"]
@@ -436,3 +448,24 @@ def test_a_batch_archived_again_after_a_killed_commit_is_kept_once(spark, tmp_pa
     run()
     assert archive.read_archive(spark, raw).count() == 3
     assert rows(archive.read_errors(spark, bad), "value") == [("{broken",), ("{worse",)]
+
+
+def test_hot_ads_of_windows_agree_with_the_exact_ones(spark, tmp_path):
+    """Many ads, a few of them hot in some hours; the summary tracks fewer than there are."""
+    random_ = random.Random(4)
+    clicks = []
+    for hour in range(3):
+        for i in range(700):
+            ad = f"hot_{hour}" if i % 4 == 0 else f"warm_{i % 3}" if i % 9 == 0 else f"ad_{random_.randrange(900)}"
+            clicks.append(click(f"1{hour}:{i % 60:02}:{i // 60:02}", impression=f"i{hour}_{i}") | {"ad_id": ad})
+    put(tmp_path / "in", 1, *clicks)
+    put(tmp_path / "in", 2, click("14:00:00"))
+    records = read_json_folder(spark, str(tmp_path / "in"), files_per_batch=1)
+    hotads.start_watching(records, str(tmp_path / "hot"), str(tmp_path / "c"), 0.03, "1 hour", ALL).awaitTermination()
+    assert hotads.tracked_items(0.03) < 900
+    raw = spark.read.schema(CLICK_EVENT).json(str(tmp_path / "in"))
+    found = hotads.hot_ads_of_windows(spark, str(tmp_path / "hot"), raw, 0.03)
+    for hour in range(3):
+        exact = audits.hot_ads(raw.where(F.substring("click_ts", 12, 2) == f"1{hour}"), 0.03)
+        own = found.where(F.date_format("window_start", "HH") == f"1{hour}").drop("window_start")
+        assert rows(own) == rows(exact) and own.count() >= 2

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from clickmeter import periods
 from clickmeter.functions.timebucket import instant, iso
 from clickmeter.operators.counting import captured_per_day
+from clickmeter.operators import selection
 from clickmeter.operators.rollup import rollup
-from clickmeter.plans import audits, reconcile
+from clickmeter.operators.selection import value_of_rank
+from clickmeter.plans import audits, reconcile, sketches
 from clickmeter.schemas import CLICK_EVENT
 from clickmeter.sources import archive
 from clickmeter.sources.aggregates import AggregateTable, owned_pieces
@@ -284,6 +286,81 @@ def test_percentile_takes_the_floored_rank(spark):
     assert rows(audits.approximate_percentile(samples, "id")) == [(40, 38, 40)]
 
 
+def plain_rank(values, rank):
+    return sorted(values)[rank - 1] if rank >= 1 else None
+
+
+def test_selection_narrows_to_the_rank(spark, monkeypatch):
+    """By rounds over all kinds of values, with few ranges and few values left in the end."""
+    random_ = random.Random(8)
+    groups = {
+        "even": [random_.randrange(10**6) for _ in range(900)],
+        "outlier": [random_.randrange(100) * 7 for _ in range(900)] + [10**15, -(10**15)],
+        "same": [5] * 300,
+        "steep": [int(1.5**k) * random_.choice([1, -1]) for k in range(90)],
+        "one": [3],
+        None: list(range(-400, 400)),
+    }
+    held = [(g, v, random_.randint(1, 3)) for g, values in groups.items() for v in values]
+    for kind in ("long", "double"):
+        frame = spark.createDataFrame(held, "g string, v long, w long").withColumn("v", F.col("v").cast(kind))
+        steps = frame.groupBy("g", "v").agg(F.sum("w").alias("n"))
+        for fraction in (0.0, 0.5, 0.95, 1.0):
+            found = value_of_rank(steps, "v", ["g"], lambda n, f=fraction: F.floor(n * F.lit(f)), few=5, ranges=10)
+            got = {r.g: (r.samples, r.percentile, r.largest) for r in found.collect()}
+            for g in groups:
+                values = [v for group, v, w in held if group == g for _ in range(w)]
+                assert got[g] == (len(values), plain_rank(values, int(len(values) * fraction)), max(values)), (g, kind, fraction)
+    assert value_of_rank(steps.limit(0), "v", ["g"], lambda n: n).count() == 0
+
+
+def test_an_outlier_gathers_no_values(spark, monkeypatch):
+    """A million values and one far off: two rounds leave a few thousand to put in order."""
+    seen = []
+    real = selection._kept
+
+    def kept(rows_, label):
+        out = real(rows_, label)
+        if label == "bounds":
+            seen.append(out.first().held)
+        return out
+
+    monkeypatch.setattr(selection, "_kept", kept)
+    samples = spark.range(10**6).withColumn("v", F.when(F.col("id") == 7, F.lit(10**12)).otherwise(F.col("id")))
+    assert rows(audits.rank_percentile(samples, "v")) == [(10**6, 950_000, 10**12)]
+    assert seen[0] == 10**6 and seen[-1] <= selection.FEW and len(seen) <= 4
+
+
+def test_equal_hours_are_told_by_their_digests(spark):
+    held = [("c1", "2026-06-13T14:00:00Z", 3), ("c2", "2026-06-13T14:05:00Z", 1), ("c1", "2026-06-13T15:00:00Z", 2), ("c1", "2026-06-13T16:00:00Z", 2)]
+    other = [held[1], held[0], ("c1", "2026-06-13T15:00:00Z", 9), ("c1", "2026-06-13T17:00:00Z", 2)]
+    digests = [reconcile.hour_digests(counts(spark, *x)) for x in (held, other)]
+    hours = rows(reconcile.differing_hours(*digests).select(F.date_format("hour", "HH")))
+    assert hours == [("15",), ("16",), ("17",)]
+
+
+def test_lookback_by_index_reads_hours_with_hits(spark, raw, tmp_path):
+    index = str(tmp_path / "index")
+    reconcile.write_impression_index(archive.read_archive(spark, raw), index)
+    bounds = (H14, H15, timedelta(hours=48))
+    by_index = reconcile.recompute_by_index(spark, raw, index, *bounds)
+    assert rows(by_index) == rows(reconcile.recompute_period(spark, raw, *bounds)) and by_index.count() == 2
+    # A wider look finds no hit in May and agrees all the same.
+    wide = (H14, H16, timedelta(days=60))
+    assert rows(reconcile.recompute_by_index(spark, raw, index, *wide)) == rows(reconcile.recompute_period(spark, raw, *wide))
+
+
+def test_hour_summaries_merge_to_any_period(spark):
+    clicks = [(f"imp_{i % 5000}", "c1", f"2026-06-1{3 + i % 2}T{i % 24:02}:00:{i % 60:02}Z") for i in range(20_000)]
+    raw = archive.with_partitions(events(spark, *clicks))
+    hours = sketches.hour_sketches(raw)
+    assert hours.count() == 24
+    for row in sketches.merged(hours, ["dt"]).collect():
+        exact = len({c[0] for c in clicks if c[2].startswith(row.dt)})
+        assert abs(row.captured - exact) <= 2 * sketches.DISTINCT_ERROR * exact and row.clicks == 10_000
+    assert sketches.merged(hours, []).first().delay == 0
+
+
 def test_hot_ads(spark):
     clicks = spark.createDataFrame([("a",)] * 3 + [("b",)], "ad_id string")
     assert rows(audits.hot_ads(clicks, 0.5)) == [("a", 3, 0.75)]

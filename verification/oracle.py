@@ -277,7 +277,6 @@ def seconds(text: str) -> str:
 
 
 CAPTURE_DELAY = f"{seconds('ingest_ts')} - {seconds('click_ts')}"
-VISIBLE_DELAY = f"{seconds('minute_bucket')} + 90 - {seconds('ingest_ts')}"
 
 
 def percentile(by: str, delay: str) -> str:
@@ -545,7 +544,49 @@ FROM clicks GROUP BY ad_id
 HAVING CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clicks) >= CAST(0.001 AS DOUBLE)""",
     "freshness_p95": percentile("", CAPTURE_DELAY),
     "freshness_p95_by_campaign": percentile("campaign_id", CAPTURE_DELAY),
-    "freshness_visible": percentile("", VISIBLE_DELAY),
+    "freshness_visible": f"""WITH {CLICKS},
+weekly AS (
+  SELECT *, CAST({seconds("minute_bucket")} AS BIGINT) + 60 AS over_at,
+         greatest(0, least(4, (CAST(minute_bucket[1:10] AS DATE) - DATE '2023-12-31') // 7)) AS week
+  FROM clicks),
+seen AS (SELECT week, max({seconds("click_ts")}) OVER (ORDER BY week) - 30 AS mark FROM (SELECT week, max(click_ts) AS click_ts FROM weekly GROUP BY week)),
+visible AS (
+  SELECT campaign_id, minute_bucket, ingest_ts, min(s.week) AS week
+  FROM weekly w JOIN seen s ON s.week >= w.week AND s.mark >= w.over_at
+  GROUP BY campaign_id, minute_bucket, ingest_ts, event_id),
+delays AS (
+  SELECT epoch(CASE WHEN week < 4 THEN TIMESTAMP '2024-01-07' + to_days(CAST(7 * week AS INTEGER)) ELSE TIMESTAMP '2024-02-04' END)
+         - {seconds("ingest_ts")} AS delay
+  FROM visible),
+ranked AS (SELECT CAST(delay AS BIGINT) AS delay, row_number() OVER (ORDER BY delay) AS rn, count(*) OVER () AS n FROM delays)
+SELECT count(*) AS samples, min(CASE WHEN rn = floor(n * CAST(0.95 AS DOUBLE)) THEN delay END) AS percentile, max(delay) AS largest
+FROM ranked""",
+    "delay_outliers_p95": f"""WITH {CLICKS},
+far AS (
+  SELECT campaign_id, CASE WHEN CAST(event_id AS BIGINT) % 5003 = 11 THEN 1000000000000000
+         ELSE CAST({CAPTURE_DELAY} AS BIGINT) * 1000003 + CAST(event_id AS BIGINT) % 997 END AS micros FROM clicks),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY campaign_id ORDER BY micros) AS rn, count(*) OVER (PARTITION BY campaign_id) AS n FROM far)
+SELECT campaign_id, count(*) AS samples,
+       min(CASE WHEN rn = floor(n * CAST(0.95 AS DOUBLE)) THEN micros END) AS percentile, max(micros) AS largest
+FROM ranked GROUP BY campaign_id""",
+    "captured_from_sketches": f"""WITH {CLICKS}
+SELECT dt, count(*) AS clicks, count(DISTINCT impression_id) AS exact, TRUE AS close FROM clicks GROUP BY dt""",
+    "delays_from_sketches": f"WITH {CLICKS} SELECT count(*) AS samples, TRUE AS near FROM clicks",
+    "expired_archive": f"WITH {CLICKS} SELECT event_id, dt FROM clicks WHERE dt >= '2024-01-13'",
+    "salted_keys": f"WITH {CLICKS} SELECT ad_id, count(*) AS clicks, TRUE AS sound FROM clicks GROUP BY ad_id",
+    "reconciled_now": f"SELECT *, TRUE AS recent FROM ({SWAPPED})",
+    "lookback_by_index": f"""WITH {CLICKS}
+SELECT * FROM ({recomputed(between("2024-01-06T06:30:00Z", MIDDLE))}) WHERE {PERIOD_WHERE}""",
+    "stream_out_of_order": CLOSED.replace("INTERVAL 30 SECOND", "INTERVAL 9 DAY"),
+    "stream_two_consumers": f"""{CLOSED.replace("INTERVAL 30 SECOND", "INTERVAL 9 DAY").replace("SELECT stream.* FROM stream, latest", "SELECT campaign_id, minute_bucket, click_count AS archived, CASE WHEN CAST(minute_bucket[1:19] AS TIMESTAMP) + INTERVAL 1 MINUTE <= seen - INTERVAL 9 DAY THEN click_count END AS counted FROM stream, latest").split("WHERE CAST(minute_bucket")[0]}""",
+    "stream_hot_ads": f"""WITH {CLICKS},
+days AS (SELECT dt, count(*) AS total FROM clicks GROUP BY dt),
+latest AS (SELECT max(CAST(click_ts[1:19] AS TIMESTAMP)) AS seen FROM clicks)
+SELECT dt || 'T00:00:00Z' AS window_start, ad_id, count(*) AS clicks, round(CAST(count(*) AS DOUBLE) / total, 9) AS share
+FROM clicks JOIN days USING (dt), latest
+WHERE CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY <= seen - INTERVAL 30 SECOND
+GROUP BY dt, ad_id, total HAVING CAST(count(*) AS DOUBLE) / total >= CAST(0.02 AS DOUBLE)""",
     "source_mix": f"""WITH {STORED}
 SELECT minute_bucket[1:10] AS day, source, count(*) AS rows,
        CAST(sum(click_count) AS BIGINT) AS clicks

@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmeter import periods
 from clickmeter.functions import events as event_functions
+from clickmeter.functions.text import salted_key
 from clickmeter.functions.timebucket import floor_to, instant, is_bucket, iso, minute_bucket
-from clickmeter.operators import counting, dedup, merging, ownership
+from clickmeter.operators import counting, dedup, merging, ownership, selection
 from clickmeter.operators.rollup import rollup
-from clickmeter.plans import audits, capture, metrics, reconcile, settling
+from clickmeter.plans import audits, capture, metrics, reconcile, settling, sketches
 from clickmeter.schemas import CLICK_REQUEST
 from clickmeter.session import scratch_folder, utc
 from clickmeter.sources import archive, catalog, clickstream, given
 from clickmeter.sources.aggregates import AggregateTable
 from clickmeter.sources.files import delete, file_system
-from clickmeter.streaming import answering, archiving, intake
+from clickmeter.streaming import answering, archiving, hotads, intake
 from clickmeter.streaming import counting as stream_counting
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,13 +451,56 @@ def freshness_p95_by_campaign(spark, folder):
     return audits.rank_percentile(delays(spark, folder), "delay", by=["campaign_id"])
 
 
+def delay_outliers_p95(spark, folder):
+    """Delays in microseconds with one that is far off, by campaign: no width of ranges fits them all."""
+    micros = F.col("delay") * 1_000_003 + F.col("event_id").cast("long") % 997
+    far = F.when(F.col("event_id").cast("long") % 5003 == 11, F.lit(10**15)).otherwise(micros)
+    samples = delays(spark, folder).withColumn("micros", far)
+    steps = samples.groupBy("campaign_id", "micros").agg(F.count(F.lit(1)).alias("n"))
+    return selection.value_of_rank(steps, "micros", ["campaign_id"], lambda n: F.floor(n * F.lit(0.95)), few=4, ranges=8)
+
+
+def _counted_weeks(spark: SparkSession, folder: str) -> tuple[AggregateTable, DataFrame]:
+    """The table after each week of clicks was counted with the time of its end, and the clicks."""
+    root = scratch_folder(spark, "weeks")
+    table = AggregateTable(spark, f"{root}/table").create()
+    raw = given.raw_clicks(spark, folder)
+    for number in range(5):
+        text = raw.where(_week() == number).select(event_functions.event_json().alias("value"))
+        text.write.mode("append").text(f"{root}/clicks")
+        records = clickstream.read_json_folder(spark, f"{root}/clicks")
+        end = instant(F.lit(f"2024-01-{7 * number + 7:02}T00:00:00Z" if number < 4 else "2024-02-04T00:00:00Z"))
+        _once(stream_counting.start_counting(records, table, f"{root}/checkpoint", trigger=ONCE, as_of=end))
+    return table, raw
+
+
 def freshness_visible(spark, folder):
-    """Capture to written row, with every minute written when the counter closes it."""
+    """Capture to visible row, by the times that the published table holds."""
+    table, raw = _counted_weeks(spark, folder)
+    return audits.rank_percentile(audits.freshness(raw, table.read()), "delay", weight="clicks")
+
+
+def captured_from_sketches(spark, folder):
+    """Days from the stored summaries of their hours, and whether they are as close as stated."""
+    path = scratch_folder(spark, "sketches")
     raw = given.raw_clicks(spark, folder)
-    written = stream_rows(raw).withColumn(
-        "updated_at", F.col("minute_bucket") + F.expr("INTERVAL 90 SECONDS")
-    )
-    return audits.rank_percentile(audits.freshness(raw, written), "delay", weight="clicks")
+    sketches.write_sketches(sketches.hour_sketches(raw), path)
+    days = sketches.merged(sketches.read_sketches(spark, path), ["dt"])
+    exact = counting.captured_per_day(raw).withColumnRenamed("captured", "exact")
+    close = F.abs(F.col("captured") - F.col("exact")) <= 1 + 3 * sketches.DISTINCT_ERROR * F.col("exact")
+    return days.join(exact, "dt").select("dt", "clicks", "exact", close.alias("close"))
+
+
+def delays_from_sketches(spark, folder):
+    """The month's delay from the summaries of its hours: the share of samples up to it is near the fraction."""
+    path = scratch_folder(spark, "sketches")
+    sketches.write_sketches(sketches.hour_sketches(given.raw_clicks(spark, folder)), path)
+    month = sketches.merged(sketches.read_sketches(spark, path), [])
+    told = month.select(F.col("delay").alias("told"))
+    share = F.avg((F.col("delay") <= F.col("told")).cast("double"))
+    below = F.avg((F.col("delay") < F.col("told")).cast("double"))
+    near = (share >= 0.95 - sketches.RANK_ERROR) & (below <= 0.95 + sketches.RANK_ERROR)
+    return delays(spark, folder).withColumn("told", told.scalar()).agg(F.count(F.lit(1)).alias("samples"), near.alias("near"))
 
 
 def source_mix(spark, folder):
@@ -468,6 +512,34 @@ def retained_archive(spark, folder):
     return archive.retained(given.raw_clicks(spark, folder), on).select("event_id", "dt")
 
 
+def expired_archive(spark, folder):
+    """The archive after its days past retention were removed."""
+    path = scratch_folder(spark, "archive")
+    archive.write_archive(given.raw_clicks(spark, folder), path)
+    archive.drop_expired(spark, path, date(2024, 2, 12))
+    return archive.read_archive(spark, path).select("event_id", "dt")
+
+
+def salted_keys(spark, folder):
+    """Clicks of each ad over its salted keys, and whether all salts are in range."""
+    key = salted_key(F.col("ad_id"), F.col("event_id"))
+    salts = given.raw_clicks(spark, folder).select("ad_id", key.alias("key")).groupBy("ad_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    sound = F.col("key") == F.concat_ws(":", "ad_id", F.regexp_extract("key", ":([0-7])$", 1))
+    return salts.groupBy("ad_id").agg(F.sum("n").alias("clicks"), F.bool_and(sound).alias("sound"))
+
+
+def reconciled_now(spark, folder):
+    """Without a given time, rows hold the time at which they were reconciled or counted."""
+    root = scratch_folder(spark, "now")
+    raw = given.raw_clicks(spark, folder)
+    archive.write_archive(raw, f"{root}/raw")
+    table = AggregateTable(spark, f"{root}/table").create()
+    table.upsert(stream_rows(raw), F.current_timestamp())
+    reconcile.reconcile(spark, f"{root}/raw", f"{root}/table", PERIOD_START, MIDDLE)
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("updated_at")
+    return as_text(table.read().withColumn("recent", age.between(0, 3600)))
+
+
 def archive_roundtrip(spark, folder):
     """Written to the archive, then a period read back from its folders."""
     path = scratch_folder(spark, "archive")
@@ -534,6 +606,17 @@ def reconcile_lookback(spark, folder):
     )
 
 
+def lookback_by_index(spark, folder):
+    """The same counts, with earlier hours read only where the impression index has a hit."""
+    root = scratch_folder(spark, "archive")
+    raw = given.raw_clicks(spark, folder)
+    archive.write_archive(raw, f"{root}/raw")
+    reconcile.write_impression_index(raw, f"{root}/index")
+    return reconcile.recompute_by_index(
+        spark, f"{root}/raw", f"{root}/index", PERIOD_START, MIDDLE, lookback=timedelta(hours=48)
+    )
+
+
 def _once(query_or_queries) -> None:
     started = query_or_queries if isinstance(query_or_queries, list) else [query_or_queries]
     for query in started:
@@ -571,6 +654,11 @@ def stream_replay_idempotent(spark, folder):
     return as_text(table.read())
 
 
+def _week() -> Column:
+    week = F.floor(F.datediff(F.to_date(F.substring("minute_bucket", 1, 10)), F.lit("2023-12-31")) / 7)
+    return F.greatest(F.lit(0), F.least(F.lit(4), week))
+
+
 def _count_weeks(spark: SparkSession, folder: str, again: list[int]) -> DataFrame:
     """Clicks arriving week by week, with the counter stopped and started after each.
 
@@ -579,11 +667,8 @@ def _count_weeks(spark: SparkSession, folder: str, again: list[int]) -> DataFram
     root = scratch_folder(spark, "weeks")
     table = AggregateTable(spark, f"{root}/table").create()
     raw = given.raw_clicks(spark, folder)
-    week = F.floor(
-        F.datediff(F.to_date(F.substring("minute_bucket", 1, 10)), F.lit("2023-12-31")) / 7
-    )
     for number, chosen in enumerate([*range(5), *again]):
-        rows = raw.where(F.greatest(F.lit(0), F.least(F.lit(4), week)) == chosen)
+        rows = raw.where(_week() == chosen)
         if number >= 5:
             rows = rows.withColumn("impression_id", F.concat("impression_id", F.lit("_late")))
         text = rows.select(event_functions.event_json().alias("value"))
@@ -602,6 +687,50 @@ def stream_late_rows(spark, folder):
     return _count_weeks(spark, folder, [0, 2])
 
 
+def _shuffled_clicks(spark: SparkSession, folder: str) -> str:
+    """A folder of files in which clicks lie by arrival, up to 99 seconds out of order."""
+    path = scratch_folder(spark, "shuffled")
+    text = given.raw_clicks(spark, folder).withColumn("value", event_functions.event_json())
+    for day in ("2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25"):
+        after = (date.fromisoformat(day) + timedelta(days=8)).isoformat()
+        part = text.where(F.col("ingest_ts").between(day, after) & (F.col("ingest_ts") < after))
+        part.repartition(3).sortWithinPartitions(F.xxhash64("event_id")).select("value").write.mode("append").text(path)
+    return path
+
+
+def stream_out_of_order(spark, folder):
+    """Batches of a file each, out of order within the allowed delay: every click in its own minute."""
+    root = scratch_folder(spark, "counter")
+    records = clickstream.read_json_folder(spark, _shuffled_clicks(spark, folder), files_per_batch=3)
+    table = AggregateTable(spark, f"{root}/table").create()
+    _once(stream_counting.start_counting(records, table, f"{root}/c", trigger=ONCE, as_of=as_of(), delay="9 days"))
+    return as_text(table.read())
+
+
+def stream_two_consumers(spark, folder):
+    """The counter and the archiver on one stream, each with a checkpoint of its own."""
+    root = scratch_folder(spark, "fan-out")
+    records = clickstream.read_json_folder(spark, _shuffled_clicks(spark, folder), files_per_batch=3)
+    table = AggregateTable(spark, f"{root}/table").create()
+    queries = [stream_counting.start_counting(records, table, f"{root}/c", trigger=ONCE, as_of=as_of(), delay="9 days")]
+    queries += archiving.start_archiving(records, f"{root}/raw", f"{root}/bad", f"{root}/a", ONCE, as_of())
+    _once(queries)
+    archived = counting.minute_counts(archive.read_archive(spark, f"{root}/raw")).withColumnRenamed("click_count", "archived")
+    counted = as_text(table.read()).select(*merging.KEY, F.col("click_count").alias("counted"))
+    return archived.join(counted, merging.KEY, "full_outer")
+
+
+HOT_SHARE = 0.02
+
+
+def stream_hot_ads(spark, folder):
+    """Hot ads of every day that is over, watched as they came and counted in the archive."""
+    root = scratch_folder(spark, "watch")
+    _once(hotads.start_watching(_records(spark, folder), f"{root}/hot", f"{root}/c", HOT_SHARE, "1 day", ONCE))
+    found = hotads.hot_ads_of_windows(spark, f"{root}/hot", given.raw_clicks(spark, folder), HOT_SHARE, "1 day")
+    return found.select(iso(F.col("window_start")).alias("window_start"), "ad_id", "clicks", F.round("share", 9).alias("share"))
+
+
 #: The clock of streamed requests: all given times lie before it.
 CLOCK = "2024-02-05T00:00:00Z"
 ONCE = {"availableNow": True}
@@ -796,11 +925,18 @@ QUERIES: dict[str, Query] = {
         freshness_p95,
         freshness_p95_by_campaign,
         freshness_visible,
+        delay_outliers_p95,
+        captured_from_sketches,
+        delays_from_sketches,
         source_mix,
         retained_archive,
+        expired_archive,
+        salted_keys,
+        reconciled_now,
         archive_roundtrip,
         reconcile_published,
         reconcile_lookback,
+        lookback_by_index,
         drift_corrected,
         outcomes_redelivered,
         archive_table_scan,
@@ -808,6 +944,9 @@ QUERIES: dict[str, Query] = {
         stream_replay_idempotent,
         stream_restart,
         stream_late_rows,
+        stream_out_of_order,
+        stream_two_consumers,
+        stream_hot_ads,
         stream_capture_events,
         stream_outcomes,
         stream_untimely_events,
