@@ -18,7 +18,9 @@ of the nearest part only if none of these is found. Without it only items as a w
 probes of 400, match.
 
 Probes are sent to the executors in blocks of a fixed number of characters, each with a pass
-over all documents, so what is broadcast does not grow with the benchmark.
+over all documents. A benchmark of several blocks is worked off one block after the other: the
+hits of one are written before the next is read, so the driver and the executors hold one at
+a time. Equal grams in a row, as of repeated characters, are counted as runs.
 
 Defined cases: null and empty texts or items match nothing, as do items too short for the
 bound to be positive at e = 0 (under 10 characters). Equal items are reported each. Repeated
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmeter.llm.common import first_of_runs
+from clickmeter.llm.common import first_of_runs, written
 
 Q = 10
 EDIT_SHARE = 20
@@ -46,6 +48,7 @@ STRIDE = 35
 BLOCK_CHARS = 2_000_000
 PIECE_CHARS = 1_000_000
 FILTER_BITS = 24
+CHUNK = 1_000_000
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 BASE, BASE_2, BASE_4 = (np.uint64(pow(0xD6E8FEB86659FD95, k, 1 << 64)) for k in (1, 2, 4))
 HITS = "doc_id long, item_id long, part long, distance long, start long"
@@ -103,45 +106,99 @@ class Probes:
         self.edits = np.array([edits(m) for m in self.sizes], np.int64)
         self.bounds = np.maximum(1, self.sizes + 1 - Q - Q * self.edits)
         grams = [gram_hashes(c) for c in self.chars]
-        probe = np.repeat(np.arange(len(rows)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        edges = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int64)
         flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.probe, self.place, flat = probe[order], place[order], flat[order]
-        starts = first_of_runs(flat)
-        self.keys = flat[starts]
-        self.first = np.append(starts, len(flat))
+        run, length = _runs(flat, edges[:-1][np.diff(edges) > 0])
+        probe = np.searchsorted(edges, run, "right") - 1
+        order = np.argsort(flat[run], kind="stable")
+        self.probe, self.place, self.length = probe[order], (run - edges[probe])[order], length[order]
+        held = flat[run][order]
+        first = first_of_runs(held)
+        self.keys = held[first]
+        self.first = np.append(first, len(held))
+        self.longest = int(self.sizes.max(initial=0))
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.keys >> np.uint64(64 - FILTER_BITS)] = True
 
-    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place in the text, probe and place in the probe of every shared gram."""
+    def regions(self, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Text, probe and first diagonal of the bands that hold as many grams as the bound.
+
+        The texts lie one behind the other in `chars`. Equal grams in a row are one run, in the
+        text as in the probe; two runs meet on neighbouring diagonals, and how often in a band
+        follows from their lengths. Runs are taken up to `CHUNK` meetings at a time, and counts
+        of bands that lie behind are settled, so neither repetitive texts nor grams that many
+        probes have make the counts many.
+        """
         grams = gram_hashes(chars)
-        at = np.flatnonzero(self.filter[grams >> np.uint64(64 - FILTER_BITS)])
+        at, length = _runs(grams, starts[starts < len(grams)])
+        likely = self.filter[grams[at] >> np.uint64(64 - FILTER_BITS)]
+        at, length = at[likely], length[likely]
         key = np.searchsorted(self.keys, grams[at])
         key[key == len(self.keys)] = 0
-        real = self.keys[key] == grams[at]
-        at, key = at[real], key[real]
-        count = self.first[key + 1] - self.first[key]
-        entry = np.repeat(self.first[key] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        return np.repeat(at, count), self.probe[entry], self.place[entry]
-
-    def regions(self, at: np.ndarray, doc: np.ndarray, probe: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Text, probe and first diagonal of the bands that hold as many grams as the bound."""
+        real = self.keys[key] == grams[at] if len(self.keys) else np.zeros(len(at), bool)
+        at, length, key = at[real], length[real], key[real]
+        met = self.first[key + 1] - self.first[key] if len(at) else np.zeros(0, np.int64)
+        total = np.cumsum(met)
+        open_ = [np.zeros(0, np.int64)] * 4
+        low = 0
+        while low < len(at):
+            done = total[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(total, done + CHUNK, "right")))
+            part = slice(low, high)
+            counts = self._counts(at[part], length[part], key[part], met[part], starts, ends)
+            doc, probe, band, weight = (np.concatenate(x) for x in zip(open_, counts, strict=True))
+            order = np.lexsort((band, probe, doc))
+            doc, probe, band, weight = (x[order] for x in (doc, probe, band, weight))
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (probe[1:] != probe[:-1]) | (band[1:] != band[:-1])
+            first = np.flatnonzero(new)
+            doc, probe, band, weight = doc[first], probe[first], band[first], np.add.reduceat(weight, first)
+            width = self.edits[probe] + 1
+            behind = np.ones(len(doc), bool) if high == len(at) else starts[doc] + (band + 2) * width + self.longest <= at[high]
+            for i in np.flatnonzero(behind & (weight >= self.bounds[probe])):
+                yield int(doc[i]), int(probe[i]), int(band[i] * width[i])
+            open_ = [x[~behind] for x in (doc, probe, band, weight)]
+            low = high
+
+    def _counts(self, at, length, key, met, starts, ends) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, probe, band and number of meetings of these runs; each is in two bands."""
+        entry = np.repeat(self.first[key] - (np.cumsum(met) - met), met) + np.arange(met.sum())
+        at, length = np.repeat(at, met), np.repeat(length, met)
+        probe, place, own = self.probe[entry], self.place[entry], self.length[entry]
+        doc = np.searchsorted(ends, at, "right")
         width = self.edits[probe] + 1
-        diagonal = at - place
-        band = np.floor_divide(diagonal, width)
-        both = np.concatenate([band, band - 1])
-        doc, probe = np.tile(doc, 2), np.tile(probe, 2)
-        order = np.lexsort((both, probe, doc))
-        doc, probe, both = doc[order], probe[order], both[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (probe[1:] != probe[:-1]) | (both[1:] != both[:-1])
-        starts = np.flatnonzero(new)
-        counts = np.diff(np.append(starts, len(doc)))
-        enough = starts[counts >= self.bounds[probe[starts]]]
-        for i in enough:
-            yield int(doc[i]), int(probe[i]), int(both[i] * (self.edits[probe[i]] + 1))
+        first = at - starts[doc] - (place + own - 1)  # the least diagonal
+        band = np.floor_divide(first, width)
+        weight = np.ones(len(at), np.int64)
+        if (length > 1).any() or (own > 1).any():
+            n = np.floor_divide(first + length + own - 2, width) - band + 1
+            band = np.repeat(band - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            doc, probe, first, width, length, own = (np.repeat(x, n) for x in (doc, probe, first, width, length, own))
+            upto = band * width - first
+            weight = _meetings(upto + width, length, own) - _meetings(upto, length, own)
+        return np.tile(doc, 2), np.tile(probe, 2), np.concatenate([band, band - 1]), np.tile(weight, 2)
+
+
+def _runs(grams: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal grams; a run does not go on over one of `opens`."""
+    if not len(grams):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.ones(len(grams), bool)
+    np.not_equal(grams[1:], grams[:-1], out=new[1:])
+    new[opens] = True
+    at = np.flatnonzero(new)
+    return at, np.diff(np.append(at, len(grams)))
+
+
+def _meetings(n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many pairs of places in runs of lengths a and b lie on the first n diagonals that have any."""
+
+    def sums(x: np.ndarray) -> np.ndarray:
+        x = np.maximum(x, 0)
+        return x * (x + 1) // 2
+
+    n = np.clip(n, 0, a + b - 1)
+    return sums(n) - sums(n - a) - sums(n - b)
 
 
 def aligned(probe: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[int, int]:
@@ -175,10 +232,8 @@ def _found(texts: list[str], index: Probes) -> Iterator[tuple[int, int, int, int
     whole = np.zeros(int(ends[-1]), np.uint32)
     for p, s in zip(parts, starts, strict=True):
         whole[s : s + len(p)] = p
-    at, probe, place = index.hits(whole)
-    doc = np.searchsorted(ends, at, "right")
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for d, p, low in index.regions(at - starts[doc], doc, probe, place):
+    for d, p, low in index.regions(whole, starts, ends):
         item, budget, part = int(index.items[p]), int(index.edits[p]), int(index.parts[p])
         known = best.get((d, item))
         if known and (known[0] < part or known[:2] == (part, 0)):
@@ -243,11 +298,16 @@ def leaks(
     wanted = source.mapInArrow(_probe_rows(passages), "item_id long, part boolean, probe string").distinct()
     total = wanted.agg(F.sum(F.length("probe"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_chars))
+    if blocks > 1:
+        wanted = written(wanted, "probes")
     found = None
     for k in range(blocks):
         own = wanted.where(F.pmod(F.xxhash64("item_id", "part", "probe"), F.lit(blocks)) == k).orderBy("item_id", "part", "probe")
         sent = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
         part = read.mapInArrow(_scan(sent), HITS)
+        if blocks > 1:  # one block at a time is on its way
+            part = written(part, "block-hits")
+            sent.destroy()
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(F.min(F.struct("part", "distance", "start")).alias("best")).select(
         "doc_id", "item_id", "best.distance", "best.start"
