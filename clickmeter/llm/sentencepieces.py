@@ -7,7 +7,7 @@ its new neighbours enter the agenda. Characters that are no piece become byte pi
 A text is cut where no piece can span the cut: before a blank that follows another character,
 around line ends, and before punctuation that no piece has behind a letter or digit; the
 last is read off the vocabulary. So a stretch occurs many times, and workers remember the recent ones
-in two generations of bounded size. Every stretch that is not remembered is also encoded by
+in two generations of bounded size, but for long ones. Every stretch that is not remembered is also encoded by
 the sentencepiece library, in one call for each Arrow batch; where the two differ the
 library's pieces are taken and `n_differing` counts them.
 
@@ -32,12 +32,13 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 REMEMBERED = 400_000
+LONGEST = 64
 SHORT = 40
 NONE = float("inf")
 DIGESTS = (
     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean, n_differing long"
 )
-PIECES = "doc_id long, ids array<int>, decoded string"
+PIECES = "doc_id long, ids array<int>, decoded string, n_differing long"
 
 
 class Pieces:
@@ -152,30 +153,44 @@ class Pieces:
         end = b"%d" % self.end
         joined = [b" ".join([*map(known.__getitem__, stretches), end]) for stretches in cut]
         wrong = known.checked()
-        if not wrong:
-            return [(ids, 0) for ids in joined]
-        return [
-            (b" ".join([*map(known.__getitem__, stretches), end]), sum(s in wrong for s in stretches))
-            for stretches in cut
-        ]
+        out = [(ids, 0) for ids in joined]
+        if wrong:
+            out = [
+                (b" ".join([*map(known.__getitem__, stretches), end]), sum(s in wrong for s in stretches))
+                for stretches in cut
+            ]
+        known.forget_long()
+        return out
 
 
 class Remembered(dict):
-    """Decimal ids of recent stretches; at most two generations of REMEMBERED each and a batch."""
+    """Decimal ids of recent stretches; at most two generations of REMEMBERED each and a batch.
+
+    Stretches of over LONGEST characters seldom come again and are forgotten after their batch,
+    so a worker remembers some hundred MB at most.
+    """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.old: dict[str, bytes] = {}
         self.new: dict[str, list[int]] = {}
+        self.long: list[str] = []
 
     def __missing__(self, stretch: str) -> bytes:
         ids = self.old.get(stretch)
         if ids is None:
             self.new[stretch] = own = self.pieces.stretch_ids(stretch)
             ids = b" ".join(b"%d" % i for i in own)
+        if len(stretch) > LONGEST:
+            self.long.append(stretch)
         self[stretch] = ids
         return ids
 
+    def forget_long(self) -> None:
+        for stretch in self.long:
+            self.pop(stretch, None)
+        self.long = []
+
     def checked(self) -> set[str]:
         """Hold the stretches of this batch against the library; those that differ."""
         stretches = list(self.new)
@@ -227,10 +242,12 @@ def _pieces(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(path)
         for batch in batches:
-            found = [list(map(int, ids.split())) for ids, _ in model.texts(batch.column(1).to_pylist())]
+            encoded_, differ = zip(*model.texts(batch.column(1).to_pylist()), strict=True) if len(batch) else ((), ())
+            found = [list(map(int, ids.split())) for ids in encoded_]
+            decoded = pa.array(map(model.library.decode, found), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int32())), pa.array(map(model.library.decode, found), pa.string())],
-                names=["doc_id", "ids", "decoded"],
+                [batch.column(0), pa.array(found, pa.list_(pa.int32())), decoded, pa.array(differ, pa.int64())],
+                names=["doc_id", "ids", "decoded", "n_differing"],
             )
 
     return run
@@ -241,7 +258,7 @@ def _read(docs: DataFrame, ids: str, text: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame, model: str, ids: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, the piece ids with the end id, and the text decoded from them."""
+    """doc_id, the piece ids with the end id, the text decoded from them, and how many stretches differed."""
     return _read(docs, ids, text).mapInArrow(_pieces(model), PIECES)
 
 

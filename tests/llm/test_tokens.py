@@ -58,9 +58,20 @@ def test_a_differing_stretch_is_counted_and_the_library_wins(monkeypatch):
     assert wrong == 3
 
 
+def test_long_stretches_are_forgotten_after_their_batch():
+    pieces = sentencepieces.Pieces(MODEL)
+    random_ = random.Random(6)
+    for _ in range(3):
+        texts = ["".join(random_.choice("abcdefgh") for _ in range(300)) for _ in range(50)] + ["a short one"]
+        expected = pieces.library.encode(texts, add_eos=True)
+        assert [list(map(int, ids.split())) for ids, _ in pieces.texts(texts)] == expected
+        assert all(len(s) <= sentencepieces.LONGEST for s in pieces.known) and len(pieces.known) == 3
+
+
 def test_encoded_round_trip_and_empty_table(spark):
     docs = frame(spark, ODD).selectExpr("*", "1 as ids", "2 as decoded")
     got = by_id(sentencepieces.encoded(docs, MODEL))
+    assert all(r["n_differing"] == 0 for r in got.values())
     assert all(got[i]["decoded"] == (t or "").replace("▁", " ") for i, t in enumerate(ODD))
     assert sentencepieces.encoded(docs.limit(0), MODEL).count() == 0
 
