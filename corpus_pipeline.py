@@ -51,7 +51,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every document and the hash of the text decoded from them."""
     prepare(spark)
     pieces = sentencepieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return pieces.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return pieces.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "n_differing")
 
 
 STAGES = [
