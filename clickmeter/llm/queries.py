@@ -66,7 +66,7 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_chat_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     calls, results = toolcalls.from_dialogues(table(spark, folder, "conversations"))
-    return toolcalls.linked(calls, results, toolcalls.QUESTION)
+    return toolcalls.linked(calls, results, toolcalls.DIALOGUE)
 
 
 def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:

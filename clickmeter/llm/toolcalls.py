@@ -3,8 +3,9 @@
 Calls and results meet by a join on conversation and call id. A call may need others; its
 level is one more than the highest level of those. Where every call stands behind what it
 needs, as logs usually have it, the position orders the conversation and no level is
-computed. Other conversations are levelled in rounds: a call is done once all it needs are.
-What never gets done is part of a circle or needs one; it keeps its position behind the rest.
+computed. Other conversations are levelled: a call is done once all it needs are. A conversation
+of bounded size is one group for that, larger ones are levelled together in rounds. What never
+gets done is part of a circle or needs one; it keeps its position behind the rest.
 The order is (level, position) and stays in columns, as numbering a conversation would take
 all its rows into one task.
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from clickmeter.llm.common import written
 
+GROUP = 100_000
 TYPES = {"string": str, "number": (int, float), "integer": int, "boolean": bool, "array": list, "object": dict}
 LINKED = "conv_id long, kind string, level long, position long, call_id string, valid boolean, errors array<string>, json string"
 
@@ -88,18 +90,53 @@ def _serialised(schemas: dict[str, dict]):
     return run
 
 
+def _group_levels(group: pa.Table) -> pa.Table:
+    """The levels of the calls of one conversation; calls of a circle, or that need one, get none."""
+    calls = dict(zip(group["call_id"].to_pylist(), group["needs"].to_pylist(), strict=True))
+    waits = {call: len(needs) for call, needs in calls.items()}
+    wanted: dict[str, list[str]] = {}
+    for call, needs in calls.items():
+        for need in needs:
+            wanted.setdefault(need, []).append(call)
+    levels, ready, level = {}, [call for call, n in waits.items() if not n], 0
+    while ready:
+        levels |= dict.fromkeys(ready, level)
+        after = []
+        for call in ready:
+            for other in wanted.get(call, ()):
+                waits[other] -= 1
+                if not waits[other]:
+                    after.append(other)
+        ready, level = after, level + 1
+    conv = pa.array([group["conv_id"][0].as_py()] * len(levels), pa.int64())
+    return pa.table([conv, pa.array(levels.keys(), pa.string()), pa.array(levels.values(), pa.int64())], names=["conv_id", "call_id", "level"])
+
+
 def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
-    """conv_id, call_id and level of the calls of conversations that stand out of order."""
+    """conv_id, call_id and level of the calls of conversations that stand out of order.
+
+    A conversation of up to `GROUP` calls and needs is levelled in one go. One with more is
+    levelled together with its like, in a round for each level.
+    """
     key = ["conv_id", "call_id"]
     late = needs.where("need_position >= position").select("conv_id").distinct()
-    open_calls = written(calls.join(late, "conv_id", "left_semi").select(*key), "open-calls")
-    edges = written(needs.join(late, "conv_id", "left_semi").select(*key, "need"), "open-needs")
-    done, level = None, 0
+    open_calls = calls.join(late, "conv_id", "left_semi").select(*key)
+    edges = needs.join(late, "conv_id", "left_semi").select(*key, "need")
+    listed = open_calls.unionByName(edges.select(*key)).groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    large = written(listed.where(F.col("n") > GROUP).select("conv_id"), "large-conversations")
+    small = open_calls.select(*key, F.lit(None).cast("string").alias("need")).unionByName(edges).join(large, "conv_id", "left_anti")
+    small = small.groupBy(*key).agg(F.collect_set("need").alias("needs"))
+    done = small.groupBy("conv_id").applyInArrow(_group_levels, "conv_id long, call_id string, level long")
+    if large.isEmpty():
+        return done
+    open_calls = written(open_calls.join(large, "conv_id", "left_semi"), "open-calls")
+    edges = written(edges.join(large, "conv_id", "left_semi"), "open-needs")
+    level = 0
     while True:
         ready = written(open_calls.join(edges, key, "left_anti").withColumn("level", F.lit(level).cast("long")), "ready-calls")
         if ready.isEmpty():
-            return done if done is not None else ready
-        done = ready if done is None else done.unionByName(ready)
+            return done
+        done = done.unionByName(ready)
         open_calls = written(open_calls.join(ready, key, "left_anti"), "open-calls")
         met = ready.select("conv_id", F.col("call_id").alias("need"))
         edges = written(edges.join(met, ["conv_id", "need"], "left_anti"), "open-needs")
@@ -150,25 +187,47 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Da
     ).mapInArrow(_serialised(schemas), LINKED)
 
 
-#: The tool of a question in a dialogue.
-QUESTION = {"ask": {"properties": {"question": "string", "turn": "integer"}, "required": ["question", "turn"]}}
+#: The tools of a dialogue.
+DIALOGUE = {
+    "ask": {"properties": {"question": "string", "turn": "integer"}, "required": ["question", "turn"]},
+    "instruct": {"properties": {"instruction": "string"}, "required": ["instruction"]},
+}
 
 
 def from_dialogues(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Dialogues as tool use: a turn of the user asks, the assistant's next turn answers it.
 
-    A question needs the one before it, two turns earlier, where there is one.
+    A turn of the system instructs, and of any other role calls a tool of the role's name, which
+    no schema knows. What a question needs follows from its whole text, so that dialogues have
+    all kinds of orders: by its checksum the question before, two turns earlier, or the one after
+    it, or the dialogue's first turn besides, or nothing. So does how it is put: by the number of
+    its characters some give their turn as text, and some a field too many.
     """
-    call_id = F.concat(F.lit("turn-"), F.col("turn").cast("string"))
-    question = F.to_json(F.struct(F.col("text").alias("question"), F.col("turn").alias("turn")))
-    needs = F.when(
-        F.col("turn") >= 2, F.array(F.concat(F.lit("turn-"), (F.col("turn") - 2).cast("string")))
-    ).otherwise(F.array().cast("array<string>"))
-    calls = turns.where("role = 'user'").select(
-        "conv_id", F.col("turn").alias("position"), call_id.alias("call_id"), F.lit("ask").alias("name"), question.alias("arguments"), needs.alias("needs")
+    role, turn = F.col("role"), F.col("turn")
+    named = lambda number: F.concat(F.lit("turn-"), number.cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    kind, size = F.crc32(text) % 4, F.char_length(text) % 7
+    before = F.when(turn >= 2, named(turn - 2))
+    needs = F.when(kind == 0, F.array(before)).when(kind == 1, F.array(named(turn + 2))).when(kind == 2, F.array(before, F.when(turn > 0, named(F.lit(0)))))
+    needs = F.when((role == "user") & (kind < 3), F.array_compact(needs)).otherwise(F.array().cast("array<string>"))
+    question = F.to_json(
+        F.struct(
+            F.col("text").alias("question"),
+            F.when(size > 0, turn).alias("turn"),
+            F.when(size == 1, F.lit("more")).alias("note"),
+        )
+    )
+    wrong = F.to_json(F.struct(F.col("text").alias("question"), turn.cast("string").alias("turn")))
+    instruction = F.to_json(F.struct(F.col("text").alias("instruction")))
+    calls = turns.where(~role.eqNullSafe("assistant")).select(
+        "conv_id",
+        turn.alias("position"),
+        named(turn).alias("call_id"),
+        F.when(role == "user", "ask").when(role == "system", "instruct").otherwise(role).alias("name"),
+        F.when((role == "user") & (size == 0), wrong).when(role == "user", question).otherwise(instruction).alias("arguments"),
+        needs.alias("needs"),
     )
-    asked = F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string"))
-    results = turns.where("role = 'assistant'").select(
-        "conv_id", F.col("turn").alias("position"), asked.alias("call_id"), F.col("text").alias("content")
+    results = turns.where(role == "assistant").select(
+        "conv_id", turn.alias("position"), named(turn - 1).alias("call_id"), F.col("text").alias("content")
     )
     return calls, results

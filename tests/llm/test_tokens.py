@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -229,17 +230,65 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert toolcalls.linked(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
 
 
-def test_dialogues_as_tool_use(spark):
-    turns = spark.createDataFrame(
-        [(1, 0, "system", "be good"), (1, 1, "user", "é?"), (1, 2, "assistant", "yes"), (1, 3, "user", None), (2, 4, "assistant", "alone"), (3, 0, None, "x")],
-        "conv_id long, turn long, role string, text string",
-    )
-    rows = toolcalls.linked(*toolcalls.from_dialogues(turns), toolcalls.QUESTION).collect()
-    got = {(r["conv_id"], r["call_id"]): r for r in rows}
-    assert set(got) == {(1, "turn-1"), (1, "turn-3"), (2, "turn-3")}
-    assert json.loads(got[1, "turn-1"]["json"]) == {"arguments": {"question": "é?", "turn": 1}, "id": "turn-1", "name": "ask", "result": "yes"}
-    assert got[1, "turn-3"]["errors"] == ["missing question"]
-    assert got[2, "turn-3"]["kind"] == "orphan"
+def plain_links(turns):
+    """(conv, call) -> level, errors, arguments, result of dialogues as tool use, by plain loops."""
+    out = {}
+    for conv in {t[0] for t in turns}:
+        calls, answers = {}, {}
+        own = sorted(t[1:] for t in turns if t[0] == conv)
+        for turn, role, text in own:
+            if role == "assistant":
+                answers[f"turn-{turn - 1}"] = text
+                continue
+            body, kind, size = text or "", zlib.crc32((text or "").encode()) % 4, len(text or "") % 7
+            needs, arguments = [], {} if text is None else {"instruction": text}
+            if role == "user":
+                before = [f"turn-{turn - 2}"] if turn >= 2 else []
+                needs = [before, [f"turn-{turn + 2}"], before + (["turn-0"] if turn else []), []][kind]
+                arguments = ({} if text is None else {"question": body}) | {"turn": turn if size else str(turn)} | ({"note": "more"} if size == 1 else {})
+            calls[f"turn-{turn}"] = (turn, {"user": "ask", "system": "instruct"}.get(role, role), arguments, set(needs))
+        level, todo = {}, dict(calls)
+        while True:
+            ready = [c for c, x in todo.items() if all(n in level or n not in calls for n in x[3])]
+            if not ready:
+                break
+            for c in ready:
+                level[c] = max([level[n] + 1 for n in todo[c][3] if n in calls], default=0)
+                del todo[c]
+        late = any(calls[n][0] >= x[0] for x in calls.values() for n in x[3] if n in calls)
+        for c, (_, name, arguments, needs) in calls.items():
+            errors = toolcalls.problems(arguments, toolcalls.DIALOGUE.get(name)) + [f"needs {n}" for n in sorted(needs - set(calls))]
+            own_level = level.get(c) if late else 0
+            out[conv, c] = (own_level, errors + ["circular"] * (own_level is None), arguments, answers.get(c))
+        for c in set(answers) - set(calls):
+            out[conv, c] = (0, ["result without call"], None, answers[c])
+    return out
+
+
+@pytest.mark.parametrize("group", [100_000, 6])
+def test_dialogues_match_plain_loops(spark, monkeypatch, group):
+    """With conversations as groups, and with those of some calls in rounds."""
+    monkeypatch.setattr(toolcalls, "GROUP", group)
+    given = spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = [tuple(r) for r in given.collect()]
+    turns += [(10**6, 0, "system", "be good"), (10**6, 1, "user", "é?"), (10**6, 2, "assistant", "yes"), (10**6, 3, "user", None)]
+    turns += [(10**6 + 1, 4, "assistant", "alone"), (10**6 + 2, 0, None, "x"), (10**6 + 2, 1, "tool", "y")]
+    frame_ = spark.createDataFrame(turns, given.schema)
+    rows = toolcalls.linked(*toolcalls.from_dialogues(frame_), toolcalls.DIALOGUE).collect()
+    got = {}
+    for r in rows:
+        body = json.loads(r["json"])
+        assert r["json"] == toolcalls.canonical(body) and r["valid"] == (not r["errors"])
+        got[r["conv_id"], r["call_id"]] = (r["level"], r["errors"], body.get("arguments"), body["result"])
+    assert len(got) == len(rows) and got == plain_links(turns)
+    found = {e.split()[0] for r in rows for e in r["errors"]}
+    assert {"circular", "missing", "needs", "unknown", "turn"} <= found and max(r["level"] or 0 for r in rows) > 1
+
+
+def test_a_long_chain_out_of_order(spark):
+    calls = calls_of(spark, [(1, i, f"c{i}", "add", '{"a": 1}', [f"c{i + 1}"] if i < 999 else []) for i in range(1000)])
+    rows = toolcalls.linked(calls, results_of(spark, []), SCHEMAS).collect()
+    assert sorted(r["level"] for r in rows) == list(range(1000)) and {(999 - r["position"]) == r["level"] for r in rows} == {True}
 
 
 def test_counted_handles_no_tokens():
