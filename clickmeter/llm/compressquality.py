@@ -3,9 +3,10 @@
 One zstandard dictionary is built from texts labelled good, one from texts labelled bad. A
 text is cut into pieces of `PIECE` bytes, so that its own beginning does not take the place of
 the dictionary, and every piece of the whole text is compressed with each. With G and B the
-sums of compressed bytes, the difference is (B - G) / (B + G), above 0 where the good
-dictionary knows the text better. Text that repeats itself needs no dictionary and gets a
-difference near 0, so (B + G) / 2 for each byte of text goes along. A logistic curve over the
+sums of compressed bytes, the difference is B - G for each byte of text (and `OWN_BYTES`, so that
+a few words don't tell much), above 0 where the good dictionary knows the text better. Text that
+repeats itself needs no dictionary and gets a difference near 0, so (B + G) / 2 for each byte of
+text goes along. A logistic curve over the
 two, fitted on labelled documents that no dictionary has seen, makes them a probability.
 
 What is learnt comes from a sample with fixed bounds: for each label the `DICTIONARY_DOCS`
@@ -37,11 +38,14 @@ from clickmeter.llm.common import written
 
 DICTIONARY_DOCS = 1000
 FIT_DOCS = 2000
-SPARE = 8  # so many times the documents wanted lie below the border
+FIT_SHARE = 4  # of the labelled documents one in so many is for the curve
+SPARE = 16  # so many times the documents wanted lie below the border
 SAMPLE_PIECES = 8
 PIECE = 2048
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
+SEGMENT = 500  # bytes that the dictionaries are put together from
+OWN_BYTES = 64
 FURTHEST = 0.3  # differences beyond are as good as this
 STEPS = 50
 RIDGE = 1e-2
@@ -55,7 +59,7 @@ def _pieces(text: bytes) -> list[bytes]:
 
 def _dictionary(samples: list[bytes]) -> bytes:
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=200, d=8, level=LEVEL).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=SEGMENT, d=8, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-DICTIONARY_BYTES:] or b"\0" * 8
 
@@ -80,7 +84,8 @@ class Dictionaries:
             for piece in _pieces(text or b""):
                 g += len(good.compress(piece))
                 b += len(bad.compress(piece))
-            out[i] = np.clip((b - g) / (b + g), -FURTHEST, FURTHEST), min((b + g) / 2 / max(len(text or b""), 1), 1.0)
+            n = len(text or b"")
+            out[i] = np.clip((b - g) / (n + OWN_BYTES), -FURTHEST, FURTHEST), min((b + g) / 2 / max(n, 1), 1.0)
         return out
 
 
@@ -119,7 +124,7 @@ def _sample(docs: DataFrame, known: DataFrame, counts: dict[int, int]) -> DataFr
     Hashes are spread evenly, so the lowest lie below a border that the counts tell; only
     those below it are put in order, a few thousand however many there are.
     """
-    for_fit = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 1
+    for_fit = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FIT_SHARE)) == 0
     below = F.lit(False)
     for label, n in counts.items():
         share = min(1.0, SPARE * max(FIT_DOCS, DICTIONARY_DOCS) / n)

