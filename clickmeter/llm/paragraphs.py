@@ -8,8 +8,10 @@ verified by the exact Jaccard similarity of their runs, and clustered by compone
 cluster the paragraph that is first by (doc_id, place) stays.
 
 A passage may also lie inside a longer paragraph. So the words of a document are cut into
-short pieces where a word's hash is the least of its neighbourhood, wherever lines end. Pieces
-that a document with a smaller doc_id holds go if they make a run of 16 words or more.
+short pieces where a word's hash is the least of its neighbourhood, wherever lines end. Of every
+two neighbouring pieces the first document by doc_id that has them so is found. A run of pieces
+goes if it has 16 words or more and one document, with a smaller doc_id, is the first for all its
+pairs: text that earlier documents hold in bits only, each another one, stays.
 
 Defined cases: a null text is empty; shorter lines are never paragraphs. Rows with the same
 doc_id count as one document. Rows without doc_id are left out. An empty table gives an empty
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmeter.llm import near
-from clickmeter.llm.common import BASE, BASE_INVERSE, among, list_array, mixed, pieces, powers, text_bytes, word_spans, written
+from clickmeter.llm.common import BASE, BASE_INVERSE, among, flat, in_row, list_array, mixed, pieces, powers, text_bytes, word_spans, written
 
 MIN_WORDS = 20
 MIN_RUN = 16
@@ -129,17 +131,40 @@ def short_pieces(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return text[starts], starts, ends, hashes.view(np.int64)
 
 
+def piece_pairs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word, end and hash of every two neighbouring pieces."""
+    text, starts, ends, hashes = short_pieces(words, first)
+    if len(text) < 2:
+        return text[:0], starts[:0], ends[:0], hashes[:0]
+    pair = mixed(hashes[:-1].view(np.uint64) * near.STEP + hashes[1:].view(np.uint64)).view(np.int64)
+    same = text[:-1] == text[1:]
+    return text[:-1][same], starts[:-1][same], ends[1:][same], pair[same]
+
+
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0).to_numpy()
         data, offsets = text_bytes(batch.column(1))
         for a, b in pieces(offsets):
             words, first = near.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            text, _, _, hashes = short_pieces(words, first)
+            text, _, _, hashes = piece_pairs(words, first)
             rows, hashes, _ = near.counted(text, hashes)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(ids[a + rows])], names=["piece", "doc_id"])
 
 
+def _holders(owner: np.ndarray, pairs: np.ndarray, known: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a pair is known to an earlier document, and to which."""
+    rows, entries = flat(known)
+    if not len(entries) or not len(pairs):
+        return np.zeros(len(pairs), bool), np.zeros(len(pairs), np.int64)
+    keys = in_row(rows, entries.field("piece").to_numpy())
+    order = np.argsort(keys)
+    keys, low = keys[order], entries.field("low").to_numpy()[order]
+    wanted = in_row(owner, pairs)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, low[at]
+
+
 def _stripped(data: np.ndarray, offsets: np.ndarray, lines: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which bytes of a piece of texts go; paragraphs of each text and removed ones."""
     texts = len(offsets) - 1
@@ -152,13 +177,13 @@ def _stripped(data: np.ndarray, offsets: np.ndarray, lines: pa.Array, known: pa.
     np.add.at(edge, bounds[1:][gone], -1)
     if len(starts):
         words, first = near.word_hashes(data, offsets)
-        owner, a, b, hashes = short_pieces(words, first)
-        again = among(owner, hashes, known)
-        # A run ends where a piece is new or the text ends.
-        start = again.copy()
-        start[1:] &= ~again[:-1] | (owner[1:] != owner[:-1])
-        stop = again.copy()
-        stop[:-1] &= ~again[1:] | (owner[1:] != owner[:-1])
+        owner, a, b, hashes = piece_pairs(words, first)
+        again, holder = _holders(owner, hashes, known)
+        # A run ends where a pair is new, another document is the first to have it, or the text ends.
+        other = (owner[1:] != owner[:-1]) | (holder[1:] != holder[:-1])
+        start, stop = again.copy(), again.copy()
+        start[1:] &= ~again[:-1] | other
+        stop[:-1] &= ~again[1:] | other
         a, b = a[start], b[stop]
         enough = b - a >= MIN_RUN
         np.add.at(edge, starts[a[enough]], 1)
@@ -207,12 +232,12 @@ def _repeated_paragraphs(docs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _repeated_pieces(docs: DataFrame) -> DataFrame:
-    """doc_id and the pieces that an earlier document holds."""
+    """doc_id and the pairs of pieces that an earlier document holds, with the first that does."""
     found = docs.mapInArrow(_piece_rows, "piece long, doc_id long")
     span = found.groupBy("piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     span = written(span.select("piece", "low"), "repeated-pieces")
     again = found.join(span.hint("shuffle_hash"), "piece").where("doc_id > low")
-    return again.groupBy("doc_id").agg(F.collect_set("piece").alias("known"))
+    return again.groupBy("doc_id").agg(F.collect_set(F.struct("piece", "low")).alias("known"))
 
 
 def removals(docs: DataFrame, ids: str = "doc_id", text: str = "text", threshold: float = near.THRESHOLD) -> DataFrame:

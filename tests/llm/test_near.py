@@ -5,10 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import WORD, by_id, frame, prose
 
 from clickmeter.llm import bagminhash, near, paragraphs
+from clickmeter.llm.common import text_bytes
 from clickmeter.llm.components import components
 
 
@@ -164,6 +166,67 @@ def test_passages_inside_paragraphs_go_and_clean_texts_stay(spark, joint):
         assert got[i]["kept_sha256"] == hashlib.sha256(clean[i - len(texts)].encode()).hexdigest()
 
 
+def piece_texts(text):
+    """Words of a text and its pieces as ranges of words."""
+    data, offsets = text_bytes(pa.array([text]))
+    words, first = near.word_hashes(data, offsets)
+    _, starts, ends, _ = paragraphs.short_pieces(words, first)
+    return list(zip(starts.tolist(), ends.tolist(), strict=True))
+
+
+def kept_of_passages(texts):
+    """What stays when only passages go: runs of pieces of which one earlier text is the first to have every pair."""
+    cut = [(WORD.findall(t), list(WORD.finditer(t)), piece_texts(t)) for t in texts]
+    holder = {}
+    for d, (words, _, parts) in enumerate(cut):
+        for (a, m), (_, b) in zip(parts, parts[1:], strict=False):
+            holder.setdefault((tuple(words[a:m]), tuple(words[m:b])), d)
+    out, runs = [], []
+    for d, (words, spans, parts) in enumerate(cut):
+        gone, k = set(), 0
+        held = [holder[tuple(words[a:m]), tuple(words[m:b])] for (a, m), (_, b) in zip(parts, parts[1:], strict=False)]
+        while k < len(held):
+            j = k
+            while j + 1 < len(held) and held[j + 1] == held[k]:
+                j += 1
+            a, b = parts[k][0], parts[j + 1][1]
+            if held[k] < d and b - a >= paragraphs.MIN_RUN:
+                gone |= set(range(spans[a].start(), spans[b - 1].end()))
+                runs.append((d, held[k], words[a:b]))
+            k = j + 1
+        out.append("".join(c for i, c in enumerate(texts[d]) if i not in gone))
+    return out, runs
+
+
+def test_passages_match_plain_loops(spark):
+    """Short lines, so that no paragraph has a part in it; passages, and bits of other texts."""
+    random_ = random.Random(11)
+    bases = [prose(random_, 200) for _ in range(8)]
+    texts = [" ".join(b) for b in bases]
+    for _ in range(60):
+        words = []
+        for _ in range(random_.randrange(2, 8)):
+            base, n = random_.choice(bases), random_.choice([3, 8, 14, 30, 60])
+            at = random_.randrange(len(base) - n)
+            words += base[at : at + n] if random_.random() < 0.7 else prose(random_, n)
+        texts.append(" ".join(words))
+    texts = ["\n".join(" ".join(t.split(" ")[i : i + 12]) for i in range(0, len(t.split(" ")), 12)) for t in texts]
+    expected, runs = kept_of_passages(texts)
+    got = by_id(paragraphs.removals(frame(spark, texts)))
+    assert [got[i]["kept_sha256"] for i in range(len(texts))] == [hashlib.sha256(t.encode()).hexdigest() for t in expected]
+    assert len(runs) > 60 and all(r["n_paragraphs"] == 0 for r in got.values())
+    for d, e, words in runs:  # what goes stands in the one text it was first in
+        assert " ".join(words) in " ".join(WORD.findall(texts[e])), (d, e)
+
+
+def test_bits_of_many_documents_are_no_passage(spark):
+    random_ = random.Random(13)
+    others = [prose(random_, 100) for _ in range(8)]
+    bits = " ".join(w for o in others for w in o[30:44])
+    got = by_id(paragraphs.removals(frame(spark, [" ".join(o) for o in others] + [bits])))
+    assert got[8]["n_removed"] == 0 and got[8]["n_bytes"] == len(bits)
+
+
 def test_shingles_of_short_and_long_texts():
     words = np.arange(1, 13, dtype=np.uint64) * np.uint64(977)
     first = np.array([0, 0, 2, 12])
