@@ -1,9 +1,12 @@
 """Streaming capture, second stage: the first click of an impression is accepted.
 
-A value state for each impression holds the last accepted arrival. Its timer goes by event
-time: a state is kept until arrivals, not clocks, have passed its lifetime and the delay that
-a click may have, so stopping the stream or working off a backlog lets nothing count twice.
-The first stage has set aside what is later than that, so no row is dropped here.
+The state holds the accepted arrivals. A call to the state store costs a Python worker about as
+much as a thousand clicks, so impressions share a key: those of a bucket, by hash, are worked on
+together, and a map state keeps their accepted arrivals by slots of time, a fixed part of the
+lifetime each. A batch reads the bucket's slots and writes those it adds to. A slot is kept until
+arrivals, not clocks, have passed its lifetime and the delay that a click may have, so stopping
+the stream or working off a backlog lets nothing count twice. The first stage has set aside what
+is later than that, so no row is dropped here.
 
 Every row comes back with its answer. A batch becomes `<root>/answered/batch=<name>`, and its
 accepted rows become events, as JSON lines for the counter and the archiver to follow.
@@ -13,7 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -26,6 +32,8 @@ from clickmeter.sources.batches import batch_name, publish
 from clickmeter.sources.files import file_system, make_folder
 from clickmeter.streaming.intake import TAKEN
 
+# A checkpoint goes with its number of buckets.
+BUCKETS = 512
 ANSWERED = TAKEN + ", emitted boolean"
 # A query keeps the settings it was started with. Remembered impressions are too many for memory.
 _STATE_SETTINGS = {
@@ -36,32 +44,51 @@ _STATE_SETTINGS = {
 
 def first_click_processor(ttl_seconds: int) -> StatefulProcessor:
     # The class stays inside, so that executors need not have this package.
+    slot_seconds = max(1, ttl_seconds // 12)
+
+    def packed(clicks: dict[str, int]) -> bytes:
+        table = pa.table({"impression_id": pa.array(clicks.keys(), pa.string()), "arrival": pa.array(clicks.values(), pa.int64())})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        return sink.getvalue().to_pybytes()
+
+    def unpacked(stored: bytes, asked: pa.Array | None = None) -> dict[str, int]:
+        table = pa.ipc.open_stream(pa.py_buffer(bytes(stored))).read_all()
+        if asked is not None:
+            table = table.filter(pc.is_in(table["impression_id"], value_set=asked))
+        return dict(zip(table["impression_id"].to_pylist(), table["arrival"].to_pylist(), strict=True))
+
     class FirstClicks(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.accepted_at = handle.getValueState("accepted_at", "arrival long")
-
-        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            clicks = list(rows)
-            if len(clicks) > 1:
-                clicks.sort(key=lambda row: (row.arrival, row.opens))
-            held = self.accepted_at.get()
-            before = last = held[0] if held else None
-            for click in clicks:
-                accepted = last is None or click.arrival - last >= ttl_seconds
+            self.accepted = handle.getMapState("accepted", "slot long", "clicks binary")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            clicks = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "opens"], kind="stable")
+            asked = pa.array(clicks["impression_id"].unique(), pa.string())
+            last, slots = {}, set()
+            for (slot,), (stored,) in self.accepted.iterator():
+                slots.add(slot)
+                for impression, arrival in unpacked(stored, asked).items():
+                    last[impression] = max(arrival, last.get(impression, arrival))
+            new: dict[int, dict[str, int]] = {}
+            emitted = []
+            for impression, arrival in zip(clicks["impression_id"].tolist(), clicks["arrival"].tolist(), strict=True):
+                accepted = impression not in last or arrival - last[impression] >= ttl_seconds
                 if accepted:
-                    last = click.arrival
-                yield Row(taken=click.taken, emitted=accepted)
-            if last != before:
-                self.accepted_at.update((last,))
-                self.handle.registerTimer((last + ttl_seconds) * 1000)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            held = self.accepted_at.get()
-            # An earlier lifetime of the impression may end while a later one lasts.
-            if held and (held[0] + ttl_seconds) * 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-                self.accepted_at.clear()
-            return iter(())
+                    last[impression] = arrival
+                    new.setdefault(arrival // slot_seconds, {})[impression] = arrival
+                emitted.append(accepted)
+            # No later arrival comes before this one, so what ended by then refuses nothing any more.
+            earliest = clicks["earliest"].max()
+            for slot in slots | new.keys():
+                ended = (slot + 1) * slot_seconds + ttl_seconds <= earliest
+                if ended and slot in slots:
+                    self.accepted.removeKey((slot,))
+                elif slot in new and not ended:
+                    held = unpacked(self.accepted.getValue((slot,))[0]) if slot in slots else {}
+                    self.accepted.updateValue((slot,), (packed(held | new[slot]),))
+            yield pd.DataFrame({"taken": clicks["taken"], "emitted": emitted})
 
         def close(self) -> None:
             pass
@@ -75,13 +102,24 @@ def answered(taken: DataFrame, ttl_seconds: int = IMPRESSION_TTL_SECONDS, delay:
     A request crosses to Python as one text; there it is only tagged. The watermark drops rows
     at its delay as well as those behind, hence the second more.
     """
+    # The column of the watermark goes to pandas, which knows these years only.
+    known = F.greatest(F.least("received_at", F.lit("2262-01-01").cast("timestamp")), F.lit("1678-01-01").cast("timestamp"))
     order = F.concat(F.date_format("clicked_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.coalesce("request_id", F.lit("")))
     columns = [field.split()[0] for field in TAKEN.split(", ")]
     return (
-        taken.withWatermark("received_at", f"{delay} 1 second")
-        .select("impression_id", "received_at", F.unix_timestamp("received_at").alias("arrival"), order.alias("opens"), F.to_json(F.struct(*columns)).alias("taken"))
-        .groupBy("impression_id")
-        .transformWithState(first_click_processor(ttl_seconds), "taken string, emitted boolean", "Append", "EventTime")
+        taken.withColumn("known", known)
+        .withWatermark("known", f"{delay} 1 second")
+        .select(
+            F.pmod(F.xxhash64("impression_id"), F.lit(BUCKETS)).alias("bucket"),
+            "known",
+            "impression_id",
+            F.unix_timestamp("received_at").alias("arrival"),
+            F.unix_timestamp(F.col("known") - F.expr(f"INTERVAL {delay} 1 second")).alias("earliest"),
+            order.alias("opens"),
+            F.to_json(F.struct(*columns)).alias("taken"),
+        )
+        .groupBy("bucket")
+        .transformWithStateInPandas(first_click_processor(ttl_seconds), "taken string, emitted boolean", "Append", "EventTime")
         .select(F.from_json("taken", TAKEN).alias("taken"), "emitted")
         .select("taken.*", "emitted")
     )

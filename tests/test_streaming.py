@@ -469,3 +469,28 @@ def test_hot_ads_of_windows_agree_with_the_exact_ones(spark, tmp_path):
         exact = audits.hot_ads(raw.where(F.substring("click_ts", 12, 2) == f"1{hour}"), 0.03)
         own = found.where(F.date_format("window_start", "HH") == f"1{hour}").drop("window_start")
         assert rows(own) == rows(exact) and own.count() >= 2
+
+
+def test_impressions_share_state_and_count_as_in_batch(spark, tmp_path):
+    """Thousands of impressions of an hour take a row of state for each bucket, not one each."""
+    draw = random.Random(3)
+    stamp = lambda second: datetime.fromtimestamp(1_781_359_200 + second, UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    repeated = sorted(draw.randrange(8 * 86400) for _ in range(600))
+    deliveries = [[ask(i, f"once_{i}", stamp(i)) for i in range(2000)], *(repeated[i : i + 150] for i in range(0, 600, 150))]
+    deliveries[1:] = [[ask(f"{n}_{i}", f"imp_{draw.randrange(30)}", stamp(s)) for i, s in enumerate(part)] for n, part in enumerate(deliveries[1:])]
+    root, events = str(tmp_path / "state"), str(tmp_path / "events")
+    held = []
+    for number, batch in enumerate(deliveries):
+        put(tmp_path / "requests", number, *batch)
+        requests = request_stream(spark, tmp_path / "requests")
+        intake.start_taking(requests, ads, root, str(tmp_path / "c1"), ALL, F.lit("2026-06-30").cast("timestamp")).awaitTermination()
+        query = answering.start_answering(spark, root, events, str(tmp_path / "c2"), ALL)
+        query.awaitTermination()
+        held.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    assert held[0] <= answering.BUCKETS
+    # What has passed its lifetime and the delay is forgotten where clicks come.
+    assert held[-1] < held[0] + 600
+    everything = spark.read.schema(CLICK_REQUEST).json(str(tmp_path / "requests"))
+    assert settling.set_aside(spark, root).isEmpty()
+    assert rows(answering.read_events(spark, events)) == rows(batch_capture.click_events(everything, ads(spark)))
+    assert rows(answering.read_outcomes(spark, root)) == rows(batch_capture.outcomes(everything, ads(spark)))
