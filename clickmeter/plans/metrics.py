@@ -30,10 +30,12 @@ from clickmeter.operators.ownership import owned_pairs
 from clickmeter.operators.rollup import BATCH_RULES, unit_counts
 from clickmeter.schemas import METRICS_REQUEST
 from clickmeter.settings import (
+    BUCKETS_PER_TASK,
     DEFAULT_GRANULARITY,
     GRANULARITIES,
     MAX_BUCKETS,
     METRICS_ERROR_DETAILS,
+    MOST_TASKS,
     SOURCE_BATCH,
     SOURCE_STREAM,
     STEP_SECONDS,
@@ -192,6 +194,18 @@ def rows_asked_for(aggregates: DataFrame, accepted: DataFrame) -> DataFrame:
     return aggregates.join(wanted, ["campaign_id", "dt"], "left_semi")
 
 
+def tasks_for(judged: DataFrame) -> int:
+    """Tasks among which the buckets of the accepted requests are put in order, by their number.
+
+    Shuffled buckets are many times smaller than sorted ones, so a number of tasks that
+    follows from bytes, or is small, would let the memory of a task grow with the requests.
+    To more than `MOST_TASKS`, a shuffle would write by sorting, which takes memory again.
+    """
+    buckets = bucket_count(F.col("start"), F.col("end"), F.col("granularity"))
+    rows = judged.where(F.col("status") == 200).agg(F.sum(buckets)).first()[0] or 0
+    return max(judged.sparkSession.sparkContext.defaultParallelism, min(-(-rows // BUCKETS_PER_TASK), MOST_TASKS))
+
+
 def series(
     judged: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
@@ -232,8 +246,9 @@ def metrics(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
     """Series of the accepted requests, each in bucket order and in one partition."""
-    rows = series(judged_requests(requests, ads), aggregates, source_rule)
-    return rows.repartition("request_id").sortWithinPartitions("request_id", "bucket_start")
+    judged = judged_requests(requests, ads)
+    rows = series(judged, aggregates, source_rule)
+    return rows.repartition(tasks_for(judged), "request_id").sortWithinPartitions("request_id", "bucket_start")
 
 
 def bounds(requests: DataFrame) -> tuple[datetime | None, datetime | None]:

@@ -223,3 +223,15 @@ def test_no_request_meets_all_rows_of_its_campaign(spark):
     )
     plan = series._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_tasks_follow_from_the_number_of_buckets(spark, monkeypatch):
+    """However many requests there are, a task puts only so many buckets in order."""
+    monkeypatch.setattr(metrics, "BUCKETS_PER_TASK", 100)
+    asked = requests(spark, *[ask(t("00:00:00"), t("20:00:00")) for _ in range(30)])
+    series = metrics.metrics(asked, ads(spark), aggregates(spark, *HOURS))
+    parts = [part for part in series.rdd.map(lambda row: (row.request_id, row.bucket_start)).glom().collect() if part]
+    assert series.rdd.getNumPartitions() == metrics.MOST_TASKS
+    assert sum(map(len, parts)) == 36_000 and max(map(len, parts)) <= 6_000
+    assert all(part == sorted(part) for part in parts)
+    assert sum(len({request for request, _ in part}) for part in parts) == 30
