@@ -61,11 +61,3 @@ def ceil_to(unit: str, ts: Column) -> Column:
     floored = F.date_trunc(unit, ts)
     step = F.expr(f"INTERVAL {STEP_SECONDS[unit]} SECONDS")
     return F.when(floored == ts, ts).otherwise(floored + step)
-
-
-def starts_between(unit: str, lo: Column, hi: Column) -> Column:
-    """Array of the starts of `unit` in `[lo, hi)`, given `lo` is one; empty if `lo >= hi`."""
-    step = F.expr(f"INTERVAL {STEP_SECONDS[unit]} SECONDS")
-    return F.when(
-        lo < hi, F.sequence(lo, hi - F.expr("INTERVAL 1 MICROSECOND"), step)
-    ).otherwise(F.array().cast("array<timestamp>"))

@@ -1,9 +1,10 @@
 """Metrics: a table of requests to dense series of clicks.
 
-All requests are answered in one job. A request's buckets are matched to counts by
-equality on `(campaign, unit, start)`. No request is ever paired with all the rows of its
-campaign: bounds inside a bucket are met by splitting that one bucket into whole hours
-and minutes.
+All requests are answered in one job. Counts are packed into blocks of `BLOCK_UNITS` minutes,
+hours or days, and a request's stretches of buckets are matched to blocks by equality on
+`(campaign, unit, block)`. Single buckets never go through a join, and no request is ever
+paired with all the rows of its campaign: bounds inside a bucket are met by splitting that
+one bucket into whole hours and minutes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from clickmeter.functions.timebucket import (
     floor_to,
     instant,
     iso,
-    starts_between,
     step_interval,
     step_seconds,
 )
@@ -30,6 +30,7 @@ from clickmeter.operators.ownership import owned_pairs
 from clickmeter.operators.rollup import BATCH_RULES, unit_counts
 from clickmeter.schemas import METRICS_REQUEST
 from clickmeter.settings import (
+    BLOCK_UNITS,
     BUCKETS_PER_TASK,
     DEFAULT_GRANULARITY,
     GRANULARITIES,
@@ -50,8 +51,9 @@ _STATUS = {
     "forbidden": 403,
 }
 _RESULT = ["bucket_start", "click_count", "source"]
-_BUCKET = ["request_id", "campaign_id", "granularity", "bucket_start"]
-_UNIT = ["campaign_id", "unit", "unit_start"]
+_REQUEST = ["request_id", "campaign_id", "granularity"]
+_BUCKET = [*_REQUEST, "bucket_start"]
+_STRETCH = ["granularity", "lo", "hi", "held"]
 
 
 def bucket_count(start: Column, end: Column, granularity: Column) -> Column:
@@ -121,58 +123,107 @@ def _judgements() -> dict[str, Column]:
     return {"reason": reason, "status": status, "granularity": F.when(reason.isNull(), fitted_unit)}
 
 
-def spine(accepted: DataFrame) -> DataFrame:
-    """One row per bucket of each request, from the floor of `start` up to `end`.
+def _before(end: Column) -> Column:
+    return end - F.expr("INTERVAL 1 MICROSECOND")
 
-    `lo` and `hi` bound the minutes that count in the bucket: a minute row counts when
-    its start is within the request. `whole` tells that no bound cuts the bucket.
+
+def whole_buckets(accepted: DataFrame) -> DataFrame:
+    """The stretch `[lo, hi)` of buckets that no bound of the request cuts, where there is one.
+
+    A minute row counts when its start is within the request, so the end cuts no minute.
     """
     unit = F.col("granularity")
-    starts = F.sequence(
-        floor_to(unit, F.col("start")),
-        F.col("end") - F.expr("INTERVAL 1 MICROSECOND"),
-        step_interval(unit),
-    )
+    floor = floor_to(unit, F.col("start"))
+    lo = F.when(floor == F.col("start"), floor).otherwise(floor + step_interval(unit))
+    hi = floor_to(unit, ceil_to("minute", F.col("end")))
+    return accepted.select(*_REQUEST, unit.alias("unit"), lo.alias("lo"), hi.alias("hi")).where("lo < hi")
+
+
+def cut_buckets(accepted: DataFrame) -> DataFrame:
+    """The buckets that a bound cuts: at most the first and the last of a request.
+
+    `lo` and `hi` bound the minutes that count in the bucket.
+    """
+    unit = F.col("granularity")
+    first, last = floor_to(unit, F.col("start")), floor_to(unit, _before(F.col("end")))
     bucket_end = F.col("bucket_start") + step_interval(unit)
     lo = F.greatest("bucket_start", ceil_to("minute", F.col("start")))
     hi = F.least(bucket_end, ceil_to("minute", F.col("end")))
     return (
-        accepted.withColumn("bucket_start", F.explode(starts))
+        accepted.withColumn("bucket_start", F.explode(F.array_distinct(F.array(first, last))))
         .withColumns({"lo": lo, "hi": hi})
-        .withColumn("whole", (F.col("lo") == F.col("bucket_start")) & (F.col("hi") == bucket_end))
-        .select(*_BUCKET, "lo", "hi", "whole")
+        .where((F.col("lo") != F.col("bucket_start")) | (F.col("hi") != bucket_end))
+        .select(*_BUCKET, "lo", "hi")
     )
 
 
 def pieces(cut: DataFrame) -> DataFrame:
-    """Split cut buckets into the whole hours and the minutes between `lo` and `hi`.
+    """Split cut buckets into a stretch of whole hours and one of minutes on each side.
 
-    A bucket without any stays, with a null piece.
+    A bucket without any minute keeps its first stretch, an empty one.
     """
     inner_lo = F.least(ceil_to("hour", F.col("lo")), F.col("hi"))
     inner_hi = F.greatest(F.date_trunc("hour", "hi"), F.col("inner_lo"))
 
-    def units(unit: str, starts: Column) -> Column:
-        return F.transform(
-            starts, lambda s: F.struct(F.lit(unit).alias("unit"), s.alias("unit_start"))
-        )
+    def stretch(unit: str, lo: str, hi: str) -> Column:
+        return F.struct(F.lit(unit).alias("unit"), F.col(lo).alias("lo"), F.col(hi).alias("hi"))
 
+    later = F.array(stretch("hour", "inner_lo", "inner_hi"), stretch("minute", "inner_hi", "hi"))
     return (
         cut.withColumn("inner_lo", inner_lo)
         .withColumn("inner_hi", inner_hi)
         .select(
             *_BUCKET,
-            F.inline_outer(
+            F.inline(
                 F.concat(
-                    units("minute", starts_between("minute", F.col("lo"), F.col("inner_lo"))),
-                    units("hour", starts_between("hour", F.col("inner_lo"), F.col("inner_hi"))),
-                    units("minute", starts_between("minute", F.col("inner_hi"), F.col("hi"))),
+                    F.array(stretch("minute", "lo", "inner_lo")),
+                    F.filter(later, lambda s: s["lo"] < s["hi"]),
                 )
             ),
         )
     )
 
 
+def block_seconds(unit: Column) -> Column:
+    return step_seconds(unit) * BLOCK_UNITS
+
+
+def block_of(unit: Column, ts: Column) -> Column:
+    """The number of the block of units holding `ts`, counted from the epoch."""
+    return F.floor(F.unix_timestamp(ts) / block_seconds(unit))
+
+
+def packed(counts: DataFrame) -> DataFrame:
+    """Unit counts, those of a block `held` in one row, by the start of the unit."""
+    return (
+        counts.where("unit_start is not null")
+        .groupBy("campaign_id", "unit", block_of(F.col("unit"), F.col("unit_start")).alias("block"))
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.struct("unit_start", F.struct("unit_count", "unit_batch")))
+            ).alias("held")
+        )
+    )
+
+
+def counted(stretches: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Stretches `[lo, hi)` of units, split by block, each with the counts `held` for it."""
+    unit, lo, hi = F.col("unit"), F.col("lo"), F.col("hi")
+    first, last = block_of(unit, lo), block_of(unit, F.greatest(lo, _before(hi)))
+    length = block_seconds(unit)
+    return (
+        stretches.withColumn("block", F.explode(F.sequence(first, last)))
+        .withColumns(
+            {
+                "lo": F.greatest(lo, F.timestamp_seconds(F.col("block") * length)),
+                "hi": F.least(hi, F.timestamp_seconds((F.col("block") + 1) * length)),
+            }
+        )
+        .join(blocks, ["campaign_id", "unit", "block"], "left")
+        .withColumn("held", F.map_filter("held", lambda at, _: (at >= lo) & (at < hi)))
+    )
+
+
 def rows_asked_for(aggregates: DataFrame, accepted: DataFrame) -> DataFrame:
     """Aggregate rows of the campaigns and days some request covers.
 
@@ -181,7 +232,7 @@ def rows_asked_for(aggregates: DataFrame, accepted: DataFrame) -> DataFrame:
     day = F.explode(
         F.sequence(
             F.to_date("start"),
-            F.to_date(F.col("end") - F.expr("INTERVAL 1 MICROSECOND")),
+            F.to_date(_before(F.col("end"))),
         )
     )
     wanted = (
@@ -206,42 +257,56 @@ def tasks_for(judged: DataFrame) -> int:
     return max(judged.sparkSession.sparkContext.defaultParallelism, min(-(-rows // BUCKETS_PER_TASK), MOST_TASKS))
 
 
-def series(
+def answered(
     judged: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
-    """The dense series of every accepted request, empty buckets as zero.
+    """The series of every accepted request, as stretches of buckets with the counts in them.
 
-    Whole buckets get their count by the join alone. At most the first and the last of a
-    request are cut; only these are put together from pieces.
+    Only whole blocks of units are joined, and empty buckets take no place: `buckets_of`
+    fills them in, where they are wanted. At most the first and the last bucket of a request
+    are cut; only these are put together from pieces.
     """
-    accepted = judged.where(F.col("status") == 200).select(
-        "request_id", "campaign_id", "granularity", "start", "end"
-    )
-    counts = unit_counts(rows_asked_for(aggregates, accepted), source_rule)
-    buckets = spine(accepted)
-    whole = buckets.where("whole").select(
-        *_BUCKET, F.col("granularity").alias("unit"), F.col("bucket_start").alias("unit_start")
-    )
-    cut = pieces(buckets.where("not whole"))
-    whole_counts = whole.join(counts, _UNIT, "left").select(*_BUCKET, "unit_count", "unit_batch")
-    cut_counts = (
-        cut.join(counts, _UNIT, "left")
+    accepted = judged.where(F.col("status") == 200).select(*_REQUEST, "start", "end")
+    blocks = packed(unit_counts(rows_asked_for(aggregates, accepted), source_rule))
+    whole = counted(whole_buckets(accepted), blocks)
+    cut = (
+        counted(pieces(cut_buckets(accepted)), blocks)
+        .select(*_BUCKET, F.explode_outer(F.map_values("held")).alias("count"))
         .groupBy(*_BUCKET)
         .agg(
-            F.sum("unit_count").alias("unit_count"),
-            BATCH_RULES[source_rule]("unit_batch").alias("unit_batch"),
+            F.sum("count.unit_count").alias("unit_count"),
+            BATCH_RULES[source_rule]("count.unit_batch").alias("unit_batch"),
+        )
+        .select(
+            *_REQUEST,
+            F.col("bucket_start").alias("lo"),
+            (F.col("bucket_start") + step_interval(F.col("granularity"))).alias("hi"),
+            F.create_map("bucket_start", F.struct("unit_count", "unit_batch")).alias("held"),
         )
     )
-    return whole_counts.unionByName(cut_counts).select(
-        "request_id",
-        "campaign_id",
-        "granularity",
-        iso(F.col("bucket_start")).alias("bucket_start"),
-        F.coalesce("unit_count", F.lit(0)).alias("click_count"),
-        F.when(F.col("unit_batch"), SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
+    return whole.select(*_REQUEST, "lo", "hi", "held").unionByName(cut)
+
+
+def buckets_of(granularity: Column, lo: Column, hi: Column, held: Column) -> Column:
+    """Array of the buckets of a stretch, empty ones as zero."""
+    return F.transform(
+        F.sequence(lo, _before(hi), step_interval(granularity)),
+        lambda at: F.struct(
+            iso(at).alias("bucket_start"),
+            F.coalesce(held[at]["unit_count"], F.lit(0)).alias("click_count"),
+            F.when(held[at]["unit_batch"], SOURCE_BATCH).otherwise(SOURCE_STREAM).alias("source"),
+        ),
     )
 
 
+def series(
+    judged: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
+) -> DataFrame:
+    """The dense series of every accepted request, empty buckets as zero."""
+    buckets = buckets_of(*[F.col(name) for name in _STRETCH])
+    return answered(judged, aggregates, source_rule).select(*_REQUEST, F.inline(buckets))
+
+
 def metrics(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
@@ -290,7 +355,7 @@ def campaign_series(
             BATCH_RULES[source_rule](F.col("source") == SOURCE_BATCH).alias("batch"),
         )
     )
-    starts = F.sequence(F.date_trunc(unit, first), last - F.expr("INTERVAL 1 MICROSECOND"), step)
+    starts = F.sequence(F.date_trunc(unit, first), _before(last), step)
     buckets = aggregates.sparkSession.range(0, 1, 1, numPartitions=1).select(
         F.explode(starts).alias("bucket_start")
     )
@@ -359,21 +424,23 @@ def responses(
 ) -> DataFrame:
     """One row per request: `status` and the JSON `body`, an error or the ordered series.
 
-    A request's buckets fit one row: they are capped, or one per day.
+    A request's buckets fit one row: they are capped, or one per day. They are filled in
+    and written out last, so that only counts are shuffled and sorted.
     """
     judged = judged_requests(requests, ads)
     listed = (
-        series(judged, aggregates, source_rule)
+        answered(judged, aggregates, source_rule)
         .groupBy("request_id")
-        .agg(F.array_sort(F.collect_list(F.struct(*_RESULT))).alias("buckets"))
+        .agg(F.collect_list(F.struct(*_STRETCH)).alias("stretches"))
     )
+    buckets = F.transform("stretches", lambda s: buckets_of(*[s[name] for name in _STRETCH]))
     body = F.to_json(
         F.struct(
             "campaign_id",
             "granularity",
             iso(F.col("start")).alias("from"),
             iso(F.col("end")).alias("to"),
-            "buckets",
+            F.sort_array(F.flatten(buckets)).alias("buckets"),
         )
     )
     detail = F.lit(None).cast("string")

@@ -45,5 +45,6 @@ NON_EMPTY_EVENT_FIELDS = ("impression_id", "ad_id", "campaign_id", "advertiser_i
 ARRIVAL_DELAY = "48 hours"
 AHEAD_TOLERANCE = "5 minutes"
 HOT_CLICKS = 100_000
+BLOCK_UNITS = 60
 BUCKETS_PER_TASK = 250_000
 MOST_TASKS = 200

@@ -235,3 +235,58 @@ def test_tasks_follow_from_the_number_of_buckets(spark, monkeypatch):
     assert sum(map(len, parts)) == 36_000 and max(map(len, parts)) <= 6_000
     assert all(part == sorted(part) for part in parts)
     assert sum(len({request for request, _ in part}) for part in parts) == 30
+
+
+def shuffled(plan):
+    """Rows written by the shuffles of a plan that has run."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return shuffled(plan.plan())
+    written = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    below = sum(shuffled(children.apply(n)) for n in range(children.size()))
+    return below + (written.get().value() if written.isDefined() else 0)
+
+
+def test_buckets_of_a_response_are_not_shuffled_one_by_one(spark):
+    """What goes through joins and groups is far less than the buckets, whole or put together."""
+    asked = [ask(t("00:00:00"), t("20:00:00")) for _ in range(30)]
+    asked += [ask("2026-06-01T00:01:00Z", "2026-06-01T23:59:00Z", "day") for _ in range(30)]
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = metrics.responses(requests(spark, *asked), ads(spark), aggregates(spark, *HOURS))
+        bodies = [json.loads(row.body)["buckets"] for row in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert sum(map(len, bodies)) == 36_030
+    assert 0 < shuffled(found._jdf.queryExecution().executedPlan()) < 6_000
+
+
+def test_stretches_over_many_blocks_and_before_the_epoch(spark):
+    """Blocks begin at the epoch: series over their bounds, and before 1970, miss nothing."""
+    held = [("camp_1", f"1969-{month:02d}-28T23:59:00Z", month, "batch") for month in range(1, 13)]
+    (year,) = metrics.responses(
+        requests(spark, ask("1968-12-31T12:00:00Z", "1970-01-02T00:00:01Z", "day")), ads(spark), aggregates(spark, *held)
+    ).collect()
+    buckets = json.loads(year.body)["buckets"]
+    starts = [bucket["bucket_start"] for bucket in buckets]
+    assert len(starts) == 368 and starts == sorted(set(starts))
+    assert [b["click_count"] for b in buckets if b["click_count"]] == list(range(1, 13))
+    assert {b["bucket_start"][8:10] for b in buckets if b["source"] == "batch"} == {"28"}
+
+
+def test_an_id_that_comes_twice_lists_all_its_buckets_in_order(spark):
+    asked = [("r0", *ask(t(start), t("16:00:00"), unit)) for start, unit in [("14:00:00", "hour"), ("14:30:00", "hour"), ("15:58:00", "minute")]]
+    found = metrics.responses(spark.createDataFrame(asked, METRICS_REQUEST), ads(spark), aggregates(spark, *HOURS))
+    for row in found.collect():
+        assert [(b["bucket_start"], b["click_count"]) for b in json.loads(row.body)["buckets"]] == [
+            (t("14:00:00"), 4),
+            (t("14:00:00"), 6),
+            (t("15:00:00"), 2),
+            (t("15:00:00"), 2),
+            (t("15:58:00"), 0),
+            (t("15:59:00"), 0),
+        ]
