@@ -299,21 +299,22 @@ def buckets_of(granularity: Column, lo: Column, hi: Column, held: Column) -> Col
     )
 
 
-def series(
-    judged: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
-) -> DataFrame:
-    """The dense series of every accepted request, empty buckets as zero."""
-    buckets = buckets_of(*[F.col(name) for name in _STRETCH])
-    return answered(judged, aggregates, source_rule).select(*_REQUEST, F.inline(buckets))
+def series(stretches: DataFrame) -> DataFrame:
+    """The dense series of answered requests, a row for each bucket."""
+    return stretches.select(*_REQUEST, F.inline(buckets_of(*[F.col(name) for name in _STRETCH])))
 
 
 def metrics(
     requests: DataFrame, ads: DataFrame, aggregates: DataFrame, source_rule: str = "exact"
 ) -> DataFrame:
-    """Series of the accepted requests, each in bucket order and in one partition."""
+    """Series of the accepted requests, each in bucket order and in one partition.
+
+    Buckets are filled in where they are put in order: stretches are dealt out evenly by
+    request, while the blocks they come from differ much in how many requests ask for them.
+    """
     judged = judged_requests(requests, ads)
-    rows = series(judged, aggregates, source_rule)
-    return rows.repartition(tasks_for(judged), "request_id").sortWithinPartitions("request_id", "bucket_start")
+    stretches = answered(judged, aggregates, source_rule).repartition(tasks_for(judged), "request_id")
+    return series(stretches).sortWithinPartitions("request_id", "bucket_start")
 
 
 def bounds(requests: DataFrame) -> tuple[datetime | None, datetime | None]:
